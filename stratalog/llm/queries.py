@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["seen"]
+MODULES = ["seen", "ledger"]
 
 QUERIES: dict = {}
 SQL: dict = {}
