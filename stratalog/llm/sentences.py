@@ -98,6 +98,8 @@ def _language(lang: str) -> list[Rule]:
         rules += [(NO, r"[。！？!?…][”」』]+", r"(?:这句|这话|这样|的|是|，|、|；|写|说|就|也|并|之|等)")]
     if lang == "hi":
         rules += [(NO, r"[।.!?][\"”]+", r"\s+\S+\s+में\s+लिखा")]
+    if lang == "ar":
+        rules += [(NO, r"[.!?؟][»\"”]+", r"\s+(?:ثم|وأغلق|وقال|فقال)\b")]
     if lang == "el":
         rules += [(YES, r"[Ͱ-Ͽἀ-῿][^;.!\n]{0,90};[»”\")]*", r"\s")]
     if lang == "th":
