@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["seen", "ledger", "sentences", "encoding"]
+MODULES = ["seen", "ledger", "sentences", "encoding", "names"]
 
 QUERIES: dict = {}
 SQL: dict = {}
