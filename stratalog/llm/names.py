@@ -405,7 +405,9 @@ def entities(authors: DataFrame) -> DataFrame:
         F.countDistinct("sn").alias("sns"), F.countDistinct(F.when(F.length("gn") > 2, F.substring("gn", 1, 1))).alias("gns")
     ).where("sns > 2 OR gns > 2").select("adr")
     by_adr = adr.join(shared, "adr", "left_anti").select("author_id", F.concat(F.lit("m "), "adr").alias("k"))
-    edges = written(by_form.unionByName(by_adr).distinct(), "name-edges")
+    # A made-up user name goes with its owner from one host to another.
+    nick = by_adr.select("author_id", F.regexp_extract("k", r"^m ([a-z]{4,}[_-](?!dev@|io@|bot@)[0-9a-z]{1,3})@", 1).alias("n")).where("n <> ''").select("author_id", F.concat(F.lit("n "), "n").alias("k"))
+    edges = written(by_form.unionByName(by_adr).unionByName(nick).distinct(), "name-edges")
     return components(rows.select("author_id"), edges)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["seen", "ledger", "sentences", "encoding", "names"]
+MODULES = ["seen", "ledger", "listings", "encoding", "names", "sentences"]
 
 QUERIES: dict = {}
 SQL: dict = {}
