@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["seen", "ledger", "listings", "encoding", "names", "sentences"]
+MODULES = ["seen", "ledger", "listings", "encoding", "names", "packing", "mixing", "sentences"]
 
 QUERIES: dict = {}
 SQL: dict = {}
