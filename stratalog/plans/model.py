@@ -56,7 +56,7 @@ def blob_oid(text: Column) -> Column:
 
 
 def valid_sha(c: Column) -> Column:
-    return c.rlike(r"^[0-9a-f]{40}$")
+    return c.rlike(r"\A[0-9a-f]{40}\z")
 
 
 def section(hex_oid: Column) -> Column:
