@@ -5,13 +5,13 @@ the smallest gap that holds it, larger documents first. Sizes are whole numbers
 sizes and gaps works on their counts (at most capacity + 1 of each), and yields ranges of ranks: the documents of one
 size with ranks i..j go to the gaps of one size with ranks k..l. Ranks within equal sizes decide between documents
 that want the same gap. The tables then meet by (size, rank), gaps are updated, and the next round begins; if nothing
-fits, new containers are opened. A gap takes one item a round, so small documents are bundled beforehand, at several
+fits, new containers are opened. A gap takes a few items a round, so small documents are bundled beforehand, at several
 scales and never all of them: the loose ones close the last gaps.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, insort
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,28 +25,30 @@ from stratalog.sources.tables import table
 SHARE, LEVELS = 12, 4
 
 
-def sweep(items: dict[int, int], gaps: dict[int, int]) -> list[tuple[int, int, int, int, int]]:
+def sweep(items: dict[int, int], gaps: dict[int, int], takes: int = 8) -> list[tuple[int, int, int, int, int]]:
     """(size, first rank, gap, first gap rank, count): each item's smallest sufficient gap, larger items first.
 
-    items, gaps: how many there are of each size. A gap takes at most one item.
+    items, gaps: how many there are of each size. A gap that has taken an item goes on with the room left, for up to
+    `takes` items; it keeps the size and rank that it began with. Gaps of equal history are one run, so the work grows
+    with the number of different sizes only.
     """
-    free = dict(gaps)
-    order = sorted(g for g, n in free.items() if n)
-    used = dict.fromkeys(free, 0)
+    runs = sorted((g, g, 0, n, 0) for g, n in gaps.items() if n)  # room, gap, first rank, how many, items taken
     out = []
     for size in sorted(items, reverse=True):
         left, rank = items[size], 0
-        at = bisect_left(order, size)
-        while left and at < len(order):
-            g = order[at]
-            k = min(left, free[g])
-            out.append((size, rank, g, used[g], k))
-            used[g] += k
-            free[g] -= k
+        while left:
+            at = bisect_left(runs, (size,))
+            if at == len(runs):
+                break
+            room, gap, lo, n, taken = runs.pop(at)
+            k = min(left, n)
+            out.append((size, rank, gap, lo, k))
             rank += k
             left -= k
-            if free[g] == 0:
-                order.pop(at)
+            if k < n:
+                insort(runs, (room, gap, lo + k, n - k, taken))
+            if taken + 1 < takes and room > size:
+                insort(runs, (room - size, gap, lo, k, taken + 1))
     return out
 
 
@@ -141,7 +143,8 @@ def packed(sized: DataFrame, packs: DataFrame) -> DataFrame:
         come = led.where("g IS NOT NULL").select(F.col("pack_id").alias("ip"), F.col("id").alias("item"), F.col("size").alias("isize"), "g", "gr")
         met = written(rg.join(come, (F.col("pack_id") == F.col("ip")) & (F.col("gap") == F.col("g")) & (F.col("r") == F.col("gr")), "left").select("pack_id", "bin_id", "gap", "item", "isize"), "met")
         placed.append(met.where("item IS NOT NULL").select("pack_id", "bin_id", F.col("item").alias("id")))
-        gaps = _stored(met.select("pack_id", F.col("bin_id").alias("id"), (F.col("gap") - F.coalesce("isize", F.lit(0))).alias("gap")).where("gap > 0"), "gaps")
+        after = met.groupBy("pack_id", F.col("bin_id").alias("id"), "gap").agg(F.sum(F.coalesce("isize", F.lit(0))).alias("took"))
+        gaps = _stored(after.select("pack_id", "id", (F.col("gap") - F.col("took")).alias("gap")).where("gap > 0"), "gaps")
         items = _stored(led.where("g IS NULL").select("pack_id", "id", "size"), "items")
     none = sized.where("n_tokens = 0").select("doc_id", F.explode(F.array(*[F.lit(p) for p in caps])).alias("pack_id"))
     empty = none.select("pack_id", F.lit(None).cast("long").alias("bin_id"), "doc_id", F.lit(0).cast("long").alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("n"))
