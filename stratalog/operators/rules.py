@@ -112,7 +112,7 @@ def ignored(path: Column, rules: list[str]) -> Column:
 
     parts = F.split(path, "/")
     parents = F.when(F.size(parts) > 1, F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda i: F.array_join(F.slice(parts, 1, i), "/"))).otherwise(F.array().cast("array<string>"))
-    return F.exists(parents, lambda p: verdict(p, True)) | verdict(path, False)
+    return F.when(path.isNotNull(), F.exists(parents, lambda p: verdict(p, True)) | verdict(path, False))
 
 
 def attribute(path: Column, rules: list[tuple[str, str | None]]) -> Column:
