@@ -47,7 +47,7 @@ _NEVER = {
 #: Abbreviations that may also end a sentence: before a lower-case word they do not.
 _LOWER = {
     "en": "Inc Ltd Co Corp Bros sec min hr Ph\\.D",
-    "de": "Sek Min Std Mio Mrd Tsd Jh h a B",
+    "de": "Sek Min Std Mio Mrd Tsd Jh",
     "fr": "ex s sec min",
     "es": "UU seg min S\\.A Cía",
     "ru": "г гг дн с руб ч мин сек др пр",
@@ -89,6 +89,7 @@ def _language(lang: str) -> list[Rule]:
         ]
     if lang == "de":
         rules += [
+            (NO, rf"{_W}(?:[zZ]\. ?B|[dD]\. ?h|[uU]\. ?a|[oO]\. ?ä|[vV]\. ?a|[iI]\. ?d\. ?R|[sS]\. ?o)\.", r"\s"),
             (NO, r"(?:^|[\s(„])(?:[Aa]m|[Vv]om|[Zz]um|[Bb]is|[Dd]ie|[Dd]er|[Dd]as|[Dd]em|[Dd]en|[Dd]es|[Ii]m|[Ss]eit|[Aa]b|[Uu]nd)\s+\d{1,2}\.", r"\s+\w"),
             (NO, r"\b\d{1,2}\.", r"\s+(?:Januar|Februar|März|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember)\b"),
         ]
@@ -131,6 +132,7 @@ _COMMON: list[Rule] = [
     (NO, r"\A\W*[^\W\d_]\.", r"\s+[A-ZА-ЯΑ-ΩÀ-Þ]"),
     (NO, r"", r"\s+[—–]\s"),
     (NO, r"", r"\s*[,;:，、；：]"),
+    (NO, r"[.!?…][\"”»“’」』]*[)）\]]", r"\s+[a-zß-öø-ÿа-яёα-ωά-ώա-ֆ]"),  # and a parenthesis likewise
     (NO, r"[\"”»“’」』]", r"\s+[a-zß-öø-ÿа-яёα-ωά-ώա-ֆ]"),  # a quotation within a sentence that goes on
     (YES, r"[。！？…।॥։።][\"”»“’」』）)\]]*", r""),
     (YES, r"[^\W\d_]\s?[!?؟]+", r"[^\W\d_]"),  # the blank between two sentences is missing
@@ -219,8 +221,11 @@ def blocks(text: str) -> Iterator[tuple[int, int, bool]]:
         yield (*para, True)
 
 
-def enclosures(p: str) -> list[tuple[int, int]]:
-    """(open, close) of matched quotations and brackets, outermost only, in order. Unmatched ones do not count."""
+def enclosures(p: str) -> tuple[list[tuple[int, int]], set[int]]:
+    """(open, close) of matched quotations and brackets, outermost only, in order, and where any of them opens.
+
+    Unmatched ones do not count.
+    """
     stack: list[tuple[int, str]] = []
     found: list[tuple[int, int]] = []
     for m in _ENCLOSERS.finditer(p):
@@ -240,7 +245,12 @@ def enclosures(p: str) -> list[tuple[int, int]]:
             out.append((a, b))
         elif b > out[-1][1]:
             out[-1] = (out[-1][0], b)
-    return out
+    return out, {a for a, _ in found}
+
+
+def _end(m: re.Match, opens: set[int]) -> int:
+    """Where a run of marks and what closes after it ends: before anything that opens again."""
+    return next((i for i in range(m.start() + 1, m.end()) if i in opens), m.end())
 
 
 def sentences(text: str, lang: str | None) -> list[tuple[int, int]]:
@@ -265,10 +275,10 @@ def sentences(text: str, lang: str | None) -> list[tuple[int, int]]:
             add(a, b)
             continue
         p = text[a:b]
-        spans = enclosures(p)
+        spans, opens = enclosures(p)
         rs = rules
         urls = [(m.start(), m.end() - 1) for m in _URL.finditer(p)] if "://" in p else []
-        ends = {m.end() for m in _CANDIDATE.finditer(p) if not (m[0][-1] == "." and m.end() < len(p) and not p[m.end()].isspace() and m[0][0] not in _WIDE)}
+        ends = {_end(m, opens) for m in _CANDIDATE.finditer(p) if not (m[0][-1] == "." and m.end() < len(p) and not p[m.end()].isspace() and m[0][0] not in _WIDE)}
         if thai.search(p):
             ends |= {m.start() for m in _SPACE.finditer(p)}
             if code != "th":
