@@ -12,23 +12,27 @@ from stratalog.plans.lineage import written
 from stratalog.plans.model import with_sql
 
 
-def closure(edges: DataFrame, seeds: DataFrame, hidden: DataFrame | None = None) -> DataFrame:
+def closure(edges: DataFrame, seeds: DataFrame, hidden: DataFrame | None = None, doublings: int = 2) -> DataFrame:
     """root, oid: every commit reachable from a seed (root, oid), the seed included; null seeds are left out.
 
-    Each level joins only the frontier with the edges (oid, parent) and removes what its root has visited, so diamonds
-    cost nothing. Levels are written, as the loop would otherwise grow the plan. `hidden` (oid) is never entered:
-    its ancestors stay if another way leads to them.
+    Each round joins only the frontier with the edges (oid, parent) and removes what its root has visited, so diamonds
+    cost nothing. Edges are first joined with themselves `doublings` times, so that a round goes 2 ** doublings levels
+    back: a history of n levels takes a quarter of n rounds at the default, for a few more edges. Rounds are written, as
+    the loop would otherwise grow the plan. `hidden` (oid) is never entered: its ancestors stay if another way leads there.
     """
-    edges = written(edges.where("oid IS NOT NULL AND parent IS NOT NULL"), "edges")
+    edges = edges.where("oid IS NOT NULL AND parent IS NOT NULL").select("oid", "parent")
     front = seeds.where("root IS NOT NULL AND oid IS NOT NULL").select("root", "oid").distinct()
     if hidden is not None:
         front = front.join(hidden, "oid", "left_anti")
+        edges = edges.join(hidden, "oid", "left_anti").join(hidden.select(F.col("oid").alias("parent")), "parent", "left_anti").select("oid", "parent")
+    hops = written(edges, "edges")
+    for _ in range(doublings):
+        far = hops.select("oid", F.col("parent").alias("mid")).join(hops.select(F.col("oid").alias("mid"), "parent"), "mid").select("oid", "parent")
+        hops = written(hops.unionByName(far).distinct(), "edges")
     front = written(front, "frontier")
     levels = [front]
     while not front.isEmpty():
-        step = front.join(edges, "oid").select("root", F.col("parent").alias("oid")).distinct()
-        if hidden is not None:
-            step = step.join(hidden, "oid", "left_anti")
+        step = front.join(hops, "oid").select("root", F.col("parent").alias("oid")).distinct()
         front = written(step.join(reduce(DataFrame.unionByName, levels), ["root", "oid"], "left_anti"), "frontier")
         levels.append(front)
     return reduce(DataFrame.unionByName, levels)
