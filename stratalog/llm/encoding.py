@@ -217,7 +217,7 @@ def _letters_misread(run: str, a: int, b: int, ch: str, scores: PairScores) -> b
     near = run[max(0, a - 2) : a], run[b : b + 2]
     gain = scores.total(near[0] + ch + near[1]) - scores.total(near[0] + run[a:b] + near[1])
     odd_case = run[a].isupper() and any(x.islower() for x in near[0][-1:] + near[1][:1])
-    return gain > 2.0 or (odd_case and gain > -2.0 and script(fold(run[a])) == script(fold(ch)) == "LATIN")
+    return gain > 2.0 or (odd_case and gain > -4.0 and script(fold(run[a])) == script(fold(ch)))
 
 
 def undo_utf8(run: str, scores: PairScores) -> str | None:
@@ -251,14 +251,18 @@ def undo_utf8(run: str, scores: PairScores) -> str | None:
             last, done = m.end(), done + m.end() - m.start()
         if done and (best is None or done > best[0]):
             best = (done, "".join(out) + run[last:])
-    for enc in MISREAD_AS_WIDE:
-        try:
-            text = run.strip("._-@").encode(enc).decode("utf-8")
-        except (UnicodeDecodeError, UnicodeEncodeError):
-            continue
-        beyond = [ch for ch in run if not ch.isascii()]
-        if len(beyond) > 1 and all(map(scores.known, text)) and (best is None or len(beyond) > best[0]):
-            best = (len(beyond), run.replace(run.strip("._-@"), text))
+    for m in re.finditer(r"[^\x00-\x7f]{2,12}", run):  # multi-byte readings, whole stretches before parts of them
+        for lo, hi in sorted(((i, j) for i in range(m.start(), m.end()) for j in range(i + 2, m.end() + 1)), key=lambda x: x[0] - x[1]):
+            if best is not None and hi - lo <= best[0]:
+                break
+            for enc in MISREAD_AS_WIDE:
+                try:
+                    text = run[lo:hi].encode(enc).decode("utf-8")
+                except (UnicodeDecodeError, UnicodeEncodeError):
+                    continue
+                if all(map(scores.known, text)):
+                    best = (hi - lo, run[:lo] + text + run[hi:])
+                    break
     return best[1] if best else None
 
 
@@ -284,6 +288,8 @@ def undo_mixup(text: str, a: int, b: int, scores: PairScores, margin: float) ->
                 new = raw.encode("latin_1").decode(wrote)
             except UnicodeDecodeError:
                 continue
+            if sum(map(str.isalpha, new)) < sum(map(str.isalpha, run)):
+                continue  # letters are not what a mix-up of encodings makes of signs
             if new == run or not all(scores.known(ch) for ch in new if not ch.isascii()):
                 continue
             made = text[:lo] + new + text[hi:]
@@ -300,7 +306,7 @@ def case_cost(text: str) -> float:
         low = sum(ch.islower() for ch in word)
         up = sum(ch.isupper() for ch in word[1:])
         if low and up:
-            cost -= 3.5 * min(low, up)
+            cost -= 4.5 * min(low, up)
         elif up and not low and not word.isascii():
             cost -= 0.3 * len(word)
     return cost

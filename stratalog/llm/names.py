@@ -150,7 +150,11 @@ def parse(whole: str | None, name: str | None, mail: str | None, given: frozense
     local, domain = adr or ("", "")
     sld = next((p for p in reversed(domain.split(".")[:-1]) if p not in ("dev", "edu", "co", "com")), "")
     org_mail = local in ROLES and any(sld.endswith(w) for w in ORG_WORDS - ORG_LOOSE) and "-" not in sld
-    words = [plain(w) for w in words_of(text.replace("-", " "))]
+    # What stands behind a person's name - an employer in brackets, behind a comma or an @ - is no part of the name.
+    core = re.split(r"\s@\s", re.sub(r"\([^)]*\)|\[[^\]]*\]", " ", text))[0]
+    if len(words_of(core.partition(",")[0])) > 1:
+        core = core.partition(",")[0]
+    words = [plain(w) for w in words_of(core.replace("-", " "))]
     words = words[:1] + [org_word(w) for w in words[1:]]
     joined = org_key(words)
     if kind == "o" or org_mail and (not kind or near(joined, sld) or not s or sld[:4] == joined[:4]):
@@ -170,7 +174,8 @@ def person(text: str, given: frozenset[str]) -> tuple[str, str, str]:
     if plain(re.sub(r"[^\w]", "", text)) in NO_NAME or not re.search(r"\w", text):
         return "", "", ""
     bare = re.split(r"\s@\s", bare)[0]
-    flat = [plain(w) for w in words_of(bare.replace("-", " "))]
+    head = bare.partition(",")[0] if len(words_of(bare.partition(",")[0])) > 1 else bare
+    flat = [plain(w) for w in words_of(head.replace("-", " "))]
     flat = flat[:1] + [org_word(w) for w in flat[1:]]
     if any(w in ORG_WORDS for w in flat[-2:]) and len(flat) > 1 and not any(w in given for w in flat):
         return "o", "", ""
