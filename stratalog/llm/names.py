@@ -361,7 +361,7 @@ def attributed(forms: DataFrame) -> DataFrame:
                             b = surname_cost(s, hs)
                             cost = None if a is None or b is None else a + b
                             # Two full spellings of equal standing: the longer one, then the first, is canonical.
-                            if cost is not None and hn == n and (len(g) > 1 or kind == "o") and (len(hg), hv) <= (len(g), v):
+                            if cost is not None and not vague and hn == n and (len(g) > 1 or kind == "o") and (len(hg), hv) <= (len(g), v):
                                 cost = None
                         if cost is not None:
                             got.append((math.log(hn) - cost, hv, hg))
