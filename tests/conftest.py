@@ -10,6 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 @pytest.fixture(scope="session")
 def spark():
     os.environ.setdefault("SPARK_LOCAL_IP", "127.0.0.1")
+    os.environ["PYTHONPATH"] = os.pathsep.join([str(Path(__file__).resolve().parent.parent), *filter(None, [os.environ.get("PYTHONPATH")])])
     from pyspark.sql import SparkSession
 
     s = (
