@@ -56,7 +56,7 @@ def verdicts(s: SparkSession, d: str) -> DataFrame:
 def top_extensions(s: SparkSession, d: str) -> DataFrame:
     """repo, place, ext, n: the three most frequent endings of each repository; ties by name."""
     f = table(s, d, "olist").where("path IS NOT NULL AND repo IS NOT NULL AND type = 'blob'").groupBy("repo", _ext().alias("ext")).agg(F.count("*").alias("n"))
-    return f.withColumn("place", F.row_number().over(Window.partitionBy("repo").orderBy(F.desc("n"), "ext"))).where("place <= 3").select("repo", "place", "ext", "n")
+    return f.withColumn("place", F.row_number().over(Window.partitionBy("repo").orderBy(F.desc("n"), "ext"))).where("place <= 3").select("repo", F.col("place").cast("long").alias("place"), "ext", "n")
 
 
 def order_statistics(df: DataFrame, group: str, value: str, quantiles: list[float]) -> DataFrame:

@@ -84,7 +84,7 @@ def layered_read(s: SparkSession, d: str) -> DataFrame:
     base = table(s, d, "store_idx").select("sha", F.lit(0).alias("layer"), F.col("len"))
     gens = table(s, d, "idx").where(F.col("storedlen") > 0).select("sha", (F.month(F.col("dumped_at")) + 12 * (F.year(F.col("dumped_at")) - 2020)).alias("layer"), F.col("storedlen").alias("len"))
     rows = base.unionByName(gens).where(valid_sha(F.col("sha")) & F.col("layer").isNotNull())
-    return rows.groupBy("sha").agg(F.min(F.struct("layer", "len")).alias("x")).select("sha", "x.layer", "x.len")
+    return rows.groupBy("sha").agg(F.min(F.struct("layer", "len")).alias("x")).select("sha", F.col("x.layer").cast("long").alias("layer"), "x.len")
 
 
 def as_of_layer(s: SparkSession, d: str) -> DataFrame:
