@@ -52,7 +52,7 @@ SHORT = {
     "sam": "samuel", "sammy": "samuel", "vicky": "victoria", "tori": "victoria", "val": "valeria", "magda": "magdalena", "hans": "johannes", "beppe": "giuseppe", "seppi": "giuseppe", "deb": "deborah", "tomek": "tomasz", "lena": "magdalena helena",
 }
 #: How one script's letters stand for another's, digraphs first.
-TO_CYRILLIC = {"zh": "ж", "sh": "ш", "ch": "ч", "th": "т", "kh": "х", "a": "а", "b": "б", "c": "к", "d": "д", "e": "е", "f": "ф", "g": "г", "h": "х", "i": "и", "j": "й", "k": "к", "l": "л", "m": "м", "n": "н", "o": "о", "p": "п", "q": "к", "r": "р", "s": "с", "t": "т", "u": "у", "v": "в", "w": "в", "x": "к", "y": "с", "z": "и"}
+TO_CYRILLIC = {"zh": "ж", "sh": "ш", "ch": "ч", "th": "т", "ph": "ф", "a": "а", "b": "б", "c": "к", "d": "д", "e": "е", "f": "ф", "g": "г", "h": "х", "i": "и", "j": "и", "k": "к", "l": "л", "m": "м", "n": "н", "o": "о", "p": "п", "q": "к", "r": "р", "s": "с", "t": "т", "u": "у", "v": "в", "w": "в", "x": "к", "y": "с", "z": "и"}
 _UNMARKED = str.maketrans({"ø": "o", "ł": "l", "ß": "ss", "æ": "ae", "ı": "i", "đ": "d", "œ": "oe", "þ": "th", "ð": "d"})
 
 _ADDRESS = re.compile(r"[^\s<>\"{}|]+@[^\s<>\"{}/|]+")
@@ -70,7 +70,7 @@ def plain(text: str) -> str:
 
 def skeleton(text: str) -> str:
     """A Latin or Cyrillic word in the Cyrillic letters that stand for it."""
-    return re.sub("zh|sh|ch|th|kh|[a-z]", lambda m: TO_CYRILLIC[m[0]], text)
+    return re.sub("zh|sh|ch|th|ph|[a-z]", lambda m: TO_CYRILLIC[m[0]], text)
 
 
 def address(raw: str | None) -> tuple[str, str] | None:
