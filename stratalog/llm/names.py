@@ -16,7 +16,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalog.llm.encoding import PairScores, count_pairs, repair
@@ -261,6 +261,31 @@ def surname_cost(variant: str, surname: str) -> float | None:
     return None
 
 
+@lru_cache(maxsize=200_000)
+def long_forms(given: str) -> frozenset[str]:
+    """The word and the given names whose short form it is, or is within one edit of."""
+    return frozenset([given]).union(*(full.split() for short, full in SHORT.items() if short == given or len(short) > 3 and one_edit(short, given)))
+
+
+def same_person(a: tuple[str, str], b: tuple[str, str]) -> bool:
+    """May two full names (given, surname) at one address be spellings of one person's, in either order or script?"""
+
+    def given_fits(x: str, y: str) -> bool:
+        if min(len(x), len(y)) < 2:
+            return x[:1] == y[:1]
+        if given_cost(x, y) is not None or given_cost(y, x) is not None or min(len(x), len(y)) > 2 and (x in y or y in x):
+            return True
+        return any(u == w or min(len(u), len(w)) > 3 and one_edit(u, w) for u in long_forms(x) for w in long_forms(y))
+
+    def surname_fits(x: str, y: str) -> bool:
+        return x == y or min(len(x), len(y)) > 4 and near(x, y)
+
+    pairs = [(a, b), (a[::-1], b)]
+    if _CYR.search("".join(a)) or _CYR.search("".join(b)):
+        pairs += [(tuple(map(skeleton, x)), tuple(map(skeleton, y))) for x, y in pairs]
+    return any(surname_fits(x[1], y[1]) and given_fits(x[0], y[0]) for x, y in pairs)
+
+
 # -------------------------------------------------------------------------------------------------------- the operator
 
 _PARSED = "author_id long, kind string, g string, s string, mg string, ms string, adr string"
@@ -403,19 +428,57 @@ def entities(authors: DataFrame) -> DataFrame:
     at = uses.join(canon, "v", "left").select("author_id", F.coalesce("c", "v").alias("v"))
     full = at.where(F.col("v").rlike(r"^(o\|\||p\|[^|]{2,}\|)"))  # initials and lone words name nobody by themselves
     by_form = full.select("author_id", F.concat(F.lit("f "), "v").alias("k"))
-    # An address that several surnames use is shared; it links nobody.
-    adr = rows.where("adr <> ''").select("author_id", "adr", "s")
-    surname = at.where("v like 'p|%'").select("author_id", F.substring_index("v", "|", -1).alias("sn"), F.split("v", r"\|")[1].alias("gn"))
-    shared = adr.select("author_id", "adr").join(surname, "author_id").groupBy("adr").agg(
-        F.countDistinct("sn").alias("sns"), F.countDistinct(F.when(F.length("gn") > 2, F.substring("gn", 1, 1))).alias("gns")
-    ).where("sns > 2 OR gns > 2").select("adr")
-    by_adr = adr.join(shared, "adr", "left_anti").select("author_id", F.concat(F.lit("m "), "adr").alias("k"))
+    adr = rows.where("adr <> ''").select("author_id", "adr", F.when(has, form(F.col("kind"), F.col("g"), F.col("s"))).alias("v"))
+    typed = written(adr.join(canon, "v", "left").select("author_id", "adr", F.coalesce("c", "v").alias("v")), "name-addresses")
+    by_adr = owned(typed, at.groupBy("v").agg(F.countDistinct("author_id").alias("all"))).select("author_id", F.concat(F.lit("m "), "adr").alias("k"))
     # A made-up user name goes with its owner from one host to another.
     nick = by_adr.select("author_id", F.regexp_extract("k", r"^m ([a-z]{4,}[_-](?!dev@|io@|bot@)[0-9a-z]{1,3})@", 1).alias("n")).where("n <> ''").select("author_id", F.concat(F.lit("n "), "n").alias("k"))
     edges = written(by_form.unionByName(by_adr).unionByName(nick).distinct(), "name-edges")
     return components(rows.select("author_id"), edges)
 
 
+def owned(typed: DataFrame, known: DataFrame, fair: float = 0.2, tops: int = 64) -> DataFrame:
+    """The rows of `typed` (author_id, adr, v) that their address links: all rows of an address that one person has.
+
+    v: the row's canonical form, or null. Only full names tell who has an address; those that may be spellings of one
+    of its frequent names count for that one. An address is shared, and links nobody, if two people or more hold at
+    least `fair` of its full names each, in two rows or more, or if of three or more nobody holds half. Elsewhere a row
+    is left out only if its full name is another's that has most of its rows (`known`: v, all) away from the address.
+    The `tops` most frequent names of an address are gathered as its people; every name is compared with them.
+    """
+    counts = written(typed.where(F.col("v").rlike(r"^p\|[^|]{2,}\|")).groupBy("adr", "v").agg(F.count("*").alias("n")), "address-names")
+    several = counts.join(counts.groupBy("adr").agg(F.count("*").alias("k")).where("k > 1"), "adr", "left_semi")
+    order = F.row_number().over(Window.partitionBy("adr").orderBy(F.desc("n"), "v"))
+    top = several.withColumn("at", order).where(F.col("at") <= tops).groupBy("adr").agg(F.collect_list(F.struct("at", "v")).alias("names"))
+    split = lambda v: tuple(v.split("|")[1:])
+
+    def people(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for adr, names in zip(pdf.adr, pdf.names):
+                heads: list[str] = []
+                for x in sorted(names, key=lambda x: x["at"]):
+                    if not any(same_person(split(x["v"]), split(h)) for h in heads):
+                        heads.append(x["v"])
+                out.append((adr, heads))
+            yield pd.DataFrame(out, columns=["adr", "heads"])
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            who = [v if v in hs else next((h for h in hs if same_person(split(v), split(h))), v) for v, hs in zip(pdf.v, pdf.heads)]
+            yield pd.DataFrame({"adr": pdf.adr, "v": pdf.v, "n": pdf.n, "who": who})
+
+    heads = top.mapInPandas(people, "adr string, heads array<string>")
+    assigned = written(several.join(heads, "adr").select("adr", "v", "n", "heads").mapInPandas(assign, "adr string, v string, n long, who string"), "address-people")
+    per = assigned.groupBy("adr", "who").agg(F.sum("n").alias("n"))
+    total = per.groupBy("adr").agg(F.sum("n").alias("total"), F.count("*").alias("people"), F.max("n").alias("most"), F.max_by("who", F.struct("n", "who")).alias("owner"))
+    holders = per.join(total, "adr").where((F.col("n") >= 2) & (F.col("n") >= F.col("total") * fair)).groupBy("adr").agg(F.count("*").alias("holders"))
+    judged = total.join(holders, "adr", "left").withColumn("shared", (F.coalesce("holders", F.lit(0)) > 1) | (F.col("people") > 2) & (F.col("most") * 2 < F.col("total")))
+    judged = written(judged.select("adr", "owner", "shared"), "address-owners")
+    others = assigned.join(judged.where("NOT shared"), "adr").where("who <> owner").join(known, "v").where(F.col("all") > 2 * F.col("n")).select("adr", "v")
+    return typed.join(judged.where("shared"), "adr", "left_anti").join(others, ["adr", "v"], "left_anti")
+
+
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """author_id, entity: the smallest author_id of the component that `edges` (author_id, k) puts a node in."""
     label = written(edges.select("author_id", F.col("author_id").alias("entity")).distinct(), "labels")

@@ -217,6 +217,18 @@ def test_names(spark):
     assert names.all_pairs(names.entities(df.limit(0))).count() == 0
 
 
+def test_strays_do_not_share_an_address(spark):
+    typed = [("Benjamin Kraswucen", "krasw@corp.example")] * 20 + [(n, "krasw@corp.example") for n in ["krasw77", "kw-5", "Tebbe Zoloft", "Zutterov Kipling", "бенжамин красвукен", "root", None, "krasw77"]]
+    own = len(typed)
+    typed += [(n, "desk@firm.example") for n in ["Maria Sugrakova", "Henry Blokova"] * 5 + ["desk9"]]
+    typed += [("Anna Pintokova", f"pinto{i}@corp.example") for i in range(4)] + [("Anna Pintokova", "krasw@corp.example")]
+    df = spark.createDataFrame([(i, f"{n or ''} <{m}>", n, m) for i, (n, m) in enumerate(typed)], "author_id long, parseauthorid string, getfl string, simpemail string")
+    got = {r.author_id: r.entity for r in names.entities(df).collect()}
+    assert {got[i] for i in range(own)} == {0}
+    maria, henry, desk, anna = ({got[i] for i in range(own, len(typed)) if typed[i][0] == n} for n in ("Maria Sugrakova", "Henry Blokova", "desk9", "Anna Pintokova"))
+    assert [len(x) for x in (maria, henry, desk, anna)] == [1] * 4 and len({0} | maria | henry | desk | anna) == 5
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text("abc", max_size=6), st.text("abc", max_size=6))
 def test_one_edit(a, b):
