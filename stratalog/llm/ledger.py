@@ -114,7 +114,11 @@ class Ledger:
             .agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
             .withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(self.buckets)).cast("int"))
         )
-        old = self._read([b for b in self.place])
+        new = written(new, "ledger-batch")
+        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most `buckets`
+        if not touched:
+            return
+        old = self._read([b for b in touched if b in self.place])
         if old is None:
             merged = new
         else:

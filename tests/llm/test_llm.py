@@ -51,6 +51,18 @@ def test_ledger(spark, batches):
     assert ledger.copies(none, ledger.fold(none)).count() == 0
 
 
+def test_ledger_keeps_untouched_buckets(spark):
+    rows = spark.createDataFrame([(f"k{i}", i) for i in range(200)], "key string, id long")
+    book = ledger.Ledger(spark, 16)
+    book.add(rows)
+    before = dict(book.place)
+    book.add(spark.createDataFrame([("k7", 900), ("k7", 901)], "key string, id long"))
+    assert len(before) == 16 and sum(book.place[b] != before[b] for b in before) == 1
+    book.add(rows.limit(0))
+    assert sum(book.place[b] != before[b] for b in before) == 1
+    assert {r.key: (r.n, r.first_id) for r in book.table().collect()} == {f"k{i}": (3 if i == 7 else 1, i) for i in range(200)}
+
+
 # ------------------------------------------------------------------------------------------------------------ problem 2
 
 
