@@ -157,6 +157,16 @@ def test_graph_recall():
     assert got == g.exhaustive(q, listings.FLOOR) and len(got) > 690
 
 
+def test_beam_widens_until_recall():
+    sig = np.random.default_rng(8).integers(0, 1 << 30, (300, listings.COMPONENTS)).astype(np.int32)
+    g = listings.RingGraph(sig)
+    search = g.search
+    g.search = lambda q, beam, floor: search(q, beam, floor) if beam >= 200 else (np.zeros(0, dtype=int), np.zeros(0, dtype=int))
+    assert g.tuned_beam() == 256 and g.recall == 1
+    a, b = search(sig[:9], 512, listings.FLOOR)  # wider than the shard
+    assert set(zip(a.tolist(), b.tolist())) == g.exhaustive(sig[:9], listings.FLOOR)
+
+
 # ------------------------------------------------------------------------------------------------------------ problem 5
 
 NAMES = ["Andrew Dretulãsen", "Роберт Дедоблек", "Катерине Скеглесек", "Gabriela Thofriclínko", "Henry Hãprukok", "Леонард Стомудески", "isabella bogocrenko", "вилиам слифралоров", "Wolfgang Snoyovuv", "даниел снугруфу", "François Métral"] * 20
