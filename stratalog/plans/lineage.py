@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where that is unset (as in tests) a temporary folder."""
+    """The folder named by spark.checkpoint.dir.
+
+    Where it is unset, a local session (tests) gets a temporary folder; on a cluster that folder would be another one on
+    every machine, so the call fails there.
+    """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if named:
@@ -19,8 +23,9 @@ def shared_dir(spark: SparkSession) -> str:
     have = sc._jsc.sc().getCheckpointDir()
     if have.isDefined():
         return have.get()
-    own = tempfile.mkdtemp(prefix="stratalog-")
-    sc.setCheckpointDir(own)
+    if not sc.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="stratalog-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
@@ -36,10 +41,20 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     schema = df.schema
     w = df.write.mode("overwrite")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    back = spark.read.schema(schema).parquet(path)
+    back._written_at = path
+    return back
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Deletes tables made by `written` that no later plan reads, such as those of earlier rounds of a loop."""
+    for t in tables:
+        path = getattr(t, "_written_at", None)
+        if path:
+            remove(t.sparkSession, path)
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a written table that is no longer read."""
+    """Deletes a folder or file of the shared storage."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
