@@ -46,5 +46,6 @@ def commit(spark: SparkSession, root: str, version: int, contents: dict) -> None
     out = fs.create(draft, True)
     out.write(bytearray(json.dumps(contents).encode()))
     out.close()
-    if not fs.rename(draft, spark._jvm.org.apache.hadoop.fs.Path(f"{root}/manifest-{version}.json")):
+    final = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/manifest-{version}.json")
+    if fs.exists(final) or not fs.rename(draft, final):
         raise RuntimeError(f"version {version} of {root} exists")
