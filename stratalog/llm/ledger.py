@@ -2,18 +2,21 @@
 
 The ledger holds one row per canonical key: bucket, key, number of copies, earliest representative. A new batch is
 aggregated first (map-side combined, so a key with a third of the rows is no burden), then full-outer-joined with the
-ledger's matching buckets only; other buckets keep the version they had. Counts add up, the earliest row stays.
+ledger's matching buckets only; other buckets keep the version they had. Counts add up, the earliest row stays. The
+batch's own rows then meet its part of the ledger, which tells each further copy and its representative. The ledger is
+stored with a manifest, so that a later session goes on with the next batch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalog.plans.lineage import fresh_path, shared_dir, written
+from stratalog.plans import manifest
+from stratalog.plans.lineage import discard, fresh_path, written
+from stratalog.plans.skew import keyed_join
 from stratalog.sources.tables import table
 
 # ------------------------------------------------------------------------------------------------- canonical addresses
@@ -97,17 +100,27 @@ def _placed(two: Column) -> Column:
 
 # ----------------------------------------------------------------------------------------------------------- the ledger
 
+BOOKS = "key string, n long, first_id long, fresh long, bucket int"
+
 
-@dataclass
 class Ledger:
-    """Counts per canonical key, in buckets. `place` gives for each bucket the folder with its current version."""
+    """Counts per canonical key in buckets, stored below `root`; a root that holds a ledger is opened and goes on.
+
+    Every batch writes one folder with new versions of the buckets that it touches. The manifest says for each bucket
+    which folder holds its current version; it is committed after the files, so a lost driver leaves the last state.
+    """
 
-    spark: SparkSession
-    buckets: int = 64
-    place: dict[int, str] = field(default_factory=dict)
+    def __init__(self, spark: SparkSession, root: str | None = None, buckets: int = 64) -> None:
+        self.spark, self.root = spark, root or fresh_path(spark, "ledger")
+        self.version, kept = manifest.load(spark, self.root)
+        self.buckets = kept["buckets"] if kept else buckets
+        self.place: dict[int, str] = {int(b): at for b, at in kept["place"].items()} if kept else {}
 
-    def add(self, batch: DataFrame) -> None:
-        """Adds a batch (key string, id bigint); ids grow with arrival. Rows with a null key or id are left out."""
+    def add(self, batch: DataFrame) -> DataFrame:
+        """Adds a batch (key string, id bigint); ids grow with arrival. Rows with a null key or id are left out.
+
+        Returns the batch's part of the ledger: key, n, first_id, fresh (rows of the batch that have the key).
+        """
         new = (
             batch.where(F.col("key").isNotNull() & F.col("id").isNotNull())
             .groupBy("key")
@@ -117,94 +130,95 @@ class Ledger:
         new = written(new, "ledger-batch")
         touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most `buckets`
         if not touched:
-            return
+            return self.spark.createDataFrame([], BOOKS).drop("bucket")
         old = self._read([b for b in touched if b in self.place])
         if old is None:
-            merged = new
+            merged = new.select("key", "n", "first_id", F.col("n").alias("fresh"), "bucket")
         else:
             a, b = old.alias("a"), new.alias("b")
             merged = a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.key") == F.col("b.key")), "full_outer").select(
                 F.coalesce("a.key", "b.key").alias("key"),
                 (F.coalesce("a.n", F.lit(0)) + F.coalesce("b.n", F.lit(0))).alias("n"),
                 F.least("a.first_id", "b.first_id").alias("first_id"),
+                F.coalesce("b.n", F.lit(0)).alias("fresh"),
                 F.coalesce("a.bucket", "b.bucket").alias("bucket"),
             )
-        path = fresh_path(self.spark, "ledger")
-        merged.repartition("bucket").write.partitionBy("bucket").parquet(path)
-        wrote = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = wrote.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        for s in fs.listStatus(wrote):  # one folder per bucket
-            name = s.getPath().getName()
-            if name.startswith("bucket="):
-                self.place[int(name[7:])] = path
+        path = f"{self.root}/batch-{self.version + 1}"
+        merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+        discard(new)
+        self.version += 1
+        self.place |= dict.fromkeys(touched, path)
+        manifest.commit(self.spark, self.root, self.version, {"buckets": self.buckets, "place": self.place})
+        return self._read(touched).where("fresh > 0").select("key", "n", "first_id", "fresh")
 
     def _read(self, buckets: list[int]) -> DataFrame | None:
         by: dict[str, list[int]] = {}
         for b in buckets:
             by.setdefault(self.place[b], []).append(b)
         out = None
-        for path, bs in by.items():
-            part = self.spark.read.schema("key string, n long, first_id long, bucket int").parquet(path).where(F.col("bucket").isin(bs))
+        for path, bs in by.items():  # as many folders as batches whose buckets no later batch has touched
+            part = self.spark.read.schema(BOOKS).parquet(path).where(F.col("bucket").isin(bs))
             out = part if out is None else out.unionByName(part)
         return out
 
     def table(self) -> DataFrame:
         """key, n, first_id: the ledger as it stands."""
         got = self._read(list(self.place))
-        return (self.spark.createDataFrame([], "key string, n long, first_id long") if got is None else got).select("key", "n", "first_id")
+        return (self.spark.createDataFrame([], BOOKS) if got is None else got).select("key", "n", "first_id")
 
 
-def fold(rows: DataFrame, batches: int = 4, buckets: int = 64) -> Ledger:
-    """A ledger of `rows` (key, id, at timestamp), taken in as `batches` consecutive batches by arrival time.
+def copies(batch: DataFrame, books: DataFrame) -> DataFrame:
+    """keep_id, dup_id: each row of `batch` (key, id) that is not the earliest of its key, by what `add` returned for it.
 
-    Rows without a time come with the first batch. Equal results for any number of batches.
+    Keys with more than a thousandth of the batch's rows are joined by a broadcast that this bounds; no reducer receives
+    their rows. The other keys are joined by a shuffle.
     """
-    spark = rows.sparkSession
-    shared_dir(spark)
-    ledger = Ledger(spark, buckets)
-    span = rows.agg(F.min("at").alias("lo"), F.max("at").alias("hi")).select(F.unix_micros(F.col("lo").cast("timestamp")).alias("lo"), F.unix_micros(F.col("hi").cast("timestamp")).alias("hi")).first()
-    lo, hi = span["lo"] or 0, span["hi"] or 0
-    width = (hi - lo) // batches + 1
-    no = F.coalesce(F.floor((F.unix_micros(F.col("at").cast("timestamp")) - F.lit(lo)) / F.lit(width)), F.lit(0))
-    for b in range(batches):
-        ledger.add(rows.where(no == b).select("key", "id"))
-    return ledger
-
-
-def copies(rows: DataFrame, ledger: Ledger, hot_share: float = 0.001) -> DataFrame:
-    """keep_id, dup_id: each row of `rows` (key, id) that is not the earliest of its key.
-
-    Keys with more than `hot_share` of all rows, at most 1 / hot_share of them, are joined by broadcast, which that
-    bound makes safe; no reducer receives their rows. The other keys are joined by a shuffle.
+    rows = batch.where(F.col("key").isNotNull() & F.col("id").isNotNull()).select("key", "id")
+    met = keyed_join(rows, books.where("n > 1").select("key", "first_id", "fresh"), "key", "fresh")
+    return met.where("id <> first_id").select(F.col("first_id").alias("keep_id"), F.col("id").alias("dup_id"))
+
+
+def batches_of(rows: DataFrame, batches: int) -> list[DataFrame]:
+    """`rows` (key, id) as consecutive batches of ids, stored apart so that each batch reads only its own rows."""
+    span = rows.agg(F.min("id").alias("lo"), F.max("id").alias("hi")).first()
+    if span["lo"] is None:
+        return []
+    width = (span["hi"] - span["lo"]) // batches + 1
+    no = F.floor((F.col("id") - F.lit(span["lo"])) / F.lit(width)).cast("int")
+    laid = written(rows.where("id IS NOT NULL").select("key", "id", no.alias("batch")), "canonical", "batch")
+    return [laid.where(F.col("batch") == b).select("key", "id") for b in range(batches)]
+
+
+def fold(rows: DataFrame, batches: int = 4, ledger: Ledger | None = None) -> tuple[Ledger, DataFrame]:
+    """A ledger with `rows` (key, id) taken in as consecutive batches of ids, and the copies that the batches had.
+
+    Equal results for any number of batches, as the earliest row of a key never comes in a later batch. A batch reads
+    and writes only the buckets of its own keys; rows of earlier batches are not read again.
     """
-    books = ledger.table().where("n > 1")
-    total = rows.sparkSession.createDataFrame([], "n long") if not ledger.place else ledger.table().agg(F.sum("n").alias("n"))
-    least = int(((total.first() or {"n": 0})["n"] or 0) * hot_share) + 1
-    hot = F.broadcast(books.where(F.col("n") > least).select("key", F.col("first_id").alias("hot_id")))
-    split = rows.where(F.col("key").isNotNull()).select("key", "id").join(hot, "key", "left")
-    cold = split.where("hot_id IS NULL").select("key", "id").join(books.where(F.col("n") <= least).select("key", F.col("first_id").alias("keep_id")), "key")
-    return split.where("hot_id IS NOT NULL").select(F.col("hot_id").alias("keep_id"), F.col("id").alias("dup_id")).unionByName(
-        cold.select("keep_id", F.col("id").alias("dup_id"))
-    ).where("dup_id <> keep_id")
+    spark = rows.sparkSession
+    ledger = ledger or Ledger(spark)
+    found = spark.createDataFrame([], "keep_id long, dup_id long")
+    for batch in batches_of(rows, batches):
+        found = found.unionByName(copies(batch, ledger.add(batch)))
+    return ledger, found
 
 
 def tip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """key (project and commit), id, at of p2tips. The commit is compared without letter case and blanks."""
+    """key (project and commit), id of p2tips. The commit is compared without letter case and blanks."""
     sha = F.lower(F.trim("commit_sha"))
-    return table(spark, sf_dir, "p2tips").select(F.concat(canonical_project(F.col("p")), F.lit(" "), sha).alias("key"), F.col("tip_id").alias("id"), F.col("taken_at").alias("at"))
+    return table(spark, sf_dir, "p2tips").select(F.concat(canonical_project(F.col("p")), F.lit(" "), sha).alias("key"), F.col("tip_id").alias("id"))
 
 
 def url_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """key (address), id, at of urls."""
-    return table(spark, sf_dir, "urls").select(canonical_url(F.col("url")).alias("key"), F.col("url_id").alias("id"), F.col("seen_at").alias("at"))
+    """key (address), id of urls."""
+    return table(spark, sf_dir, "urls").select(canonical_url(F.col("url")).alias("key"), F.col("url_id").alias("id"))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every further copy with its group's earliest row, in both tables; rows with a null in the key are no case."""
     out = None
     for name, rows in (("p2tips", tip_rows(spark, sf_dir)), ("urls", url_rows(spark, sf_dir))):
-        rows = written(rows, "canonical")
-        part = copies(rows, fold(rows)).select(F.lit(name).alias("tbl"), "keep_id", "dup_id")
+        part = fold(rows)[1].select(F.lit(name).alias("tbl"), "keep_id", "dup_id")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -213,7 +227,7 @@ def p1_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """tbl, key, n_copies, first_id: one record per group and its number of copies."""
     out = None
     for name, rows in (("p2tips", tip_rows(spark, sf_dir)), ("urls", url_rows(spark, sf_dir))):
-        part = fold(rows).table().select(F.lit(name).alias("tbl"), "key", F.col("n").alias("n_copies"), "first_id")
+        part = fold(rows)[0].table().select(F.lit(name).alias("tbl"), "key", F.col("n").alias("n_copies"), "first_id")
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -36,31 +36,38 @@ def test_names_that_differ_stay_apart(spark):
 @pytest.mark.parametrize("batches", [1, 3])
 def test_ledger(spark, batches):
     rng = random.Random(1)
-    rows = [(rng.choice(["hot"] * 5 + [f"k{i}" for i in range(40)] + [None]), i, f"2025-01-{rng.randint(1, 28):02d} 00:00:00" if i % 9 else None) for i in range(600)]
-    df = spark.createDataFrame(rows, "key string, id long, at string").withColumn("at", F.col("at").cast("timestamp_ntz"))
-    book = ledger.fold(df, batches, 8)
+    rows = [(rng.choice(["hot"] * 5 + [f"k{i}" for i in range(40)] + [None]), i if i % 50 else None, "x") for i in range(600)]
+    df = spark.createDataFrame(rows, "key string, id long, n string")
+    book, found = ledger.fold(df, batches, ledger.Ledger(spark, buckets=8))
     want = {}
     for k, i, _ in rows:
-        if k is not None:
+        if k is not None and i is not None:
             n, f = want.get(k, (0, i))
             want[k] = (n + 1, min(f, i))
     assert {r.key: (r.n, r.first_id) for r in book.table().collect()} == want
-    got = {(r.keep_id, r.dup_id) for r in ledger.copies(df, book, 0.05).collect()}
-    assert got == {(want[k][1], i) for k, i, _ in rows if k is not None and i != want[k][1]}
-    none = df.limit(0)
-    assert ledger.copies(none, ledger.fold(none)).count() == 0
+    assert {(r.keep_id, r.dup_id) for r in found.collect()} == {(want[k][1], i) for k, i, _ in rows if k is not None and i is not None and i != want[k][1]}
+    none = ledger.fold(df.limit(0))
+    assert none[1].count() == none[0].table().count() == 0
 
 
-def test_ledger_keeps_untouched_buckets(spark):
+def test_ledger_keeps_untouched_buckets(spark, tmp_path):
+    import os
+
     rows = spark.createDataFrame([(f"k{i}", i) for i in range(200)], "key string, id long")
-    book = ledger.Ledger(spark, 16)
-    book.add(rows)
+    root = str(tmp_path / "ledger")
+    ledger.Ledger(spark, root, 16).add(rows)
+    book = ledger.Ledger(spark, root)  # another session goes on with the stored ledger
     before = dict(book.place)
-    book.add(spark.createDataFrame([("k7", 900), ("k7", 901)], "key string, id long"))
+    batch = spark.createDataFrame([("k7", 900), ("k7", 901)], "key string, id long")
+    new = book.add(batch)
     assert len(before) == 16 and sum(book.place[b] != before[b] for b in before) == 1
+    assert len([f for f in os.listdir(f"{root}/batch-2") if f.startswith("bucket=")]) == 1  # what the batch wrote
+    read = {f.split("batch-1/")[1].split("/")[0] for f in book._read([b for b in before if book.place[b] == before[b]]).inputFiles() if "batch-1" in f}
+    assert len(read) >= 15
+    assert {(r.keep_id, r.dup_id) for r in ledger.copies(batch, new).collect()} == {(7, 900), (7, 901)}
     book.add(rows.limit(0))
     assert sum(book.place[b] != before[b] for b in before) == 1
-    assert {r.key: (r.n, r.first_id) for r in book.table().collect()} == {f"k{i}": (3 if i == 7 else 1, i) for i in range(200)}
+    assert {r.key: (r.n, r.first_id) for r in ledger.Ledger(spark, root).table().collect()} == {f"k{i}": (3 if i == 7 else 1, i) for i in range(200)}
 
 
 # ------------------------------------------------------------------------------------------------------------ problem 2
