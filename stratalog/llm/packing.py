@@ -1,19 +1,23 @@
 """Filling fixed-capacity containers: bulk-synchronous best fit (problem 7).
 
-Documents and gaps are kept as distributed tables. In a round every document looks for its successor among the gaps:
-the smallest gap that holds it, larger documents first. Sizes are whole numbers up to the capacity, so the sweep over
-sizes and gaps works on their counts (at most capacity + 1 of each), and yields ranges of ranks: the documents of one
-size with ranks i..j go to the gaps of one size with ranks k..l. Ranks within equal sizes decide between documents
-that want the same gap. The tables then meet by (size, rank), gaps are updated, and the next round begins; if nothing
-fits, new containers are opened. A gap takes a few items a round, so small documents are bundled beforehand, at several
-scales and never all of them: the loose ones close the last gaps.
+Documents are range-sorted by size, so that each has a rank among those of its size, and dealt by rank to stripes of
+containers; every stripe gets the same mixture of sizes. In a round all stripes sweep at the same time: from the largest
+size down, each document goes to its successor among the gaps, the smallest gap that holds it; the rank decides between
+documents of one size that want the same gap, and the gap is updated at once. What a stripe can't place, and the gaps
+that it leaves, move on to the next round, in which stripes are merged. The last round has one stripe and opens the
+containers that are still needed.
+
+A sweep works on runs: documents of one size and consecutive ranks, containers with equal gaps. Sizes are whole numbers
+up to the capacity, so a sweep's state is bounded by the capacity and the stripe, however many documents there are. Only
+at the end do the documents meet the runs, by stripe, size and rank.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalog.llm.tokens import VOCABULARY, with_tokens
@@ -21,60 +25,50 @@ from stratalog.plans.lineage import written
 from stratalog.plans.prefix import running_sum
 from stratalog.sources.tables import table
 
-#: Bundles of level l hold about capacity / (SHARE * 4**l) tokens; a quarter of what a level could bundle stays loose.
-SHARE, LEVELS = 12, 4
+Items = tuple[int, int, int, int]  # size, stripe, first rank, how many
+Gaps = tuple[int, int, int]  # gap, first container, how many
 
 
-def sweep(items: dict[int, int], gaps: dict[int, int], takes: int = 8) -> list[tuple[int, int, int, int, int]]:
-    """(size, first rank, gap, first gap rank, count): each item's smallest sufficient gap, larger items first.
+def sweep(items: list[Items], gaps: list[Gaps]) -> tuple[list[tuple[int, int, int, int, int]], list[Items], list[Gaps]]:
+    """((size, stripe, first rank, how many, first container) placed, items left, gaps left).
 
-    items, gaps: how many there are of each size. A gap that has taken an item goes on with the room left, for up to
-    `takes` items; it keeps the size and rank that it began with. Gaps of equal history are one run, so the work grows
-    with the number of different sizes only.
+    Larger items come first; each takes the smallest sufficient gap, and the gap goes on with the room left.
     """
-    runs = sorted((g, g, 0, n, 0) for g, n in gaps.items() if n)  # room, gap, first rank, how many, items taken
-    out = []
-    for size in sorted(items, reverse=True):
-        left, rank = items[size], 0
-        while left:
+    runs = sorted(gaps)
+    placed, left = [], []
+    for size, stripe, rank, n in sorted(items, key=lambda x: (-x[0], x[1], x[2])):
+        while n:
             at = bisect_left(runs, (size,))
             if at == len(runs):
+                left.append((size, stripe, rank, n))
                 break
-            room, gap, lo, n, taken = runs.pop(at)
-            k = min(left, n)
-            out.append((size, rank, gap, lo, k))
+            gap, bin0, m = runs.pop(at)
+            k = min(n, m)
+            placed.append((size, stripe, rank, k, bin0))
             rank += k
-            left -= k
-            if k < n:
-                insort(runs, (room, gap, lo + k, n - k, taken))
-            if taken + 1 < takes and room > size:
-                insort(runs, (room - size, gap, lo, k, taken + 1))
-    return out
-
-
-def ranked(df: DataFrame, size: str, name: str) -> DataFrame:
-    """Adds `name`: a rank from 0 among the rows of the same pack_id and `size`. df must have `part`, its storage part.
-
-    Ranks count within a part first, then parts are lined up; so a size that most rows have is no burden to one task.
-    """
-    local = df.withColumn("_r", F.row_number().over(Window.partitionBy("pack_id", size, "part").orderBy("id")) - 1)
-    per = df.groupBy("pack_id", size, "part").agg(F.count("*").alias("_n"))
-    off = per.withColumn("_o", F.coalesce(F.sum("_n").over(Window.partitionBy("pack_id", size).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select(
-        F.col("pack_id").alias("_p"), F.col(size).alias("_s"), F.col("part").alias("_q"), "_o"
-    )
-    return local.join(off, (F.col("pack_id") == F.col("_p")) & (F.col(size) == F.col("_s")) & (F.col("part") == F.col("_q"))).withColumn(name, F.col("_r") + F.col("_o")).drop("_r", "_o", "_p", "_s", "_q")
-
-
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    return written(df.withColumn("part", F.spark_partition_id()), name)
-
-
-def counts(df: DataFrame, size: str) -> dict[int, dict[int, int]]:
-    """pack_id -> size -> rows. Bounded by the capacities."""
-    out: dict[int, dict[int, int]] = {}
-    for r in df.groupBy("pack_id", size).agg(F.count("*").alias("n")).collect():
-        out.setdefault(r["pack_id"], {})[r[size]] = r["n"]
-    return out
+            n -= k
+            if k < m:
+                insort(runs, (gap, bin0 + k, m - k))
+            if gap > size:
+                insort(runs, (gap - size, bin0, k))
+    return placed, left, runs
+
+
+def swept(capacity: int, base: int, items: list[Items], gaps: list[Gaps], last: bool) -> tuple[list, list[Items], list[Gaps]]:
+    """A stripe's sweep, then new containers from number `base` on: as many as the rest surely fills, in the last round
+    as many as it needs."""
+    placed, left, gaps = sweep(items, gaps)
+    while left:
+        rest = sum(size * n for size, _, _, n in left)
+        more = -(-rest // capacity) if last else rest // capacity
+        if not more:
+            break
+        got, left, gaps = sweep(left, [*gaps, (capacity, base, more)])
+        base += more
+        placed += got
+        if not last:
+            break
+    return placed, left, gaps
 
 
 def pieces_of(sized: DataFrame, packs: DataFrame) -> DataFrame:
@@ -84,76 +78,65 @@ def pieces_of(sized: DataFrame, packs: DataFrame) -> DataFrame:
     return cut.select("pack_id", "capacity", "doc_id", "piece", (F.col("piece") * F.col("capacity")).alias("start"), F.least(F.col("capacity"), F.col("n_tokens") - F.col("piece") * F.col("capacity")).alias("n"))
 
 
-def bundled(pieces: DataFrame) -> DataFrame:
-    """Adds `id`: pieces with the same pack_id and id are placed together."""
-    level = F.lit(LEVELS)
-    for lv in reversed(range(LEVELS)):
-        fits = F.col("n") * (2 * SHARE * 4**lv) < F.col("capacity")
-        level = F.when(fits & (F.pmod(F.xxhash64("doc_id", F.lit(lv)), F.lit(4)) != 0), F.lit(lv)).otherwise(level)
-    own = F.xxhash64("doc_id", "piece")
-    leveled = pieces.withColumn("level", level)
-    loose = leveled.where(F.col("level") == LEVELS).withColumn("id", F.concat_ws("-", F.lit("s"), "doc_id", "piece"))
-    small = running_sum(leveled.where(F.col("level") < LEVELS).withColumn("_h", own), ["pack_id", "level"], ["n", "_h", "doc_id", "piece"], "n", "_sum")
-    target = F.greatest(F.lit(1).cast("long"), F.floor(F.col("capacity") / (SHARE * F.pow(F.lit(4), F.col("level")))))
-    small = small.withColumn("id", F.concat_ws("-", F.lit("b"), "level", F.floor((F.col("_sum") - F.col("n")) / target))).drop("_sum", "_h")
-    return loose.unionByName(small).drop("level")
+_RUN = "pack_id int, capacity long, kind string, size long, stripe long, rank long, n long, bin long"
+
+
+def _sweep_round(state: DataFrame, number: int, last: bool) -> DataFrame:
+    """One round: `state` (group, and _RUN with kinds item and gap) to _RUN with kinds placed, item and gap."""
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        pack, capacity, group = int(pdf.pack_id.iloc[0]), int(pdf.capacity.iloc[0]), int(pdf.group.iloc[0])
+        it, ga = pdf[pdf.kind == "item"], pdf[pdf.kind == "gap"]
+        items = list(zip(it["size"].tolist(), it["stripe"].tolist(), it["rank"].tolist(), it["n"].tolist()))
+        gaps = list(zip(ga["size"].tolist(), ga["bin"].tolist(), ga["n"].tolist()))
+        base = (number << 56) + (group << 32)  # containers opened by this stripe in this round
+        placed, left, gaps = swept(capacity, base, items, gaps, last)
+        rows = [(pack, capacity, "placed", s, g, r, n, b) for s, g, r, n, b in placed] + [(pack, capacity, "item", s, g, r, n, 0) for s, g, r, n in left]
+        rows += [(pack, capacity, "gap", s, group, 0, n, b) for s, b, n in gaps]
+        return pd.DataFrame(rows, columns=[c.split()[0] for c in _RUN.split(", ")])
+
+    return state.groupBy("pack_id", "group").applyInPandas(work, _RUN)
 
 
-def packed(sized: DataFrame, packs: DataFrame) -> DataFrame:
+def packed(sized: DataFrame, packs: DataFrame, stripe_bins: int = 2048, fan_in: int = 16) -> DataFrame:
     """pack_id, bin_id, doc_id, piece, start, n: every document (piece) in a container of each capacity.
 
     sized: doc_id (unique), n_tokens. packs: pack_id, capacity_tokens (a few). A document without tokens needs no room
-    and stands with a null bin_id. Containers never hold more than their capacity.
+    and stands with a null bin_id; one without a number of tokens has no row. Containers never hold more than their
+    capacity. stripe_bins: containers that a stripe fills in the first round; fan_in: stripes merged per round.
     """
     spark = sized.sparkSession
-    sized = written(sized.select("doc_id", "n_tokens"), "sized")
     caps = {r["pack_id"]: int(r["capacity_tokens"]) for r in packs.collect()}
-    pieces = written(bundled(pieces_of(sized, packs)), "pieces")
-    items = _stored(pieces.groupBy("pack_id", "id").agg(F.sum("n").alias("size")), "items")
-    gaps = None
-    placed: list[DataFrame] = []
-    made = dict.fromkeys(caps, 0)
+    sized = written(sized.select("doc_id", "n_tokens"), "sized")
+    total = sized.agg(F.sum("n_tokens")).first()[0] or 0
+    stripes = {p: max(1, -(-total // (c * stripe_bins))) for p, c in caps.items()}
+    of = F.broadcast(spark.createDataFrame([(p, s) for p, s in stripes.items()], "pack_id int, stripes long"))  # a row per capacity
+    ranked = running_sum(pieces_of(sized, packs).withColumn("_1", F.lit(1)), ["pack_id", "n"], ["doc_id", "piece"], "_1", "_rank").join(of, "pack_id")
+    # Each size starts at another stripe, so that rare sizes spread too.
+    turn = F.col("_rank") - 1 + F.pmod(F.xxhash64("n"), F.col("stripes"))
+    laid = written(
+        ranked.select("pack_id", "capacity", "doc_id", "piece", "start", "n", F.pmod(turn, F.col("stripes")).alias("stripe"), F.floor(turn / F.col("stripes")).alias("rank")), "ranked-pieces"
+    )
+    state = laid.groupBy("pack_id", "capacity", "stripe", F.col("n").alias("size")).agg(F.count("*").alias("n"), F.min("rank").alias("rank")).select(
+        "pack_id", "capacity", F.lit("item").alias("kind"), "size", "stripe", "rank", "n", F.lit(0).cast("long").alias("bin")
+    )
+    placed, number, width = None, 0, 1
+    most = max(stripes.values(), default=1)
     while True:
-        todo = counts(items, "size")
-        if not todo:
+        last = width >= most
+        grouped = state.withColumn("group", F.floor(F.col("stripe") / F.lit(width)) if number == 0 else F.when(F.col("kind") == "item", F.floor(F.col("stripe") / F.lit(width))).otherwise(F.floor(F.col("stripe") / F.lit(fan_in))))
+        out = written(_sweep_round(grouped, number, last), "sweep")
+        here = out.where("kind = 'placed'").select("pack_id", "stripe", "size", "rank", "n", "bin")
+        placed = here if placed is None else placed.unionByName(here)
+        if last:
             break
-        open_gaps = counts(gaps, "gap") if gaps is not None else {}
-        opened = []
-        plan = []
-        for p, sizes in todo.items():
-            here = dict(open_gaps.get(p, {}))
-            got = sweep(sizes, here)
-            if not got:  # nothing fits: open as many containers as the rest needs at least
-                new = -(-sum(s * n for s, n in sizes.items()) // caps[p])
-                opened.append(spark.range(made[p], made[p] + new).select(F.lit(p).alias("pack_id"), F.col("id"), F.lit(caps[p]).cast("long").alias("gap")))
-                made[p] += new
-            else:
-                plan += [(p, *x) for x in got]
-        if opened:
-            for o in opened:
-                gaps = o if gaps is None else gaps.drop("part").unionByName(o)
-            gaps = _stored(gaps.select("pack_id", "id", "gap"), "gaps")
-            if not plan:
-                continue
-        ways = F.broadcast(spark.createDataFrame(plan, "wp int, ws long, lo long, wg long, glo long, k long"))
-        ri = ranked(items, "size", "r")
-        led = ri.join(ways, (F.col("pack_id") == F.col("wp")) & (F.col("size") == F.col("ws")) & (F.col("r") >= F.col("lo")) & (F.col("r") < F.col("lo") + F.col("k")), "left")
-        led = written(led.select("pack_id", "id", "size", F.col("wg").alias("g"), (F.col("glo") + F.col("r") - F.col("lo")).alias("gr")), "led")
-        rg = ranked(gaps, "gap", "r").select("pack_id", F.col("id").alias("bin_id"), "gap", "r")
-        come = led.where("g IS NOT NULL").select(F.col("pack_id").alias("ip"), F.col("id").alias("item"), F.col("size").alias("isize"), "g", "gr")
-        met = written(rg.join(come, (F.col("pack_id") == F.col("ip")) & (F.col("gap") == F.col("g")) & (F.col("r") == F.col("gr")), "left").select("pack_id", "bin_id", "gap", "item", "isize"), "met")
-        placed.append(met.where("item IS NOT NULL").select("pack_id", "bin_id", F.col("item").alias("id")))
-        after = met.groupBy("pack_id", F.col("bin_id").alias("id"), "gap").agg(F.sum(F.coalesce("isize", F.lit(0))).alias("took"))
-        gaps = _stored(after.select("pack_id", "id", (F.col("gap") - F.col("took")).alias("gap")).where("gap > 0"), "gaps")
-        items = _stored(led.where("g IS NULL").select("pack_id", "id", "size"), "items")
+        state = out.where("kind <> 'placed'")
+        number, width = number + 1, width * fan_in
+    runs = placed.select(F.col("pack_id").alias("_p"), F.col("stripe").alias("_t"), F.col("size").alias("_s"), F.col("rank").alias("_lo"), (F.col("rank") + F.col("n")).alias("_hi"), "bin")
+    met = laid.join(runs, (F.col("pack_id") == F.col("_p")) & (F.col("stripe") == F.col("_t")) & (F.col("n") == F.col("_s")) & (F.col("rank") >= F.col("_lo")) & (F.col("rank") < F.col("_hi")))
+    full = met.select("pack_id", (F.col("bin") + F.col("rank") - F.col("_lo")).alias("bin_id"), "doc_id", "piece", "start", "n")
     none = sized.where("n_tokens = 0").select("doc_id", F.explode(F.array(*[F.lit(p) for p in caps])).alias("pack_id"))
-    empty = none.select("pack_id", F.lit(None).cast("long").alias("bin_id"), "doc_id", F.lit(0).cast("long").alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("n"))
-    if not placed:
-        return empty
-    at = placed[0]
-    for x in placed[1:]:
-        at = at.unionByName(x)
-    return pieces.join(at, ["pack_id", "id"]).select("pack_id", "bin_id", "doc_id", "piece", "start", "n").unionByName(empty)
+    return full.unionByName(none.select("pack_id", F.lit(None).cast("long").alias("bin_id"), "doc_id", F.lit(0).cast("long").alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("n")))
 
 
 def unused(assigned: DataFrame, packs: DataFrame) -> DataFrame:

@@ -276,7 +276,7 @@ def test_packing(spark, seed):
     sizes = [rng.choice([0, 1, 3, 7, 7, 7, 20, 33, 90, rng.randint(1, 400)]) for _ in range(400)]
     docs = spark.createDataFrame([(i, n, 0) for i, n in enumerate(sizes)], "doc_id long, n_tokens long, bin_id int")
     packs = spark.createDataFrame([(1, 64), (2, 256)], "pack_id int, capacity_tokens long")
-    rows = packing.packed(docs, packs).collect()
+    rows = packing.packed(docs, packs, *((2048, 16), (4, 3), (8, 2))[seed - 1]).collect()
     for p, cap in ((1, 64), (2, 256)):
         mine = [r for r in rows if r.pack_id == p]
         held, parts = Counter(), Counter()
@@ -291,18 +291,23 @@ def test_packing(spark, seed):
     assert packing.packed(docs.limit(0), packs).count() == 0
 
 
-@settings(max_examples=60, deadline=None)
+@settings(max_examples=100, deadline=None)
 @given(st.dictionaries(st.integers(1, 30), st.integers(1, 5), max_size=8), st.dictionaries(st.integers(1, 30), st.integers(1, 5), max_size=8))
 def test_sweep(items, gaps):
-    took, used = Counter(), Counter()
-    for size, rank, gap, first, k in packing.sweep(items, gaps, 3):
+    starts = dict(zip(sorted(gaps), itertools.accumulate([0, *(gaps[g] for g in sorted(gaps))])))
+    placed, left, rest = packing.sweep([(s, 0, 0, n) for s, n in items.items()], [(g, starts[g], n) for g, n in gaps.items()])
+    held, took = Counter(), Counter()
+    for size, _, rank, k, b in placed:
         for i in range(k):
             took[size, rank + i] += 1
-            used[gap, first + i] += size
-    assert all(n == 1 and r < items[s] for (s, r), n in took.items())
-    assert all(n <= g and r < gaps[g] for (g, r), n in used.items())
-    if items and gaps and min(items) <= max(gaps):
-        assert took
+            held[b + i] += size
+    for size, _, rank, k in left:
+        took.update((size, rank + i) for i in range(k))
+    assert took == Counter((s, i) for s, n in items.items() for i in range(n))
+    room = {starts[g] + i: g for g, n in gaps.items() for i in range(n)}
+    open_ = {b + i: g for g, b, n in rest for i in range(n)}
+    assert all(held[b] + open_.get(b, 0) == g for b, g in room.items())
+    assert not left or min(x[0] for x in left) > max(open_.values(), default=0)  # what is left fits nowhere
 
 
 def test_mixing(spark):
@@ -321,6 +326,25 @@ def test_mixing(spark):
     assert total <= mixing.reachable_total(docs, goal)
     exact = mixing.mixed(docs, goal, total_tokens=500)
     assert 460 <= sum(r.n_tokens for r in exact.collect()) <= 500
+    left = mixing.shares(exact, goal, 500).first().unused
+    assert 0 <= left < 30
+    have = {s: sum(n for _, x, n in rows if x == s) for s in "abc"}
+    most = have["a"] + 2 * have["b"] + 3 * have["c"]
+    for total in (most - 40, most + 1000):  # exhausted sources: the others go on, to the end if need be
+        got = sum(r.n_tokens for r in mixing.mixed(docs, goal, total_tokens=total).collect())
+        assert min(total, most) - 30 <= got <= min(total, most)
+    assert chosen.count() < docs.where("source IN ('a', 'b', 'c')").count() * 3
+
+
+def test_finish_line():
+    assert mixing.finish_line([(0.5, 100, 1), (0.5, 100, 1)], 100) == 100
+    assert mixing.finish_line([(0.5, 10, 1), (0.5, 100, 1)], 60) == 100  # 10 of the first, 50 of the second
+    assert mixing.finish_line([(0.5, 10, 2)], 21) == float("inf")
+
+
+def test_mixing_nothing(spark):
+    docs = spark.createDataFrame([], "doc_id long, source string, n_tokens long")
+    goal = spark.createDataFrame([("a", 1.0, 1)], "source string, target_share double, max_repeats int")
     assert mixing.mixed(docs.limit(0), goal).count() == 0
 
 
