@@ -1,16 +1,19 @@
 """Has this key been seen before? Golomb-coded sets over hash ranges (problem 2).
 
-The history is kept as compressed sets, not as keys. A key is hashed to 64 bits and reduced to its top `range_bits`
-bits. The reduced range is divided into equal blocks; per history segment and block, the sorted distinct values are
-stored as Rice-coded gaps. A probe needs only the block of its own hash, so only probed blocks are decoded. All
-segments share one range, which makes one decoded block answer for every segment at once, and a set of n values
-answers wrongly with probability n / 2**range_bits. The positives are then checked against the exact keys; what the
-check removes is the audited rate of wrong answers.
+A key is hashed to 64 bits and reduced to its top `range_bits` bits. The reduced range is divided into equal blocks. Per
+segment of history and block, the sorted distinct values are stored as Rice-coded gaps, with the exact keys beside them.
+A probe needs only the block of its own hash, so only probed blocks are decoded; a set of n values answers wrongly with
+probability n / 2**range_bits. What the sets call seen is checked against the exact keys of the block; what the check
+takes back is the audited rate of wrong answers.
+
+The index is stored. A batch is probed against the segments that are there and appended as a segment of its own, in one
+pass: segments are bucketed by block, so the history is never shuffled. Every `fan` segments of one tier are merged.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalog.plans.lineage import written
+from stratalog.plans import manifest
+from stratalog.plans.lineage import fresh_path, written
 from stratalog.sources.tables import table
 
 
@@ -34,7 +38,7 @@ def key_of(c: Column) -> Column:
 def encode_block(values: np.ndarray) -> tuple[bytes, int]:
     """Rice-codes sorted distinct non-negative int64 values, given relative to the block's start.
 
-    Each gap is written as its quotient in unary (ones, closed by a zero) and its low k bits. Returns bytes and k.
+    First come the gaps' quotients in unary (ones, closed by a zero), then their low k bits. Returns bytes and k.
     """
     n = len(values)
     if n == 0:
@@ -42,14 +46,10 @@ def encode_block(values: np.ndarray) -> tuple[bytes, int]:
     gaps = np.diff(values, prepend=-1).astype(np.int64) - 1
     k = max(0, int(math.log2(max(1.0, float(gaps.mean()) * math.log(2)))))
     q, r = gaps >> k, gaps & ((1 << k) - 1)
-    width = q + 1 + k
-    start = np.concatenate([[0], np.cumsum(width)[:-1]])
-    bits = np.zeros(int(width.sum()), dtype=np.uint8)
-    ones = np.repeat(start - np.concatenate([[0], np.cumsum(q)[:-1]]), q) + np.arange(int(q.sum()))
-    bits[ones] = 1
-    for b in range(k):
-        bits[start + q + 1 + b] = (r >> (k - 1 - b)) & 1
-    return np.packbits(bits).tobytes(), k
+    unary = np.ones(int(q.sum()) + n, dtype=np.uint8)
+    unary[np.cumsum(q + 1) - 1] = 0
+    low = (r[:, None] >> np.arange(k - 1, -1, -1)) & 1
+    return np.packbits(np.concatenate([unary, low.ravel().astype(np.uint8)])).tobytes(), k
 
 
 def decode_block(data: bytes, n: int, k: int) -> np.ndarray:
@@ -57,26 +57,13 @@ def decode_block(data: bytes, n: int, k: int) -> np.ndarray:
     if n == 0:
         return np.zeros(0, dtype=np.int64)
     bits = np.unpackbits(np.frombuffer(data, dtype=np.uint8))
-    zeros = np.flatnonzero(bits == 0)
-    # The unary part of gap i ends at the first zero at or after its start; low bits may hold zeros, so walk by index.
-    nxt = np.searchsorted(zeros, np.arange(len(bits) + 1))
-    ends = np.empty(n, dtype=np.int64)
-    pos, zl, nl = 0, zeros.tolist(), nxt.tolist()
-    step = 1 + k
-    starts = np.empty(n, dtype=np.int64)
-    for i in range(n):
-        e = zl[nl[pos]]
-        starts[i], ends[i] = pos, e
-        pos = e + step
-    gaps = (ends - starts) << k
-    for b in range(k):
-        gaps += bits[ends + 1 + b].astype(np.int64) << (k - 1 - b)
-    return np.cumsum(gaps + 1) - 1
+    ends = np.flatnonzero(bits == 0)[:n]  # the zeros that close the unary parts come before all low bits
+    q = np.diff(ends, prepend=-1) - 1
+    low = bits[ends[-1] + 1 : ends[-1] + 1 + n * k].reshape(n, k).astype(np.int64) @ (1 << np.arange(k - 1, -1, -1, dtype=np.int64)) if k else 0
+    return np.cumsum((q.astype(np.int64) << k) + low + 1) - 1
 
 
-# -------------------------------------------------------------------------------------------------------- the operator
-
-INDEX_SCHEMA = "block long, seg int, n int, k int, gaps binary"
+# ----------------------------------------------------------------------------------------------------------- the index
 
 
 def range_bits_for(n_keys: int, fp_rate: float) -> int:
@@ -89,121 +76,162 @@ def reduced(key: Column, range_bits: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(key), 64 - range_bits)
 
 
-def build_index(keys: DataFrame, range_bits: int, block_bits: int) -> DataFrame:
-    """Golomb-coded blocks of `keys` (key binary, seg int): block, seg, n, k, gaps.
-
-    A block spans 2**(range_bits - block_bits) values. The distinct values of a block arrive through a map-side
-    combined set, so that a hot key costs one value per task, and blocks are even as hashes are.
-    """
-    span = range_bits - block_bits
-    r = reduced(F.col("key"), range_bits)
-    sets = keys.select("seg", r.alias("r")).groupBy(F.shiftright("r", span).alias("block"), "seg").agg(F.collect_set("r").alias("rs"))
-
-    def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for block, seg, rs in zip(pdf.block, pdf.seg, pdf.rs):
-                v = np.sort(np.asarray(rs, dtype=np.int64)) - (int(block) << span)
-                data, k = encode_block(v)
-                out.append((block, seg, len(v), k, data))
-            yield pd.DataFrame(out, columns=["block", "seg", "n", "k", "gaps"])
-
-    return sets.mapInPandas(code, INDEX_SCHEMA)
+_SEGMENT = "block long, n int, k int, gaps binary, keys array<binary>"
+_ANSWERS = "ids array<long>, maybe array<boolean>, seen array<boolean>"
 
 
-def probe_index(probes: DataFrame, index: DataFrame, range_bits: int, block_bits: int) -> DataFrame:
-    """Adds `maybe` to `probes` (key binary, seg int, id long): may the key be in a segment before seg? Never a false no.
+class SeenIndex:
+    """Golomb-coded sets of all keys so far, below `root`; a root that holds an index is opened and goes on.
 
-    Probes and blocks meet block by block; a block without probes is not decoded. Duplicate (key, seg) are allowed.
-    """
-    span = range_bits - block_bits
-    asked = probes.select("id", "seg", reduced(F.col("key"), range_bits).alias("r"))
-    asked = asked.groupBy(F.shiftright("r", span).alias("block")).agg(F.collect_list(F.struct("r", "seg", "id")).alias("asked"))
-    sets = index.groupBy("block").agg(F.collect_list(F.struct("seg", "n", "k", "gaps")).alias("sets"))
-
-    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            ids, hits = [], []
-            for block, qs, ss in zip(pdf.block, pdf.asked, pdf.sets):
-                base = int(block) << span
-                vals, segs = [], []
-                for s in ss if ss is not None else []:
-                    v = decode_block(bytes(s["gaps"]), s["n"], s["k"])
-                    vals.append(v)
-                    segs.append(np.full(len(v), s["seg"], dtype=np.int64))
-                qr = np.fromiter((q["r"] for q in qs), np.int64, len(qs)) - base
-                qs_seg = np.fromiter((q["seg"] for q in qs), np.int64, len(qs))
-                ids.extend(q["id"] for q in qs)
-                if not vals:
-                    hits.append(np.zeros(len(qs), dtype=bool))
-                    continue
-                v, g = np.concatenate(vals), np.concatenate(segs)
-                order = np.lexsort((g, v))
-                v, g = v[order], g[order]
-                at = np.searchsorted(v, qr)  # the first entry of a value has its earliest segment
-                ok = at < len(v)
-                hit = np.zeros(len(qs), dtype=bool)
-                hit[ok] = (v[at[ok]] == qr[ok]) & (g[at[ok]] < qs_seg[ok])
-                hits.append(hit)
-            yield pd.DataFrame({"id": ids, "maybe": np.concatenate(hits) if hits else np.zeros(0, dtype=bool)})
-
-    return asked.join(sets, "block", "left").select("block", "asked", "sets").mapInPandas(answer, "id long, maybe boolean")
-
-
-def first_of_segments(rows: DataFrame) -> DataFrame:
-    """seg, key, id: the first row of each key in each segment. Ids grow with arrival; hot keys are combined map-side."""
-    return rows.groupBy("key", "seg").agg(F.min("id").alias("id"))
-
-
-def answers(rows: DataFrame, fp_rate: float = 1 / 4096, block_keys: int = 1024) -> tuple[DataFrame, int, int]:
-    """For the first row of each key in each segment of `rows` (key, seg, id): maybe (from the sets), seen (exact).
-
-    Also returns the bits of the range and the number of (key, segment) entries in the sets. fp_rate: wrong answers
-    aimed at; block_keys: keys a block holds on average. `rows` must hold no null key; no row gives no answer.
+    expected_keys, fp_rate: the range is made for so many keys at that rate of wrong answers; with more keys the rate
+    grows in proportion (`bound`), and answers stay right through the exact check. block_keys: keys a block then holds.
     """
-    firsts = written(first_of_segments(rows), "firsts")
-    n = firsts.count()
-    range_bits = range_bits_for(n, fp_rate)
-    block_bits = min(range_bits, max(0, math.ceil(math.log2(max(1, n) / block_keys))))
-    index = written(build_index(firsts, range_bits, block_bits), "gcs")
-    maybe = written(probe_index(firsts, index, range_bits, block_bits), "maybe")
-    positive = firsts.join(maybe.where("maybe").select("id"), "id", "left_semi")
-    # The exact check: the earliest segment of each key that the sets called seen. The keys of a positive's class are
-    # fetched by a semi join; a key has one row per segment there, however often it occurs.
-    earliest = firsts.join(positive.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min("seg").alias("seg0"))
-    checked = positive.join(earliest, "key").select("id", (F.col("seg0") < F.col("seg")).alias("seen"))
-    return maybe.join(checked, "id", "left").select("id", "maybe", F.coalesce("seen", F.lit(False)).alias("seen")), range_bits, n
-
-
-def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """key, seg, id of every row with a key: the store first, then the object list by batch, then the want-list.
-
-    id = table's number in the top bits, the row's own number below; a segment holds one arrival batch, or the store.
-    The batch of an object-list row is when it arrived; where line numbers and batches disagree, line numbers hold,
-    as segments are then cut by line number at the batches' first lines.
+
+    def __init__(self, spark: SparkSession, root: str | None = None, expected_keys: int = 1_000_000_000, fp_rate: float = 1 / 4096, block_keys: int = 1024, fan: int = 4) -> None:
+        self.spark, self.root = spark, root or fresh_path(spark, "seen")
+        self.version, kept = manifest.load(spark, self.root)
+        if kept is None:
+            bits = range_bits_for(expected_keys, fp_rate)
+            blocks = min(bits, max(0, math.ceil(math.log2(max(1, expected_keys) / block_keys))))
+            kept = {"range_bits": bits, "block_bits": blocks, "buckets": int(spark.conf.get("spark.sql.shuffle.partitions")), "fan": fan, "segments": []}
+        self.kept = kept
+        self.range_bits, self.span = kept["range_bits"], kept["range_bits"] - kept["block_bits"]
+        self.tables: dict[str, str] = {}
+
+    def bound(self, n_keys: int) -> float:
+        """The rate of wrong answers that theory gives for a set of n_keys keys."""
+        return n_keys / 2.0**self.range_bits
+
+    def _segment(self, name: str) -> DataFrame:
+        """A stored segment as a table bucketed by block."""
+        if name not in self.tables:
+            known = f"seen_{uuid.uuid4().hex}"
+            fields = _SEGMENT if name.startswith("merged") else f"{_SEGMENT}, {_ANSWERS}"
+            self.spark.sql(f"CREATE TABLE {known} ({fields}) USING parquet CLUSTERED BY (block) SORTED BY (block) INTO {self.kept['buckets']} BUCKETS LOCATION '{self.root}/{name}'")
+            self.tables[name] = known
+        return self.spark.table(self.tables[name])
+
+    def _store(self, df: DataFrame, name: str) -> None:
+        """Writes `df`, hash-partitioned by block already, as a segment: one file per bucket."""
+        known = f"seen_{uuid.uuid4().hex}"
+        df.write.format("parquet").bucketBy(self.kept["buckets"], "block").sortBy("block").option("path", f"{self.root}/{name}").mode("overwrite").saveAsTable(known)
+        self.tables[name] = known
+
+    def add(self, rows: DataFrame) -> DataFrame:
+        """Probes a batch (key binary, id long; ids grow with arrival) and appends it as a segment.
+
+        Returns id, maybe, seen for the first row of each key in the batch: the sets' answer and the checked one. Every
+        other row of the batch repeats such a row. Rows with a null key or id are left out.
+        """
+        span, buckets = self.span, self.kept["buckets"]
+        r = reduced(F.col("key"), self.range_bits)
+        claims = rows.where("key IS NOT NULL AND id IS NOT NULL").groupBy(F.shiftright(r, span).alias("block"), r.alias("r"), "key").agg(F.min("id").alias("id"))  # combined before the shuffle: a hot key is one value per task
+        asked = claims.repartition(buckets, "block").groupBy("block").agg(F.collect_list("r").alias("r"), F.collect_list("key").alias("key"), F.collect_list("id").alias("id"))
+        names = [s["name"] for s in self.kept["segments"]]
+        for i, name in enumerate(names):  # a few, as segments are merged; each join finds both sides bucketed by block
+            old = self._segment(name).select("block", F.col("n").alias(f"n{i}"), F.col("k").alias(f"k{i}"), F.col("gaps").alias(f"gaps{i}"), F.col("keys").alias(f"keys{i}"))
+            asked = asked.join(old.hint("merge"), "block", "left")
+        count = len(names)
+
+        def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                out = []
+                for row in pdf.itertuples(index=False):
+                    base = int(row.block) << span
+                    values = np.asarray(row.r, dtype=np.int64) - base
+                    ids = np.asarray(row.id, dtype=np.int64)
+                    sets = [decode_block(bytes(getattr(row, f"gaps{i}")), int(getattr(row, f"n{i}")), int(getattr(row, f"k{i}"))) for i in range(count) if getattr(row, f"gaps{i}") is not None]
+                    before = np.isin(values, np.concatenate(sets)) if sets else np.zeros(len(values), dtype=bool)
+                    order = np.lexsort((ids, values))
+                    again = np.zeros(len(values), dtype=bool)  # the value stands in this batch's own set by an earlier row
+                    again[order[1:]] = values[order[1:]] == values[order[:-1]]
+                    seen = np.zeros(len(values), dtype=bool)
+                    if before.any():
+                        known: set[bytes] = set()
+                        for i in range(count):
+                            keys = getattr(row, f"keys{i}")
+                            if keys is not None:
+                                known.update(map(bytes, keys))
+                        seen[before] = [bytes(row.key[j]) in known for j in np.flatnonzero(before)]
+                    own = np.unique(values)
+                    data, k = encode_block(own)
+                    out.append((row.block, len(own), k, data, row.key, ids, before | again, seen))
+                yield pd.DataFrame(out, columns=["block", "n", "k", "gaps", "keys", "ids", "maybe", "seen"])
+
+        name = f"batch-{self.version + 1}"
+        self._store(asked.mapInPandas(answer, f"{_SEGMENT}, {_ANSWERS}").repartition(buckets, "block"), name)
+        answers = self._segment(name).select(F.explode(F.arrays_zip("ids", "maybe", "seen")).alias("x")).select(F.col("x.ids").alias("id"), F.col("x.maybe").alias("maybe"), F.col("x.seen").alias("seen"))
+        self._commit([*self.kept["segments"], {"name": name, "tier": 0}])
+        self._compact()
+        return answers
+
+    def _commit(self, segments: list[dict]) -> None:
+        self.version += 1
+        self.kept = {**self.kept, "segments": segments}
+        manifest.commit(self.spark, self.root, self.version, self.kept)
+
+    def _compact(self) -> None:
+        """Merges the segments of a tier once there are `fan` of them; so their number grows with the logarithm only."""
+        tier = 0
+        while len(mine := [s for s in self.kept["segments"] if s["tier"] == tier]) >= self.kept["fan"]:
+            both = self.spark.read.schema(_SEGMENT).parquet(*[f"{self.root}/{s['name']}" for s in mine])
+            grouped = both.repartition(self.kept["buckets"], "block").groupBy("block").agg(*[F.collect_list(c).alias(c) for c in ("n", "k", "gaps")], F.array_distinct(F.flatten(F.collect_list("keys"))).alias("keys"))
+
+            def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                for pdf in batches:
+                    out = []
+                    for block, ns, ks, gaps, keys in zip(pdf.block, pdf.n, pdf.k, pdf.gaps, pdf["keys"]):
+                        values = np.unique(np.concatenate([decode_block(bytes(g), int(n), int(k)) for n, k, g in zip(ns, ks, gaps)]))
+                        data, k = encode_block(values)
+                        out.append((block, len(values), k, data, keys))
+                    yield pd.DataFrame(out, columns=["block", "n", "k", "gaps", "keys"])
+
+            name = f"merged-{self.version + 1}"
+            self._store(grouped.mapInPandas(merge, _SEGMENT).repartition(self.kept["buckets"], "block"), name)
+            self._commit([s for s in self.kept["segments"] if s not in mine] + [{"name": name, "tier": tier + 1}])
+            tier += 1
+
+
+# ------------------------------------------------------------------------------------------------------------- queries
+
+
+def stream(spark: SparkSession, sf_dir: str, parts: int = 3) -> DataFrame:
+    """key, id, batch of every row with a key: the store (batch 0), the object list in `parts` ranges of lines, the
+    want-list. id = the table's number in the top bits, the row's own number below."""
+    store = table(spark, sf_dir, "store_idx").select(key_of(F.col("sha")).alias("key"), F.col("id").alias("id"), F.lit(0).alias("batch"))
+    olist = table(spark, sf_dir, "olist")
+    span = olist.agg(F.min("line_no").alias("lo"), F.max("line_no").alias("hi")).first()
+    lo, width = span["lo"] or 0, ((span["hi"] or 0) - (span["lo"] or 0)) // parts + 1
+    lines = olist.select(key_of(F.col("sha")).alias("key"), (F.col("line_no") + F.lit(1 << 60)).alias("id"), (F.floor((F.col("line_no") - F.lit(lo)) / F.lit(width)) + 1).cast("int").alias("batch"))
+    back = table(spark, sf_dir, "backfill").select(key_of(F.col("oid")).alias("key"), (F.col("bf_id") + F.lit(2 << 60)).alias("id"), F.lit(parts + 1).alias("batch"))
+    return store.unionByName(lines).unionByName(back).where("key IS NOT NULL")
+
+
+def answers(rows: DataFrame, index: SeenIndex | None = None) -> tuple[list[tuple[int, DataFrame, DataFrame]], SeenIndex]:
+    """(batch, its rows, their answers) for each batch of `rows` (key, id, batch int), taken in in order, and the index.
+
+    Without an index, one is made for as many keys as there are rows.
     """
-    store = table(spark, sf_dir, "store_idx").select(key_of(F.col("sha")).alias("key"), F.lit(0).alias("seg"), F.col("id").alias("id"))
-    olist = table(spark, sf_dir, "olist").select(key_of(F.col("sha")).alias("key"), F.col("line_no"), "batch")
-    # Segment borders: the smallest line of each batch (few), made monotonic.
-    borders = sorted(r["lo"] for r in olist.groupBy("batch").agg(F.min("line_no").alias("lo")).collect())
-    seg = F.lit(1)
-    for b in borders[1:]:
-        seg = seg + (F.col("line_no") >= b).cast("int")
-    olist = olist.select("key", seg.alias("seg"), (F.col("line_no") + F.lit(1 << 60)).alias("id"))
-    last = len(borders) + 1
-    back = table(spark, sf_dir, "backfill").select(key_of(F.col("oid")).alias("key"), F.lit(last).alias("seg"), (F.col("bf_id") + F.lit(2 << 60)).alias("id"))
-    return store.unionByName(olist).unionByName(back).where(F.col("key").isNotNull())
+    laid = written(rows.select("key", "id", "batch"), "keys", "batch")
+    sizes = {r["batch"]: r["n"] for r in laid.groupBy("batch").agg(F.count("*").alias("n")).collect()}  # a row a batch
+    index = index or SeenIndex(rows.sparkSession, expected_keys=sum(sizes.values()))
+    out = []
+    for b in sorted(sizes):
+        mine = laid.where(F.col("batch") == b).select("key", "id")
+        out.append((b, mine, index.add(mine)))
+    return out, index
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows whose key came before: not the key's first row in its segment, or first there but seen in an earlier one.
+    """Rows whose key came before: all but the rows that were the first of a key which the index did not hold.
 
     Null and malformed keys are no case; equal keys in differently written values are equal.
     """
-    rows = stream(spark, sf_dir)
-    ans, _, _ = answers(rows)
-    new = ans.where(~F.col("seen")).select("id")
-    found = rows.where(F.col("id") >= (1 << 60)).select("id").join(new, "id", "left_anti")
+    ids, new = spark.createDataFrame([], "id long"), spark.createDataFrame([], "id long")
+    for _, mine, ans in answers(stream(spark, sf_dir))[0]:
+        ids = ids.unionByName(mine.select("id"))
+        new = new.unionByName(ans.where("NOT seen").select("id"))
+    found = ids.where(F.col("id") >= (1 << 60)).join(new, "id", "left_anti")
     return found.select(
         F.when(F.shiftright("id", 60) == 1, "olist").otherwise("backfill").alias("tbl"),
         F.col("id").bitwiseAND((1 << 60) - 1).alias("row_id"),
@@ -211,19 +239,31 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per segment: probes, wrong positives, audited rate, and the rate that theory gives for the range."""
-    rows = stream(spark, sf_dir)
-    ans, bits, n = answers(rows)
-    firsts = first_of_segments(rows).join(ans, "id")
-    per = firsts.groupBy("seg").agg(
-        F.count("*").alias("probes"),
-        F.sum((~F.col("seen")).cast("long")).alias("unseen"),
-        F.sum((F.col("maybe") & ~F.col("seen")).cast("long")).alias("wrong"),
-    )
-    return per.select("seg", "probes", "wrong", (F.col("wrong") / F.greatest(F.col("unseen"), F.lit(1))).alias("audited_rate"), F.lit(n / 2.0**bits).alias("theoretical_bound"))
+    """batch, probes, wrong, unseen, audited_rate, theoretical_bound: how often the sets called a new key seen.
+
+    probes: keys of the batch; unseen: those that were new; the bound is the one for all keys in the index in the end.
+    """
+    per, keys = [], 0
+    got, index = answers(stream(spark, sf_dir))
+    for b, _, ans in got:
+        r = ans.agg(F.count("*").alias("probes"), F.count_if(F.col("maybe") & ~F.col("seen")).alias("wrong"), F.count_if(~F.col("seen")).alias("unseen")).first()
+        per.append((b, r["probes"], r["wrong"], r["unseen"], r["wrong"] / max(1, r["unseen"])))
+        keys += r["unseen"]
+    out = spark.createDataFrame(per, "batch int, probes long, wrong long, unseen long, audited_rate double")
+    return out.withColumn("theoretical_bound", F.lit(index.bound(keys)))
+
+
+def p2_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """tbl, n_rows, n_new: rows with a key per table, and how many of them brought a new one."""
+    got, _ = answers(stream(spark, sf_dir))
+    out = spark.createDataFrame([], "id long, new boolean")
+    for _, mine, ans in got:
+        out = out.unionByName(mine.select("id", F.lit(False).alias("new"))).unionByName(ans.where("NOT seen").select("id", F.lit(True).alias("new")))
+    tbl = F.shiftright("id", 60)
+    return out.groupBy(F.when(tbl == 0, "store_idx").when(tbl == 1, "olist").otherwise("backfill").alias("tbl")).agg(F.count_if(~F.col("new")).alias("n_rows"), F.count_if("new").alias("n_new"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_error_rate": p2_error_rate}
+QUERIES = {"p2_found": p2_found, "p2_error_rate": p2_error_rate, "p2_new_keys": p2_new_keys}
 
 _KEYS = """
     WITH k AS (
@@ -232,4 +272,5 @@ _KEYS = """
         UNION ALL SELECT 2, bf_id, lower(regexp_replace(oid, '^[\\s\\p{Z}\\p{Cc}\\p{Cf}]+|[\\s\\p{Z}\\p{Cc}\\p{Cf}]+$', '', 'g')) FROM backfill),
     v AS (SELECT src, row_id, row_number() OVER (PARTITION BY key ORDER BY src, row_id) AS rn FROM k WHERE regexp_full_match(key, '[0-9a-f]{40}'))
 """
-SQL = {"p2_found": _KEYS + "SELECT CASE src WHEN 1 THEN 'olist' ELSE 'backfill' END AS tbl, row_id FROM v WHERE src > 0 AND rn > 1"}
+SQL = {"p2_found": _KEYS + "SELECT CASE src WHEN 1 THEN 'olist' ELSE 'backfill' END AS tbl, row_id FROM v WHERE src > 0 AND rn > 1",
+       "p2_new_keys": _KEYS + "SELECT CASE src WHEN 0 THEN 'store_idx' WHEN 1 THEN 'olist' ELSE 'backfill' END AS tbl, count(*) AS n_rows, count(*) FILTER (rn = 1) AS n_new FROM v GROUP BY 1"}

@@ -89,22 +89,41 @@ def test_key_of(spark):
     assert got[0] == got[1] == got[7]
 
 
-def test_seen_against_brute_force(spark):
+def test_seen_against_brute_force(spark, tmp_path):
     rng = random.Random(2)
-    keys = [rng.randbytes(20) for _ in range(120)]
-    rows = [(rng.choice(keys[:3] if rng.random() < 0.3 else keys), seg, i) for i, seg in enumerate(sorted(rng.randint(0, 5) for _ in range(900)))]
-    df = spark.createDataFrame([(bytearray(k), s, i) for k, s, i in rows], "key binary, seg int, id long")
-    for rate in (1 / 4096, 0.5):  # a coarse filter is put right by the exact check
-        ans, bits, n = seen.answers(df, rate, 16)
-        got = {r.id: r.seen for r in ans.collect()}
-        first, want = {}, {}
-        for k, s, i in rows:
-            first.setdefault((k, s), i)
-        for (k, s), i in first.items():
-            want[i] = any((k, t) in first for t in range(s))
-        assert got == want and n == len(first)
-        assert all(r.maybe for r in ans.where("seen").collect())  # never a false no
-    assert seen.answers(df.limit(0))[0].count() == 0
+    keys = [rng.randbytes(20) for _ in range(150)]
+    batches = sorted(rng.randint(0, 7) for _ in range(900))
+    rows = [(rng.choice(keys[:3] if rng.random() < 0.3 else keys[: 20 * (b + 1)]), b, i) for i, b in enumerate(batches)] + [(None, 2, 901), (keys[0], 3, None)]
+    df = spark.createDataFrame([(k and bytearray(k), b, i, 0) for k, b, i in rows], "key binary, batch int, id long, n int")
+    first: dict = {}
+    for k, b, i in rows[:900]:
+        first.setdefault(k, i)
+    for rate in (1 / 4096, 0.5):  # a coarse range is put right by the exact check
+        index = seen.SeenIndex(spark, str(tmp_path / str(rate)), expected_keys=150, fp_rate=rate, block_keys=16)
+        got, _ = seen.answers(df, index)
+        new = {r.id for _, _, ans in got for r in ans.where("NOT seen").collect()}
+        assert new == set(first.values())
+        assert all(r.maybe for _, _, ans in got for r in ans.where("seen").collect())  # never a false no
+        assert len(index.kept["segments"]) == 2  # eight batches, merged four by four
+    wrong = sum(ans.where("maybe AND NOT seen").count() for _, _, ans in got)
+    assert wrong > 0
+    again = seen.SeenIndex(spark, str(tmp_path / "0.5"))  # a later session
+    assert again.kept == index.kept
+    more = spark.createDataFrame([(bytearray(k), 2000 + i) for i, k in enumerate([keys[1], rng.randbytes(20)])], "key binary, id long")
+    assert {r.id: r.seen for r in again.add(more).collect()} == {2000: True, 2001: False}
+    assert [s["tier"] for s in again.kept["segments"]] == [1, 1, 0]  # the stored segments stay as they are
+    assert seen.answers(df.limit(0))[0] == []
+
+
+def test_history_is_not_shuffled(spark, tmp_path):
+    index = seen.SeenIndex(spark, str(tmp_path / "i"), expected_keys=1000)
+    rows = spark.range(1000).select(F.encode(F.sha1(F.col("id").cast("string")), "utf-8").alias("key"), "id")
+    index.add(rows)
+    index.add(rows.where("id < 10"))
+    old = index._segment(index.kept["segments"][0]["name"])
+    new = rows.select(F.shiftright(seen.reduced(F.col("key"), index.range_bits), index.span).alias("block")).repartition(index.kept["buckets"], "block")
+    plan = new.join(old.hint("merge"), "block", "left")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
 
 
 # ------------------------------------------------------------------------------------------------------------ problem 3
