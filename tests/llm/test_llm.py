@@ -145,28 +145,49 @@ def _listings(seed=3):
     return lists, rows
 
 
-def test_listings_against_brute_force(spark):
+@pytest.mark.parametrize(("similarity", "shape"), [(0.6, (8192, 4, 3)), (0.6, (15, 2, 6)), (0.4, (8192, 4, 2))])
+def test_listings_against_brute_force(spark, similarity, shape):
     lists, rows = _listings()
-    got = {(r.list_a, r.list_b) for r in listings.counterparts(spark.createDataFrame(lists, "list_id long, batch int, sig string"), spark.createDataFrame(rows, "list_id long, sha string, n string")).collect()}
+    index = listings.ShardIndex(spark, similarity=similarity, max_nodes=shape[0], fan=shape[1])
+    l, o = spark.createDataFrame(lists, "list_id long, batch int, sig string"), spark.createDataFrame(rows, "list_id long, sha string, n string")
+    got = {(r.list_a, r.list_b) for r in listings.counterparts(l, o, similarity, index, shape[2]).collect()}
     sets = {}
     for i, k, _ in rows:
         if i is not None and k and len(k) == 40:
             sets.setdefault(i, set()).add(k.lower())
     batch = {i: b for i, b, _ in lists if b is not None}
-    want = {(a, b) for a, b in itertools.combinations(sorted(set(sets) & set(batch)), 2) if batch[a] != batch[b] and len(sets[a] & sets[b]) >= 0.6 * len(sets[a] | sets[b])}
+    want = {(a, b) for a, b in itertools.combinations(sorted(set(sets) & set(batch)), 2) if batch[a] != batch[b] and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])}
     assert got == want and len(want) > 50
 
 
-def test_shards(spark):
-    assert listings.shard_plan({0: 50, 1: 5, 2: 5, 3: 40, 4: 9}, 20) == {0: (0, 3), 1: (3, 1), 2: (3, 1), 3: (4, 2), 4: (6, 1)}
-    lists, rows = _listings(4)
-    l, o = spark.createDataFrame(lists, "list_id long, batch int, r string"), spark.createDataFrame(rows, "list_id long, sha string, n string")
-    keys = listings.listing_keys(o)
-    nodes = listings.signatures(keys).join(l, "list_id").where("batch IS NOT NULL").select(F.col("list_id").alias("node"), "batch", "sig")
-    one = {tuple(r) for r in listings.candidates(nodes).collect()}
-    many = {tuple(r) for r in listings.candidates(nodes, 15, 20).collect()}
-    assert one == many  # the cut into shards and blocks changes nothing
-    assert listings.candidates(nodes.limit(0)).count() == 0
+def test_stored_shards(spark, tmp_path):
+    import os
+
+    rng = np.random.default_rng(3)
+    sig = rng.integers(0, 1 << 30, (60, listings.COMPONENTS)).astype(np.int32)
+    frame = lambda ids, batch: spark.createDataFrame([(i, batch, sig[i % 60].tolist()) for i in ids], "node long, batch int, sig array<int>")
+    root = str(tmp_path / "shards")
+    listings.ShardIndex(spark, root, max_nodes=50, fan=3).add(frame(range(30), 0))
+    stamp = {f: os.path.getmtime(f"{root}/segment-1/shards/{f}") for f in os.listdir(f"{root}/segment-1/shards")}
+    index = listings.ShardIndex(spark, root)  # another session goes on with the stored index
+    assert index.kept["max_nodes"] == 50
+    got = {tuple(r) for r in index.add(frame(range(60, 70), 1)).collect()}
+    assert got == {(i, 60 + i) for i in range(10)}
+    assert [s["shards"] for s in index.kept["segments"]] == [1, 1]  # one shard was appended, the first stays as it is
+    assert stamp == {f: os.path.getmtime(f"{root}/segment-1/shards/{f}") for f in os.listdir(f"{root}/segment-1/shards")}
+    got = {tuple(r) for r in index.add(frame(range(125, 135), 2)).collect()}
+    assert got == {(i, 120 + i) for i in range(5, 15)} | {(60 + i, 120 + i) for i in range(5, 10)}
+    assert [(s["tier"], s["nodes"], s["shards"]) for s in index.kept["segments"]] == [(1, 50, 1)]  # merged on schedule
+    assert all(r.recall >= 0.99 for r in index.shards().select("recall").collect())
+    assert {tuple(r) for r in index.add(frame([180], 3)).collect()} == {(0, 180), (60, 180)}
+    assert index.add(frame([], 4)).count() == 0
+
+
+def test_intakes():
+    assert listings.intakes({0: 50, 1: 5, 2: 5, 3: 40, 4: 9}, 3) == [[0], [1, 2, 3], [4]]
+    assert listings.intakes({}, 3) == []
+    with pytest.raises(ValueError):
+        listings.rings_for(0.1)
 
 
 def test_graph_recall():
@@ -177,20 +198,24 @@ def test_graph_recall():
         row[rng.choice(len(row), 24, replace=False)] = rng.integers(0, 1 << 30, 24)
     sig[1000:1400] = sig[7]  # a large group of copies is found whole
     q[299] = sig[7]
-    g = listings.RingGraph(sig)
-    a, b = g.search(q, g.tuned_beam(), listings.FLOOR)
+    floor = listings.floor_for(0.6)
+    g = listings.Graph(sig, listings.rings_for(0.6))
+    a, b = g.search(q, g.tuned_beam(floor), floor)
     got = set(zip(a.tolist(), b.tolist()))
-    assert got == g.exhaustive(q, listings.FLOOR) and len(got) > 690
+    assert got == g.exhaustive(q, floor) and len(got) > 690
+    for j in (0, 5):  # the walk ends at a node with the nearest components
+        goal = q[:, j].astype(np.int64) << 31 | q[:, j + 1]
+        assert (np.abs(g.keys[j][g.walk(q, j)] - goal) == np.abs(g.keys[j][None, :] - goal[:, None]).min(axis=1)).all()
 
 
 def test_beam_widens_until_recall():
     sig = np.random.default_rng(8).integers(0, 1 << 30, (300, listings.COMPONENTS)).astype(np.int32)
-    g = listings.RingGraph(sig)
+    g = listings.Graph(sig, 16)
     search = g.search
     g.search = lambda q, beam, floor: search(q, beam, floor) if beam >= 200 else (np.zeros(0, dtype=int), np.zeros(0, dtype=int))
-    assert g.tuned_beam() == 256 and g.recall == 1
-    a, b = search(sig[:9], 512, listings.FLOOR)  # wider than the shard
-    assert set(zip(a.tolist(), b.tolist())) == g.exhaustive(sig[:9], listings.FLOOR)
+    assert g.tuned_beam(0.3) == 256 and g.recall == 1
+    a, b = search(sig[:9], 512, 0.3)  # wider than the shard
+    assert set(zip(a.tolist(), b.tolist())) == g.exhaustive(sig[:9], 0.3)
 
 
 # ------------------------------------------------------------------------------------------------------------ problem 5
