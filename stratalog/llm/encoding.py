@@ -3,7 +3,8 @@
 Adjacent character pairs are scored by their mutual information in a corpus of names; pairs that the corpus does not
 support score low. The maximum-scoring segments of (typical information - pair score) are the improbable runs of a
 value; only in these runs inverse mappings are tested. A mapping is accepted if it turns bytes into well-formed
-UTF-8, or if it raises the run's mutual information clearly. Replacement and control characters are damage as such.
+UTF-8, or if it raises the run's mutual information clearly. Marks of lost letters and control characters in a run are
+damage beyond repair.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ PLAUSIBLE = set("‘’“”«»„‚–—…·•'\"-_. ‹›")
 #: Letters whose marks Unicode doesn't separate.
 UNMARKED = {"ø": "o", "Ø": "o", "ł": "l", "Ł": "l", "ß": "s", "æ": "a", "Æ": "a", "ı": "i", "đ": "d", "Đ": "d", "œ": "o", "Œ": "o"}
 
+_LETTER = re.compile(r"[^\W\d_]")
 _UTF8 = re.compile("[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}")
 
 
@@ -135,8 +137,9 @@ class PairScores:
         x = fold(ch)
         return x in "漢한" or ch in PLAUSIBLE or self.left.get(x, 0) > 0 or script(x) in ("HIRAGANA", "KATAKANA")
 
-    def total(self, text: str) -> float:
-        s = symbols(text)
+    def total(self, text: str, begins: bool = True, ends: bool = True) -> float:
+        """Information of the text's pairs, with the borders of the value where the text begins or ends it."""
+        s = symbols(text)[0 if begins else 1 : None if ends else -1]
         return sum(self.score(a, b) for a, b in zip(s, s[1:]))
 
 
@@ -163,8 +166,8 @@ def count_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
 def improbable_runs(text: str, scores: PairScores) -> list[tuple[int, int]]:
     """The maximal segments of characters whose pairs carry less information than is typical (Ruzzo and Tompa 1999).
 
-    Segments that hold no character beyond ASCII are left out, and a segment is widened to the whole of the
-    beyond-ASCII characters at its ends.
+    Segments that hold neither a question mark nor a character beyond ASCII are left out, and a segment is widened to
+    the whole of the beyond-ASCII characters at its ends.
     """
     s = symbols(text)
     gain = [scores.mean - scores.score(a, b) for a, b in zip(s, s[1:])]
@@ -191,7 +194,7 @@ def improbable_runs(text: str, scores: PairScores) -> list[tuple[int, int]]:
             lo -= 1
         while hi < len(text) and not text[hi].isascii():
             hi += 1
-        if all(ch.isascii() for ch in text[lo:hi]):
+        if text[lo:hi].isascii() and "?" not in text[lo:hi]:
             continue
         if out and lo <= out[-1][1]:
             out[-1] = (out[-1][0], max(hi, out[-1][1]))
@@ -220,6 +223,37 @@ def _letters_misread(run: str, a: int, b: int, ch: str, scores: PairScores) -> b
     return gain > 2.0 or (odd_case and gain > -4.0 and script(fold(run[a])) == script(fold(ch)))
 
 
+def wide_readings(run: str, enc: str) -> list[tuple[int, int, str]]:
+    """(start, end, text) of the longest stretches of characters whose bytes in a multi-byte encoding are UTF-8 of `text`."""
+    out, starts, raw = [], {}, []
+    at = 0
+    for i, ch in enumerate(run + " "):  # a character that is ASCII or that the encoding lacks ends a stretch
+        code = b"" if ch.isascii() else ch.encode(enc, "ignore")
+        if code:
+            starts[at] = i
+            raw.append(code.decode("latin_1"))
+            at += len(code)
+            continue
+        starts[at] = i
+        joined = "".join(raw)
+        ends = [m.end() for m in _UTF8.finditer(joined)]
+        begins = [m.start() for m in _UTF8.finditer(joined)]
+        first = None
+        for k, (x, y) in enumerate(zip(begins, ends)):  # sequences that follow each other, from and to a character's border
+            if k and x != ends[k - 1]:
+                first = None
+            if first is None and x in starts:
+                first = x
+            if first is not None and y in starts and (k + 1 == len(begins) or begins[k + 1] != y or not any(z in starts for z in ends[k + 1 :])):
+                try:
+                    out.append((starts[first], starts[y], joined[first:y].encode("latin_1").decode("utf-8")))
+                except UnicodeDecodeError:
+                    pass
+                first = None
+        starts, raw, at = {}, [], 0
+    return out
+
+
 def undo_utf8(run: str, scores: PairScores) -> str | None:
     """The run with well-formed UTF-8 that was read in another encoding put right, or null where there is none."""
     best = None
@@ -230,7 +264,7 @@ def undo_utf8(run: str, scores: PairScores) -> str | None:
             new = raw.encode("latin_1").decode("utf-8")
         except (UnicodeEncodeError, UnicodeDecodeError):
             continue
-        if new != run and all(ch.isascii() or scores.known(ch) for ch in new) and not run.isalpha():
+        if new != run and all(ch.isascii() or scores.known(ch) or ch in byte_table("cp1252") for ch in new) and not run.isalpha():
             return new
     for enc in MISREAD_AS:
         t = byte_table(enc)
@@ -241,8 +275,8 @@ def undo_utf8(run: str, scores: PairScores) -> str | None:
                 ch = m[0].encode("latin_1").decode("utf-8")
             except UnicodeDecodeError:
                 continue
-            # A control character in the result may be a step of repeated damage: a byte that cp1252 gives a meaning.
-            if not scores.known(ch) and not ("\x80" <= ch <= "\xff"):
+            # A control character or sign in the result may be a step of repeated damage: what cp1252 reads a byte as.
+            if not scores.known(ch) and not ("\x80" <= ch <= "\xff" or ch in byte_table("cp1252")):
                 continue
             was = run[m.start() : m.end()]
             if was.isalpha() and not _letters_misread(run, m.start(), m.end(), ch, scores):
@@ -251,18 +285,10 @@ def undo_utf8(run: str, scores: PairScores) -> str | None:
             last, done = m.end(), done + m.end() - m.start()
         if done and (best is None or done > best[0]):
             best = (done, "".join(out) + run[last:])
-    for m in re.finditer(r"[^\x00-\x7f]{2,12}", run):  # multi-byte readings, whole stretches before parts of them
-        for lo, hi in sorted(((i, j) for i in range(m.start(), m.end()) for j in range(i + 2, m.end() + 1)), key=lambda x: x[0] - x[1]):
-            if best is not None and hi - lo <= best[0]:
-                break
-            for enc in MISREAD_AS_WIDE:
-                try:
-                    text = run[lo:hi].encode(enc).decode("utf-8")
-                except (UnicodeDecodeError, UnicodeEncodeError):
-                    continue
-                if all(map(scores.known, text)):
-                    best = (hi - lo, run[:lo] + text + run[hi:])
-                    break
+    for enc in MISREAD_AS_WIDE:
+        for lo, hi, text in wide_readings(run, enc):  # one character tells too little
+            if hi - lo > 1 and (best is None or hi - lo > best[0]) and all(map(scores.known, text)):
+                best = (hi - lo, run[:lo] + text + run[hi:])
     return best[1] if best else None
 
 
@@ -271,14 +297,18 @@ def undo_mixup(text: str, a: int, b: int, scores: PairScores, margin: float) ->
 
     The run is tried whole and in each of its stretches beyond ASCII, as only part of it may be damaged.
     """
-    now = scores.total(text) + case_cost(text)
-    best, found = now + margin, None
+    best, found = margin, None
     beyond = [i for i, ch in enumerate(text) if not ch.isascii()]
     pieces = {(a, b), (beyond[0], beyond[-1] + 1)} | {(m.start() + a, m.end() + a) for m in re.finditer(r"[^\x00-\x7f]+", text[a:b])} | {(i, i + 1) for i in range(a, b) if not text[i].isascii()}
-    for lo, hi in pieces:
+    for lo, hi in sorted(pieces, key=lambda x: (x[0] - x[1], x)):
+        if hi - lo == 1 and found is not None:
+            break  # single characters only where no stretch is a mix-up
         run = text[lo:hi]
         if all(ch.isascii() or ch in PLAUSIBLE for ch in run):
             continue
+        near = slice(max(0, lo - 1), hi + 1)
+        information = scores.total(text[near], lo < 1, hi + 1 > len(text))
+        word = None
         for read, wrote in MIXED_UP:
             t = byte_table(read)
             raw = "".join(ch if ch.isascii() else t.get(ch, "�") for ch in run)
@@ -292,10 +322,19 @@ def undo_mixup(text: str, a: int, b: int, scores: PairScores, margin: float) ->
                 continue  # letters are not what a mix-up of encodings makes of signs
             if new == run or not all(scores.known(ch) for ch in new if not ch.isascii()):
                 continue
-            made = text[:lo] + new + text[hi:]
-            got = scores.total(made) + case_cost(made)
-            if got > best:
-                best, found = got, made
+            gain = scores.total(text[near.start : lo] + new + text[hi : near.stop], lo < 1, hi + 1 > len(text)) - information
+            if word is None:  # the words that the piece lies in, and what their case costs; it can cost no less than 0
+                left, right = lo, hi
+                while left > 0 and _LETTER.match(text[left - 1]):
+                    left -= 1
+                while right < len(text) and _LETTER.match(text[right]):
+                    right += 1
+                word = (left, right, case_cost(text[left:right]))
+            if gain - word[2] <= best:
+                continue
+            gain += case_cost(text[word[0] : lo] + new + text[hi : word[1]]) - word[2]
+            if gain > best:
+                best, found = gain, text[:lo] + new + text[hi:]
     return found
 
 
@@ -312,32 +351,45 @@ def case_cost(text: str) -> float:
     return cost
 
 
+def lost_in(text: str, a: int, b: int) -> bool:
+    """Does the run text[a:b] hold marks that stand for lost letters: U+FFFD, or a question mark beside a letter or digit?"""
+    return "�" in text[a:b] or re.search(r"\w\?|\?\w", text[a:b]) is not None
+
+
+def broken_in(text: str, a: int, b: int) -> bool:
+    """Does the run hold control, private or unassigned characters?"""
+    return any(unicodedata.category(ch) in ("Cc", "Co", "Cn") and not ch.isspace() for ch in text[a:b])
+
+
 def repair(text: str, scores: PairScores, margin: float = 4.0) -> tuple[bool, str | None]:
     """(damaged?, original or null if it can't be restored).
 
-    Empty text is not damaged, ASCII text only by question marks that stand for lost letters. Values damaged several times are repaired step by step.
+    Only improbable runs are looked at: for marks of lost letters, and for inverse mappings. Values damaged several times
+    are repaired layer by layer, as long as a run can be put right: reading UTF-8 shortens the value, undoing a mix-up
+    raises its information, so that ends. Empty text is not damaged.
     """
-    lost = "�" in text or re.search(r"\w\?|\?\w", text) is not None
+    runs = improbable_runs(text, scores)
+    lost = any(lost_in(text, a, b) for a, b in runs)
+    hurt = lost or any(broken_in(text, a, b) for a, b in runs)
     if text.isascii():
         return lost, None
-    hurt = lost or any(unicodedata.category(ch) in ("Cc", "Co", "Cn") and not ch.isspace() for ch in text)
-    now = text
-    for _ in range(4):
-        step = None
-        for a, b in improbable_runs(now, scores):
-            fixed = undo_utf8(now[a:b], scores)
-            if fixed is not None:
-                step = now[:a] + fixed + now[b:]
-                break
-        if step is None and not lost:
-            for a, b in improbable_runs(now, scores):
-                step = undo_mixup(now, a, b, scores, margin)
-                if step is not None:
-                    break
-        if step is None or step == now:
-            break
-        now, hurt = step, True
-    return hurt, now if hurt and not lost and now != text else None
+    now, moved = text, True
+    while moved:
+        moved = False
+        for a, b in reversed(runs):
+            fixed = undo_utf8(now[a:b], scores) if not now[a:b].isascii() else None
+            if fixed is not None and fixed != now[a:b]:
+                now, moved = now[:a] + fixed + now[b:], True
+        if not moved and not lost:
+            for a, b in runs:  # these mappings keep the length
+                step = undo_mixup(now, a, b, scores, margin) if not now[a:b].isascii() else None
+                if step is not None and step != now:
+                    now, moved = step, True
+        if moved:
+            hurt = True
+            runs = improbable_runs(now, scores)
+    whole = not lost and now != text and not any(broken_in(now, a, b) for a, b in runs)
+    return hurt, now if hurt and whole else None
 
 
 # ------------------------------------------------------------------------------------------------------- the operator

@@ -249,6 +249,35 @@ def test_mixed_up_and_lost(scores):
     assert encoding.repair("fran�ois@x.example", scores) == (True, None)
     twice = "métral@x.example".encode().decode("latin_1").encode().decode("latin_1")
     assert encoding.repair(twice, scores) == (True, "métral@x.example")
+    deep = "métral@x.example"
+    for _ in range(6):
+        deep = deep.encode().decode("latin_1")
+    assert encoding.repair(deep, scores) == (True, "métral@x.example")
+    assert encoding.repair("fran?ois@x.example", scores) == (True, None)
+    assert encoding.repair("who?", scores)[1] is None
+
+
+def test_wide_readings(scores):
+    for enc in encoding.MISREAD_AS_WIDE:
+        for word in ("роберт.дедоблек", "王磊王磊王磊"):
+            raw = word.encode()
+            wide = raw.decode(enc, "ignore")
+            for lo, hi, text in encoding.wide_readings("x" + wide + "y", enc):
+                assert ("x" + wide + "y")[lo:hi].encode(enc) == text.encode()
+    wrong = "роберт".encode().decode("gb18030")
+    assert encoding.wide_readings(f"a.{wrong}@b", "gb18030") == [(2, 2 + len(wrong), "роберт")]
+
+
+def test_long_values(scores):
+    import time
+
+    began = time.time()
+    long = "роберт.дедоблек." * 400
+    for bad in (long.encode("cp1251").decode("latin_1"), long.encode().decode("cp1252", "ignore")):
+        assert encoding.repair(bad + "@x.example", scores)[0]
+    assert encoding.repair(long.encode("cp1251").decode("latin_1") + "@x.example", scores)[1] == long + "@x.example"
+    assert encoding.repair(long, scores) == (False, None)
+    assert time.time() - began < 30
 
 
 @pytest.mark.parametrize("text", ["", "a@b.example", "métral@x.example", "роберт.дедоблек@x.example", "王磊.ricasiski@x.example", "“david@x.example”", "– anna@x.example", "MÉTRAL@x.example"])
