@@ -1,9 +1,11 @@
 """Sentence boundaries across languages and scripts: cascading segmentation rule tables (problem 9).
 
-A table is an ordered list of rules; a rule is (break?, pattern before the position, pattern after it). At every
-candidate position the tables of the cascade are read in order - layout, enclosures, the document's language, all
-other languages, common - and the first rule whose two patterns match decides. Documents mix languages, so the other
-tables stay in the cascade after the document's own.
+A table is an ordered list of rules; a rule is (break?, pattern before the position, pattern after it). The layout table
+cuts a text into one-unit lines and paragraphs, its first matching row deciding each line. At every candidate position of
+a paragraph the table of places is read first (within an enclosure or address, or behind an enclosure that stands alone),
+then the rules of the document's language, of all other languages, and the common ones; the first rule whose two patterns
+match decides. Patterns before a position are matched backwards from it and see the whole unit so far. Documents mix
+languages, so the other tables stay in the cascade after the document's own.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,7 +105,7 @@ def _language(lang: str) -> list[Rule]:
     if lang == "ar":
         rules += [(NO, r"[.!?؟][»\"”]+", r"\s+(?:ثم|وأغلق|وقال|فقال)\b")]
     if lang == "el":
-        rules += [(YES, r"[Ͱ-Ͽἀ-῿][^;.!\n]{0,90};[»”\")]*", r"\s")]
+        rules += [(YES, r"[Ͱ-Ͽἀ-῿][^;.!\n]*;[»”\")]*", r"\s")]
     if lang == "th":
         rules += [
             (NO, r"", r"\s+[(（\[]"),
@@ -127,6 +130,9 @@ def _language(lang: str) -> list[Rule]:
     return rules
 
 
+#: Semicolons end a question in Greek only; read before all languages.
+_FIRST: list[Rule] = [(NO, r";", r"\S|\Z"), (NO, r"\A[^Ͱ-Ͽἀ-῿]*;", r"")]
+
 _COMMON: list[Rule] = [
     (NO, rf"{_W}(?:[^\W\d_]\.\s?)*[A-ZА-ЯΑ-ΩÀ-Þ]\.", r"\s+(?:[A-ZА-ЯΑ-ΩÀ-Þ][\w’'-]|[A-ZА-ЯΑ-Ω]\.)"),  # initials
     (NO, r"\A\W*[^\W\d_]\.", r"\s+[A-ZА-ЯΑ-ΩÀ-Þ]"),
@@ -143,36 +149,67 @@ _COMMON: list[Rule] = [
 LANGUAGES = ["en", "de", "fr", "es", "ru", "el", "ar", "hi", "ko", "am", "hy", "zh", "ja", "th"]
 
 
+class Table:
+    """Compiled rules in the order in which they are tried."""
+
+    def __init__(self, rules: list[Rule]) -> None:
+        self.rules = [(b, regex.compile(f"(?r)(?:{x})", regex.S) if x else None, re.compile(y)) for b, x, y in rules]
+        self.open = [r for r in self.rules if r[1] is None]
+        self.any = regex.compile("(?r)" + "|".join(f"(?:{x})" for _, x, _ in rules if x), regex.S)
+
+    def breaks(self, before: str, text: str, at: int) -> bool:
+        """What the first rule says that matches the end of `before`, and `text` from `at` on; no rule, no break."""
+        for brk, x, y in self.rules if self.any.match(before) else self.open:
+            if y.match(text, at) and (x is None or x.match(before)):
+                return brk
+        return NO
+
+
 @lru_cache(maxsize=None)
-def cascade(lang: str) -> list[tuple[bool, re.Pattern, re.Pattern]]:
-    """The compiled rules in the order in which they are tried for a document of `lang`."""
+def cascade(lang: str) -> Table:
+    """The rules for positions behind a full stop in a document of `lang`."""
     order = ([lang] if lang in LANGUAGES else []) + [x for x in LANGUAGES if x not in (lang, "th")]
-    rules = [r for x in order for r in _language(x)] + _COMMON
-    return [(b, re.compile(f"(?:{x})\\Z", re.S) if x else _ANY, re.compile(y)) for b, x, y in rules]
+    return Table(_FIRST + [r for x in order for r in _language(x)] + _COMMON)
 
 
 @lru_cache(maxsize=None)
-def marks(lang: str) -> list[tuple[bool, re.Pattern, re.Pattern]]:
-    """The rules of `cascade` for positions that no full stop precedes: the document's own and the common ones."""
-    own = [r for x in {lang, "ja", "zh", "hi"} & set(LANGUAGES) for r in _language(x)] if lang != "th" else [r for x in ("th", "ja", "zh", "hi") for r in _language(x)]
-    return [(b, re.compile(f"(?:{x})\\Z", re.S) if x else _ANY, re.compile(y)) for b, x, y in own + _COMMON]
+def marks(lang: str) -> Table:
+    """The rules for positions that no full stop precedes: the document's own language and the common ones."""
+    own = [r for x in LANGUAGES if x in {lang, "ja", "zh", "hi"} for r in _language(x)] if lang != "th" else [r for x in ("th", "ja", "zh", "hi") for r in _language(x)]
+    return Table(_FIRST + own + _COMMON)
 
 
 # ------------------------------------------------------------------------------------------------------ layout, spans
 
-_HEADING = re.compile(r"[ \t]{0,3}(?:#{1,6}|={1,6})[ \t]+\S")
-_BULLET = re.compile(r"[ \t]{0,3}[-*•+‣◦][ \t]+\S")
-_NUMBERED = re.compile(r"[ \t]{0,3}\d{1,3}[.)][ \t]+\S")
-_CODE = re.compile(r"(?: {4}|\t)[ \t]*\S")
-_TRAILER = re.compile(r"(?:[A-Z][A-Za-z]*(?:-[A-Za-z]+)+|Cc|CC|Fixes|Closes|Refs|Link|Bug|Issue|See): \S")
-_ANY = re.compile("")
+#: (kind, kinds of line that it doesn't follow, pattern): the first row that fits decides what a line is.
+_LAYOUT = [
+    ("blank", (), r"\s*\Z"),
+    ("code", (), r"(?: {4}|\t)[ \t]*\S"),
+    ("heading", (), r"[ \t]{0,3}(?:#{1,6}|={1,6})[ \t]+\S"),
+    ("item", (), r"[ \t]{0,3}[-*•+‣◦][ \t]+\S"),
+    ("item", ("prose",), r"[ \t]{0,3}\d{1,3}[.)][ \t]+\S"),
+    ("trailer", (), r"(?:[A-Z][A-Za-z]*(?:-[A-Za-z]+)+|Cc|CC|Fixes|Closes|Refs|Link|Bug|Issue|See): \S"),
+    ("prose", (), r""),
+]
+_LINES = [(kind, after, re.compile(x)) for kind, after, x in _LAYOUT]
 _URL = re.compile(r"[a-z]+://[^\s，。、；！？（）「」“”を]+")
 _WIDE = "。！？…।॥։።"
 _QUOTES = {"(": ")", "（": "）", "[": "]", "「": "」", "『": "』", "«": "»", "„": "“", "“": "”", "【": "】"}
 _ENCLOSERS = re.compile(r"[()（）\[\]「」『』«»„“”\"【】]")
 _CANDIDATE = re.compile(r"[.!?…](?:[.!?…\"”“’»)\]）」』】]|\s»)*。?|[。！？][。！？…\"”“’»)\]）」』】]*|[؟։።।॥;][.!?…\"”“’»)\]]*")
-_SAID_LATER = re.compile(r"\s+\S+\s+(?:में\s+लिखा|ይላል)")
-_SPEECH = re.compile(rf"\s+(?:{_alt(_SAID)}\b|[—–,-])")
+#: Rules by place: `inside` an enclosure, in an address (`url`), behind an enclosure that is all there is of the unit
+#: (`alone`). A place without a deciding rule leaves the position to the language tables.
+_PLACES: dict[str, list[Rule]] = {
+    "inside": [(NO, r"", r"")],
+    "url": [(NO, r"", r"")],
+    "alone": [
+        (YES, r"[)）]", r"\s"),
+        (NO, r"[^\]】]", rf"\s+(?:{_alt(_SAID)}\b|[—–,-])"),
+        (NO, r"[^\]】]", r"\s+\S+\s+(?:में\s+लिखा|ይላል)"),
+        (YES, r"[^\]】]", r"\s"),
+    ],
+}
+_PLACED = {place: [(b, re.compile(x), re.compile(y)) for b, x, y in rules] for place, rules in _PLACES.items()}
 _SPACE = re.compile(r"\s+")
 _SCRIPTS = [("th", "ก-๛"), ("zh", "一-鿿"), ("ja", "぀-ヿ"), ("ko", "가-힣"), ("el", "Ͱ-Ͽ"), ("ru", "Ѐ-ӿ"), ("ar", "؀-ۿ"), ("hi", "ऀ-ॿ"), ("am", "ሀ-፿"), ("hy", "԰-֏")]
 _SCRIPT_RE = {k: re.compile(f"[{v}]") for k, v in _SCRIPTS}
@@ -195,18 +232,7 @@ def blocks(text: str) -> Iterator[tuple[int, int, bool]]:
     pos, para, prev = 0, None, "blank"
     for line in text.split("\n"):
         end = pos + len(line)
-        if not line.strip():
-            kind = "blank"
-        elif _CODE.match(line):
-            kind = "code"
-        elif _HEADING.match(line):
-            kind = "heading"
-        elif _BULLET.match(line) or (_NUMBERED.match(line) and prev != "prose"):
-            kind = "item"
-        elif _TRAILER.match(line):
-            kind = "trailer"
-        else:
-            kind = "prose"
+        kind = next(kind for kind, after, x in _LINES if prev not in after and x.match(line))
         if kind == "prose":
             para = (pos, end) if para is None else (para[0], end)
         else:
@@ -256,9 +282,6 @@ def _end(m: re.Match, opens: set[int]) -> int:
 def sentences(text: str, lang: str | None) -> list[tuple[int, int]]:
     """The sentence units of a text: (start, end) in code points, end exclusive. Blank text has none."""
     code = language_of(lang, text)
-    rules = cascade(code)
-    short = marks(code)
-    said_later = _SAID_LATER
     thai = _SCRIPT_RE["th"]
     out: list[tuple[int, int]] = []
 
@@ -276,40 +299,34 @@ def sentences(text: str, lang: str | None) -> list[tuple[int, int]]:
             continue
         p = text[a:b]
         spans, opens = enclosures(p)
-        rs = rules
+        stop, mark = cascade(code), marks(code)
         urls = [(m.start(), m.end() - 1) for m in _URL.finditer(p)] if "://" in p else []
         ends = {_end(m, opens) for m in _CANDIDATE.finditer(p) if not (m[0][-1] == "." and m.end() < len(p) and not p[m.end()].isspace() and m[0][0] not in _WIDE)}
         if thai.search(p):
             ends |= {m.start() for m in _SPACE.finditer(p)}
             if code != "th":
-                rs = cascade("th")
+                stop = mark = cascade("th")
         begin, k, u = 0, 0, 0
         for e in sorted(ends):
             if e <= begin or e >= len(p):
                 continue
             while k < len(spans) and spans[k][1] < e:
                 k += 1
-            if k < len(spans) and spans[k][0] < e <= spans[k][1]:
-                continue  # within a quotation or parenthesis
             while u < len(urls) and urls[u][1] < e:
                 u += 1
-            if u < len(urls) and urls[u][0] < e <= urls[u][1]:
-                continue
-            before = p[max(begin, e - 100) : e]
-            after = p[e : e + 60]
-            if k > 0 and spans[k - 1][1] == e - 1 and p[e - 1] not in "]】" and after[:1].isspace() and not p[begin : spans[k - 1][0]].strip():
-                if p[e - 1] in ")）" or not (_SPEECH.match(after) or said_later.match(after)):
-                    add(a + begin, a + e)  # a parenthesis or quotation that is a sentence by itself
-                    begin = e
-                continue
-            if before.endswith(";") and not (_SCRIPT_RE["el"].search(before) and after[:1].isspace()):
-                continue
-            for brk, x, y in rs if before[-1:] == "." or rs is not rules else short:
-                if y.match(p, e) and x.search(before):
-                    if brk:
-                        add(a + begin, a + e)
-                        begin = e
-                    break
+            place = "free"
+            if k < len(spans) and spans[k][0] < e <= spans[k][1]:
+                place = "inside"
+            elif u < len(urls) and urls[u][0] < e <= urls[u][1]:
+                place = "url"
+            elif k > 0 and spans[k - 1][1] == e - 1 and not p[begin : spans[k - 1][0]].strip():
+                place = "alone"
+            said = next((brk for brk, x, y in _PLACED.get(place, ()) if x.match(p[e - 1]) and y.match(p, e)), None)
+            if said is None:
+                said = (stop if p[e - 1] == "." else mark).breaks(p[begin:e], p, e)
+            if said:
+                add(a + begin, a + e)
+                begin = e
         add(a + begin, a + len(p))
     return out
 
