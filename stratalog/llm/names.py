@@ -12,7 +12,8 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -20,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalog.llm.encoding import PairScores, count_pairs, repair
-from stratalog.plans.lineage import written
+from stratalog.plans.lineage import discard, written
+from stratalog.plans.skew import keyed_join
 from stratalog.plans.spread import spread
 from stratalog.sources.tables import table
 
@@ -234,33 +236,81 @@ def deletions(w: str) -> set[str]:
     return {w[:i] + w[i + 1 :] for i in range(len(w))}
 
 
-def given_cost(variant: str, given: str) -> float | None:
-    """Minus log likelihood of typing `variant` for `given`; null if it is no spelling of it."""
+#: What the channel may do to a given name and a surname, with the minus log likelihoods from which learning starts.
+PRIOR_COSTS = {"same": 0.1, "none": 4.0, "initial": 1.5, "short": 1.8, "cut": 2.2, "cut to two": 3.2, "typo": 3.5, "surname same": 0.1, "surname typo": 3.5, "surname two typos": 7.0}
+#: The prior counts as much as so many observed pairs.
+PRIOR_PAIRS = 200
+
+
+def given_step(variant: str, given: str) -> str | None:
+    """What the channel did to write `variant` for `given`; null if it is no spelling of it."""
     if variant == given:
-        return 0.1
+        return "same"
     if not variant:
-        return 4.0
+        return "none"
     if len(variant) == 1:
-        return 1.5 if given[0] == variant else None
+        return "initial" if given[0] == variant else None
     if given in SHORT.get(variant, "").split():
-        return 1.8
+        return "short"
     if len(given) > len(variant) and given.startswith(variant):
-        return 2.2 if len(variant) > 2 else 3.2
+        return "cut" if len(variant) > 2 else "cut to two"
     if len(given) > 3 and len(variant) > 2 and one_edit(variant, given):
-        return 3.5
+        return "typo"
     return None
 
 
-def surname_cost(variant: str, surname: str) -> float | None:
+def surname_step(variant: str, surname: str) -> str | None:
     if variant == surname:
-        return 0.1
+        return "surname same"
     if len(surname) > 4 and one_edit(variant, surname):
-        return 3.5
+        return "surname typo"
     if len(surname) > 8 and near(variant, surname):
-        return 7.0
+        return "surname two typos"
     return None
 
 
+def given_cost(variant: str, given: str, costs: dict[str, float] = PRIOR_COSTS) -> float | None:
+    """Minus log likelihood of typing `variant` for `given`; null if it is no spelling of it."""
+    step = given_step(variant, given)
+    return None if step is None else costs[step]
+
+
+def surname_cost(variant: str, surname: str, costs: dict[str, float] = PRIOR_COSTS) -> float | None:
+    step = surname_step(variant, surname)
+    return None if step is None else costs[step]
+
+
+def learned_costs(typed: DataFrame) -> dict[str, float]:
+    """The channel's costs, estimated from what people type at their own address.
+
+    typed: adr, v (form kind|given|surname), n. At each address the most frequent full form is what was meant, the other
+    forms that the channel can make of it are what was typed. Steps are counted on top of the prior.
+    """
+    full = typed.where(F.col("v").rlike(r"^p\|[^|]{2,}\|"))
+    meant = full.groupBy("adr").agg(F.max_by("v", F.struct("n", "v")).alias("h"))
+    pairs = typed.where(F.col("v").startswith("p|")).join(meant, "adr").select("h", "v", "n")
+
+    def steps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            seen: Counter = Counter()
+            for h, v, n in zip(pdf.h, pdf.v, pdf.n):
+                (_, hg, hs), (_, g, s) = h.split("|"), v.split("|")
+                a, b = given_step(g, hg), surname_step(s, hs)
+                if a and b:
+                    seen[a] += n
+                    seen[b] += n
+            yield pd.DataFrame(list(seen.items()), columns=["step", "n"])
+
+    counted = {r["step"]: r["n"] for r in pairs.mapInPandas(steps, "step string, n long").groupBy("step").agg(F.sum("n").alias("n")).collect()}  # a row per step
+    costs = {}
+    for group in ([k for k in PRIOR_COSTS if k.startswith("surname")], [k for k in PRIOR_COSTS if not k.startswith("surname")]):
+        prior = {k: math.exp(-PRIOR_COSTS[k]) for k in group}
+        scale = PRIOR_PAIRS / sum(prior.values())
+        total = sum(counted.get(k, 0) for k in group) + PRIOR_PAIRS
+        costs |= {k: -math.log((counted.get(k, 0) + scale * prior[k]) / total) for k in group}
+    return costs
+
+
 @lru_cache(maxsize=200_000)
 def long_forms(given: str) -> frozenset[str]:
     """The word and the given names whose short form it is, or is within one edit of."""
@@ -292,10 +342,10 @@ _PARSED = "author_id long, kind string, g string, s string, mg string, ms string
 
 
 def given_names(authors: DataFrame, share: float = 1 / 20_000) -> frozenset[str]:
-    """Words that stand before at least three, and before that share of all, different words in two-word names.
+    """Words that stand before four differently beginning words at least, and before that share of all, in two-word names.
 
-    At most 1 / share words have that, which bounds what is gathered. In names that are frequent before others, and
-    seldom behind them, first names are told from surnames.
+    At most 1 / share words have that, which bounds what is gathered. First names stand before many words and seldom
+    behind others. Small tables show few words before four others, so they recognise few given names.
     """
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -338,11 +388,14 @@ def parsed(authors: DataFrame, given: frozenset[str]) -> DataFrame:
     return spread(authors.select("author_id", "parseauthorid", "getfl", "simpemail"), "author_id").mapInPandas(work, _PARSED)
 
 
-def attributed(forms: DataFrame) -> DataFrame:
+def attributed(forms: DataFrame, costs: dict[str, float] = PRIOR_COSTS) -> DataFrame:
     """v, c: each spelling form with its canonical form (of the same kind), by maximum posterior.
 
-    `forms` has v (kind|given|surname) and n (rows). Candidates share the surname, one deletion of it, or its letters
-    in another script; a spelling is attached to a candidate that is more frequent, or fuller at the same frequency.
+    `forms` has v (kind|given|surname) and n (rows). Candidates share the surname, one deletion of it (two for long
+    surnames, as each side may lack a letter), or its letters in another script, and the given name's first letter, or
+    the whole surname if that letter is mistyped; a spelling is attached to a candidate that is more frequent, or fuller
+    at the same frequency. Within a key, candidates are found by prefixes and deletions of the given name and read by
+    falling frequency, until no later one can have a larger posterior: not each is compared with each.
     """
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -351,57 +404,86 @@ def attributed(forms: DataFrame) -> DataFrame:
             for v, n in zip(pdf.v, pdf.n):
                 kind, g, s = v.split("|")
                 firsts = {g[:1]} | {x[0] for x in SHORT.get(g, "").split()}
-                out += [(f"{kind}{f}|{k}", v, n) for k in {s} | (deletions(s) if len(s) > 4 else set()) for f in firsts]
+                near_ = deletions(s) if len(s) > 4 else set()
+                out += [(f"{kind}{f}|{k}", v, n) for k in {s} | near_ for f in firsts]
+                if kind == "p" and s and len(g) > 3:
+                    out += [(f"t{d}|{s}", v, n) for d in {g[1:], g[:1] + g[2:], g}]  # another first letter, or the first two swapped
                 if kind == "p" and s and g:
                     out.append((f"c{skeleton(g)}|{skeleton(s)}", v, n))
             yield pd.DataFrame(out, columns=["k", "v", "n"])
 
     keyed = spread(forms, "v").mapInPandas(keys, "k string, v string, n long")
-    # Per key the forms by frequency: only the most frequent full forms can be canonical for the others.
+    # Distinct spellings of one key, not rows: a name that a third of the rows have is one entry.
     best = keyed.groupBy("k").agg(F.collect_set(F.struct("n", "v")).alias("all")).where(F.size("all") > 1)
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for k, rows in zip(pdf.k, pdf["all"]):
-                ranked = sorted(((r["n"], len(r["v"]), r["v"]) for r in rows), reverse=True)
-                heads: list[tuple[int, str, str, str]] = []
-                for n, _, v in ranked:
-                    kind, g, s = v.split("|")
-                    if kind == "o" or len(g) > 1:
-                        heads.append((n, v, g, s))
-                for n, _, v in ranked:
-                    kind, g, s = v.split("|")
-                    got = []
-                    for hn, hv, hg, hs in heads:
-                        if g in SHORT.get(hg, "").split() or (g != hg and len(hg) > 1 and g.startswith(hg)):
-                            continue  # the candidate is the shorter form
-                        vague = kind == "p" and (len(g) <= 1 or hg in SHORT.get(g, "").split() or (hg != g and hg.startswith(g)))
-                        if hv == v or (hn < n and not vague):
-                            continue
-                        if k[0] == "c":
-                            cost = 1.0 if _CYR.search(s) and not _CYR.search(hs) else None
-                        else:
-                            a = 0.0 if kind == "o" else given_cost(g, hg)
-                            b = surname_cost(s, hs)
-                            cost = None if a is None or b is None else a + b
-                            # Two full spellings of equal standing: the longer one, then the first, is canonical.
-                            if cost is not None and not vague and hn == n and (len(g) > 1 or kind == "o") and (len(hg), hv) <= (len(g), v):
-                                cost = None
-                        if cost is not None:
-                            got.append((math.log(hn) - cost, hv, hg))
-                    if not got:
-                        continue
-                    got.sort(reverse=True)
-                    if len(g) <= 1 and kind == "p" and len({x[2] for x in got if given_cost(x[2], got[0][2]) is None and given_cost(got[0][2], x[2]) is None}) > 0:
-                        continue  # an initial that fits several people
-                    out.append((v, got[0][1], got[0][0]))
+                out += [(v, c, score) for v, c, score in chosen_in(k[0], [(r["n"], r["v"]) for r in rows], costs)]
             yield pd.DataFrame(out, columns=["v", "c", "score"])
 
     chosen = best.mapInPandas(choose, "v string, c string, score double")
     return chosen.groupBy("v").agg(F.max_by("c", F.struct("score", "c")).alias("c"))
 
 
+def chosen_in(key: str, forms: list[tuple[int, str]], costs: dict[str, float]) -> Iterator[tuple[str, str, float]]:
+    """(variant, canonical, score) among forms (n, v) that share a key, whose first letter tells its kind."""
+    ranked = sorted(((n, len(v), v) for n, v in forms), reverse=True)
+    heads: list[tuple[int, str, str, str]] = []
+    by: dict[str, list[int]] = {}
+    for n, _, v in ranked:
+        kind, g, s = v.split("|")
+        if kind == "o" or len(g) > 1:
+            if kind == "p" and key != "c":
+                for x in {f"={g[:i]}" for i in range(len(g) + 1)} | {f"-{d}" for d in deletions(g)}:
+                    by.setdefault(x, []).append(len(heads))
+            heads.append((n, v, g, s))
+
+    def likely(kind: str, g: str) -> Iterable[int]:
+        """The candidates whose given name `g` may stand for, by falling frequency."""
+        if kind != "p" or key == "c":
+            return range(len(heads))
+        if len(g) < 2:
+            return by.get(f"={g}", [])
+        less = deletions(g)
+        looks = {f"={x}" for x in {g, *SHORT.get(g, "").split()} | less} | {f"-{x}" for x in {g} | less}
+        return sorted({i for x in looks for i in by.get(x, ())})
+
+    for n, _, v in ranked:
+        kind, g, s = v.split("|")
+        top, others = None, []
+        for i in likely(kind, g):
+            hn, hv, hg, hs = heads[i]
+            if top is not None and math.log(hn) < top[0] and (len(g) > 1 or kind != "p" or any(apart(x, top[2]) for x in others)):
+                break  # costs are never negative
+            if g in SHORT.get(hg, "").split() or (g != hg and len(hg) > 1 and g.startswith(hg)):
+                continue  # the candidate is the shorter form
+            vague = kind == "p" and (len(g) <= 1 or hg in SHORT.get(g, "").split() or (hg != g and hg.startswith(g)))
+            if hv == v or (hn < n and not vague):
+                continue
+            if key == "c":
+                cost = 1.0 if _CYR.search(s) and not _CYR.search(hs) else None
+            else:
+                a = 0.0 if kind == "o" else given_cost(g, hg, costs)
+                b = surname_cost(s, hs, costs)
+                cost = None if a is None or b is None else a + b
+                # Two full spellings of equal standing: the longer one, then the first, is canonical.
+                if cost is not None and not vague and hn == n and (len(g) > 1 or kind == "o") and (len(hg), hv) <= (len(g), v):
+                    cost = None
+            if cost is not None:
+                others.append(hg)
+                top = max(top or (-math.inf, "", ""), (math.log(hn) - cost, hv, hg))
+        if top is None or len(g) <= 1 and kind == "p" and any(apart(x, top[2]) for x in others):
+            continue  # nobody, or an initial that fits several people
+        yield v, top[1], top[0]
+
+
+def apart(a: str, b: str) -> bool:
+    """Is neither given name a spelling of the other?"""
+    return given_step(a, b) is None and given_step(b, a) is None
+
+
 def entities(authors: DataFrame) -> DataFrame:
     """author_id, entity: rows of the same person or organisation have the same entity; others an own one.
 
@@ -415,16 +497,20 @@ def entities(authors: DataFrame) -> DataFrame:
     sent = rows.where(F.col("ms") != "").select("author_id", form(F.lit("p"), F.col("mg"), F.col("ms")).alias("v"))
     uses = written(own.unionByName(sent).distinct(), "name-forms")
     forms = uses.groupBy("v").agg(F.count("*").alias("n"))
-    canon = written(attributed(forms), "name-canon")
-    # Variants of variants: follow the attribution until it ends.
-    for _ in range(20):  # the order of posteriors admits no cycles; chains are short
+    costs = learned_costs(rows.where(has & (F.col("adr") != "")).groupBy("adr", form(F.col("kind"), F.col("g"), F.col("s")).alias("v")).agg(F.count("*").alias("n")))
+    canon = written(attributed(forms, costs), "name-canon")
+    # Variants of variants: follow the attribution until it ends, twice as far each round. A variant's canonical form is
+    # fuller, or more frequent, or the first of equals, so there are no cycles.
+    while True:
         step = canon.alias("a").join(canon.alias("b"), F.col("a.c") == F.col("b.v"), "left").select(
             F.col("a.v").alias("v"), F.coalesce("b.c", "a.c").alias("c"), (F.col("b.c").isNotNull() & (F.col("b.c") != F.col("a.c"))).alias("moved")
         )
         step = written(step, "name-canon")
+        discard(canon)
+        canon = step
         if step.where("moved").isEmpty():
             break
-        canon = step.select("v", "c")
+    canon = canon.select("v", "c")
     at = uses.join(canon, "v", "left").select("author_id", F.coalesce("c", "v").alias("v"))
     full = at.where(F.col("v").rlike(r"^(o\|\||p\|[^|]{2,}\|)"))  # initials and lone words name nobody by themselves
     by_form = full.select("author_id", F.concat(F.lit("f "), "v").alias("k"))
@@ -480,19 +566,29 @@ def owned(typed: DataFrame, known: DataFrame, fair: float = 0.2, tops: int = 64)
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """author_id, entity: the smallest author_id of the component that `edges` (author_id, k) puts a node in."""
-    label = written(edges.select("author_id", F.col("author_id").alias("entity")).distinct(), "labels")
+    """author_id, entity: the smallest author_id of the component that `edges` (author_id, k) puts a node in.
+
+    Rows with equal sets of keys are one node at first: they share all their links, so the rounds work on classes. Labels
+    of a key are combined before the shuffle, and reach the classes of hot keys by a bounded broadcast.
+    """
+    sets = edges.groupBy("author_id").agg(F.xxhash64(F.array_sort(F.collect_set("k"))).alias("h1"), F.hash(F.array_sort(F.collect_set("k"))).alias("h2"), F.sort_array(F.collect_set("k")).alias("ks"))
+    classes = written(sets.groupBy("h1", "h2", "ks").agg(F.min("author_id").alias("node")), "name-classes")
+    links = written(classes.select("node", F.explode("ks").alias("k")), "name-links")
+    label = written(classes.select("node", F.col("node").alias("entity")), "labels")
     while True:
-        low = edges.join(label, "author_id").groupBy("k").agg(F.min("entity").alias("low"))
-        step = edges.join(low, "k").groupBy("author_id").agg(F.min("low").alias("low"))
+        low = written(links.join(label, "node").groupBy("k").agg(F.min("entity").alias("low"), F.count("*").alias("links")), "key-labels")
+        step = keyed_join(links, low, "k", "links").groupBy("node").agg(F.min("low").alias("low"))
         # Pointer jumping: the label of one's label.
-        jump = step.join(label.select(F.col("author_id").alias("low"), F.col("entity").alias("far")), "low", "left").select("author_id", F.least("low", F.coalesce("far", "low")).alias("new"))
-        new = written(label.join(jump, "author_id").select("author_id", F.col("new").alias("entity"), (F.col("new") < F.col("entity")).alias("moved")), "labels")
-        done = new.where("moved").isEmpty()
-        label = new.select("author_id", "entity")
-        if done:
+        jump = step.join(label.select(F.col("node").alias("low"), F.col("entity").alias("far")), "low", "left").select("node", F.least("low", F.coalesce("far", "low")).alias("new"))
+        new = written(label.select("node", "entity").join(jump, "node").select("node", F.col("new").alias("entity"), (F.col("new") < F.col("entity")).alias("moved")), "labels")
+        discard(low, label)
+        label = new
+        if new.where("moved").isEmpty():
             break
-    return nodes.join(label, "author_id", "left").select("author_id", F.coalesce("entity", "author_id").alias("entity"))
+    of = classes.join(label.select("node", "entity"), "node").select("h1", "h2", "ks", "entity")
+    size = sets.groupBy("h1", "h2", "ks").agg(F.count("*").alias("rows")).join(of, ["h1", "h2", "ks"]).select(F.concat_ws("\0", "h1", "h2", F.concat_ws("\0", "ks")).alias("set"), "entity", "rows")
+    mine = keyed_join(sets.select("author_id", F.concat_ws("\0", "h1", "h2", F.concat_ws("\0", "ks")).alias("set")), size, "set", "rows")
+    return nodes.join(mine.select("author_id", "entity"), "author_id", "left").select("author_id", F.coalesce("entity", "author_id").alias("entity"))
 
 
 def all_pairs(members: DataFrame, piece: int = 1000) -> DataFrame:
