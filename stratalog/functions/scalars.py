@@ -12,21 +12,30 @@ from stratalog.sources.tables import table
 HOME = "hub.example"
 
 
-def url_to_project(url: Column) -> Column:
+def url_to_project(url: Column, short: dict[str, str] | None = None) -> Column:
     """Project name of an address: scheme, user, end slashes and `.git` dropped, first two slashes as `_`, lower case,
-    home host dropped. Null gives null."""
-    v = F.regexp_replace(url, r"(?i)^[a-z][a-z0-9+.-]*://", "")
+    home host dropped. Null gives null. short: forge codes, `code:owner/repo`, and the hosts that they stand for."""
+    v = url
+    for code, host in (short or {}).items():
+        v = F.regexp_replace(v, rf"(?s)\A{code}:(?!/)", f"{host}/")
+    v = F.regexp_replace(v, r"(?i)^[a-z][a-z0-9+.-]*://", "")
     v = F.regexp_replace(v, r"^git@([^:]+):", "$1/")
     v = F.regexp_replace(F.regexp_replace(v, r"/+\z", ""), r"\.git\z", "")
-    v = F.regexp_replace(v, r"(?s)^([^/]*)/([^/]*)/(.*)\z", "$1_$2_$3")
-    v = F.regexp_replace(v, r"(?s)^([^/_]*)/([^/]*)\z", "$1_$2")
+    v = F.regexp_replace(F.regexp_replace(v, r"\A([^/]*)/", "$1_"), r"\A([^/]*)/", "$1_")
     return F.regexp_replace(F.lower(v), "^" + HOME.replace(".", r"\.") + "_", "")
 
 
-def project_to_url(project: Column) -> Column:
-    """The address of a project name: a dotted first part is the host, else the home forge; the next `_` is a slash."""
+#: The same for DuckDB.
+PROJECT_SQL = r"regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({}, '^[a-zA-Z][a-zA-Z0-9+.-]*://', ''), '^git@([^:]+):', '\1/'), '/+\z', ''), '\.git\z', ''), '/', '_'), '/', '_')), '^hub\.example_', '')"
+
+
+def project_to_url(project: Column, rewrites: dict[str, str] | None = None) -> Column:
+    """The address of a project name: a dotted first part is the host, else the home forge; the next `_` is a slash.
+    rewrites: hosts that are cloned from another host than names say."""
     hosted = project.rlike(r"^[^_]*\.[^_]+_")
     host = F.when(hosted, F.regexp_extract(project, r"^([^_]*\.[^_]+)_", 1)).otherwise(HOME)
+    for name, real in (rewrites or {}).items():
+        host = F.when(host == name, real).otherwise(host)
     rest = F.when(hosted, F.regexp_replace(project, r"^[^_]*\.[^_]+_", "")).otherwise(project)
     return F.concat(F.lit("https://"), host, F.lit("/"), F.regexp_replace(rest, r"(?s)^([^_]*)_(.*)\z", "$1/$2"))
 
@@ -47,12 +56,13 @@ def summary(message: Column) -> Column:
     return F.trim(F.regexp_replace(first, r"[ \t]*\n[ \t]*", " "))
 
 
-def prettify(message: Column) -> Column:
-    """Trailing blanks of lines dropped, runs of empty lines made one, none at the ends, comment lines (#) dropped."""
-    v = F.regexp_replace(message, r"(?m)^#.*\n?", "")
-    v = F.regexp_replace(v, r"[ \t\r]+(?=\n|\z)", "")
-    v = F.regexp_replace(v, r"\n{3,}", "\n\n")
-    return F.regexp_replace(v, r"\A\n+|\n+\z", "")
+def prettify(message: Column, comments: bool = True) -> Column:
+    """Trailing blanks of lines dropped, runs of empty lines made one, none at the ends, a line end after each line;
+    with `comments`, lines that begin with # are dropped. A message without content becomes empty."""
+    v = F.regexp_replace(message, r"(?md)^#.*\n?", "") if comments else message
+    v = F.regexp_replace(v, r"[ \t\r\f\x0B]+(?=\n|\z)", "")
+    v = F.regexp_replace(F.regexp_replace(v, r"\n{3,}", "\n\n"), r"\A\n+|\n+\z", "")
+    return F.when(v == "", v).otherwise(F.concat(v, F.lit("\n")))
 
 
 def trailers(message: Column) -> Column:
@@ -149,11 +159,11 @@ def q_project_to_url(s: SparkSession, d: str) -> DataFrame:
 
 
 def q_messages(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "documents").where("text IS NOT NULL").select("doc_id", summary(F.col("text")).alias("summary"), excerpt(F.col("text")).alias("excerpt"), clean_text(F.substring("text", 1, 80)).alias("line"))
+    return table(s, d, "documents").where("text IS NOT NULL").select("doc_id", summary(F.col("text")).alias("summary"), excerpt(F.col("text")).alias("excerpt"), clean_text(F.col("text")).alias("line"))
 
 
 def q_prettify(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "documents").where("text IS NOT NULL").select("doc_id", F.length(prettify(F.col("text"))).alias("n"), F.length(to_crlf(F.col("text"))).alias("crlf"), F.length(to_lf(to_crlf(F.col("text")))).alias("lf"))
+    return table(s, d, "documents").where("text IS NOT NULL").select("doc_id", prettify(F.col("text")).alias("pretty"), F.md5(to_crlf(F.col("text"))).alias("crlf"), F.md5(to_lf(to_crlf(F.col("text")))).alias("lf"))
 
 
 def q_trailers(s: SparkSession, d: str) -> DataFrame:
@@ -194,13 +204,11 @@ QUERIES = {
 
 _B = "regexp_replace(path, '/+$', '')"
 SQL = {
-    "url_to_project": r"""WITH a AS (SELECT url_id, regexp_replace(regexp_replace(regexp_replace(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://', ''), '^git@([^:]+):', '\1/'), '/+\z', '') AS v FROM urls),
-        b AS (SELECT url_id, string_split(regexp_replace(v, '\.git\z', ''), '/') AS p FROM a)
-        SELECT url_id, regexp_replace(lower(CASE WHEN len(p) = 1 THEN p[1] WHEN len(p) = 2 AND contains(p[1], '_') THEN p[1] || '/' || p[2] WHEN len(p) = 2 THEN p[1] || '_' || p[2] ELSE p[1] || '_' || p[2] || '_' || array_to_string(p[3:], '/') END), '^hub\.example_', '') AS project FROM b""",
+    "url_to_project": "SELECT url_id, " + PROJECT_SQL.format("url") + " AS project FROM urls",
     "project_to_url": r"""WITH a AS (SELECT list_id, repo, regexp_matches(repo, '^[^_]*\.[^_]+_') AS h FROM p2cd), b AS (SELECT list_id, CASE WHEN h THEN split_part(repo, '_', 1) ELSE 'hub.example' END AS host, CASE WHEN h THEN substr(repo, strpos(repo, '_') + 1) ELSE repo END AS rest FROM a)
         SELECT list_id, 'https://' || host || '/' || CASE WHEN contains(rest, '_') THEN split_part(rest, '_', 1) || '/' || substr(rest, strpos(rest, '_') + 1) ELSE rest END AS url FROM b""",
     "message_summary": r"""SELECT doc_id, trim(regexp_replace(regexp_extract(text, '(?s)\A[ \n\t]*(.*?)(?:\n[ \t]*\n|\z)', 1), '[ \t]*\n[ \t]*', ' ', 'g'), ' ') AS summary,
-        substr(regexp_replace(translate(substr(text, 1, 1000), chr(10) || chr(13) || chr(9) || ';', '    '), ' +', ' ', 'g'), 1, 300) AS excerpt, translate(substr(text, 1, 80), ';' || chr(13) || chr(10), ':__') AS line FROM documents WHERE text IS NOT NULL""",
+        substr(regexp_replace(translate(substr(text, 1, 1000), chr(10) || chr(13) || chr(9) || ';', '    '), ' +', ' ', 'g'), 1, 300) AS excerpt, translate(text, ';' || chr(13) || chr(10), ':__') AS line FROM documents WHERE text IS NOT NULL""",
     "message_trailers": r"""WITH a AS (SELECT doc_id, text, string_split_regex(regexp_replace(text, '\s+\z', ''), '\n[ \t]*\n') AS p FROM documents WHERE text IS NOT NULL), b AS (SELECT doc_id, string_split(p[-1], chr(10)) AS l FROM a WHERE regexp_matches(text, '\n[ \t]*\n')),
         c AS (SELECT doc_id, unnest(l) AS x FROM b WHERE len(list_filter(l, lambda y: NOT regexp_matches(y, '^[A-Za-z0-9][A-Za-z0-9-]*[ \t]*: *\S'))) = 0) SELECT doc_id, regexp_extract(x, '^([A-Za-z0-9-]+)', 1) AS key, trim(regexp_extract(x, '^[^:]*:(.*)$', 1), ' ') AS value FROM c""",
     "path_parts": "SELECT line_no, CASE WHEN contains(" + _B + ", '/') THEN CASE WHEN regexp_replace(" + _B + ", '/+[^/]*$', '') = '' THEN '/' ELSE regexp_replace(" + _B + ", '/+[^/]*$', '') END ELSE '.' END AS dir, string_split(" + _B + ", '/')[-1] AS base FROM olist WHERE path IS NOT NULL",
@@ -210,6 +218,6 @@ SQL = {
     "config_values": "SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN p_size WHEN 1 THEN p_size * 1024 WHEN 2 THEN p_size * 1048576 WHEN 3 THEN p_size::BIGINT * 1073741824 END::BIGINT AS n, CASE p_partkey % 5 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN false WHEN 4 THEN true END AS b FROM part",
     "signature_parse": r"""SELECT author_id, regexp_replace(regexp_replace(regexp_extract(parseauthorid, '(?s)^([^<]*)', 1), '^[\s.,:;<>"\\'']+', ''), '[\s.,:;<>"\\'']+\z', '') AS name, trim(regexp_extract(parseauthorid, '<([^<>]*)>[^<>]*\z', 1), ' ') AS mail,
         regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(simpemail, '@([^@>\s]+)', 1)), '^[^.]*\.noreply\.', ''), '/.*', ''), '\.(?:local|localdomain)\z', '') AS domain FROM authors""",
-    "message_prettify": r"""SELECT doc_id, length(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?m)^#.*\n?', '', 'g'), '[ \t\r]+(\n|\z)', '\1', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '\A\n+|\n+\z', '', 'g'))::INT AS n,
-        length(replace(replace(text, chr(13) || chr(10), chr(10)), chr(10), chr(13) || chr(10)))::INT AS crlf, length(replace(text, chr(13) || chr(10), chr(10)))::INT AS lf FROM documents WHERE text IS NOT NULL""",
+    "message_prettify": r"""WITH v AS (SELECT doc_id, text, regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?m)^#.*\n?', '', 'g'), '[ \t\r\f\v]+(\n|\z)', '\1', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '\A\n+|\n+\z', '', 'g') AS p FROM documents WHERE text IS NOT NULL)
+        SELECT doc_id, CASE WHEN p = '' THEN p ELSE p || chr(10) END AS pretty, md5(replace(replace(text, chr(13) || chr(10), chr(10)), chr(10), chr(13) || chr(10))) AS crlf, md5(replace(text, chr(13) || chr(10), chr(10))) AS lf FROM v""",
 }

@@ -33,11 +33,19 @@ def shard_sums(s: SparkSession, d: str) -> DataFrame:
     return per.groupBy("repo").agg(F.sum("b").alias("n_bytes"), F.max_by("sec", F.struct(F.col("b"), -F.col("sec"))).alias("top_sec"))
 
 
+def dominant(rows: DataFrame, chunk: str, least_percent: float = 90) -> DataFrame:
+    """chunk, repos, top_percent (rounded), top: chunks of rows (chunk, repo) that one repository dominates or fills alone.
+
+    The share itself is compared with `least_percent`, not its rounding. Rows without a repository do not count.
+    """
+    c = rows.where("repo IS NOT NULL").groupBy(chunk, "repo").agg(F.count("*").alias("n"))
+    g = c.groupBy(chunk).agg(F.count("*").alias("repos"), F.sum("n").alias("tot"), F.max("n").alias("m"), F.max_by("repo", F.struct("n", "repo")).alias("top"))
+    return g.where((F.col("repos") == 1) | (100 * F.col("m") >= F.col("tot") * least_percent)).select(chunk, "repos", F.round(100 * F.col("m") / F.col("tot"), 1).alias("top_percent"), "top")
+
+
 def dominance(s: SparkSession, d: str) -> DataFrame:
-    """list_chunk, repos, top_percent, top: chunks of the object list that one repository dominates with 20 % or fills alone."""
-    c = table(s, d, "olist").where("repo IS NOT NULL").groupBy((F.col("line_no") % 64).alias("list_chunk"), "repo").agg(F.count("*").alias("n"))
-    g = c.groupBy("list_chunk").agg(F.count("*").alias("repos"), F.sum("n").alias("tot"), F.max("n").alias("m"), F.max_by("repo", F.struct("n", "repo")).alias("top"))
-    return g.select("list_chunk", "repos", F.round(100 * F.col("m") / F.col("tot"), 1).alias("top_percent"), "top").where("repos = 1 OR top_percent >= 10")
+    """Listings whose rows, written in several ways, name one repository for nine tenths."""
+    return dominant(table(s, d, "olist").select("list_id", "repo"), "list_id")
 
 
 def _ext() -> F.Column:
@@ -170,7 +178,7 @@ _BLOBS = "FROM olist WHERE path IS NOT NULL AND repo IS NOT NULL AND type = 'blo
 SQL = {
     "offenders": "SELECT repo, sum(coalesce(storedlen, 0))::BIGINT AS n_bytes, count(*) AS n_rows FROM idx WHERE type = 'blob' AND repo IS NOT NULL AND repo NOT IN (SELECT repo FROM p2cd WHERE batch = 0 AND repo IS NOT NULL) GROUP BY repo HAVING sum(coalesce(storedlen, 0)) > 100000 OR count(*) > 100",
     "shard_sums": "WITH p AS (SELECT repo, sec, sum(coalesce(storedlen, 0))::BIGINT AS b FROM idx WHERE repo IS NOT NULL GROUP BY ALL), r AS (SELECT *, sum(b) OVER (PARTITION BY repo)::BIGINT AS t, row_number() OVER (PARTITION BY repo ORDER BY b DESC, sec) AS k FROM p) SELECT repo, t AS n_bytes, sec AS top_sec FROM r WHERE k = 1",
-    "dominance_share": "WITH c AS (SELECT line_no % 64 AS list_chunk, repo, count(*) AS n FROM olist WHERE repo IS NOT NULL GROUP BY ALL), r AS (SELECT *, count(*) OVER w AS repos, sum(n) OVER w AS tot, row_number() OVER (PARTITION BY list_chunk ORDER BY n DESC, repo DESC) AS k FROM c WINDOW w AS (PARTITION BY list_chunk)) SELECT list_chunk, repos, round(100 * n / tot, 1) AS top_percent, repo AS top FROM r WHERE k = 1 AND (repos = 1 OR round(100 * n / tot, 1) >= 10)",
+    "dominance_share": "WITH c AS (SELECT list_id, repo, count(*) AS n FROM olist WHERE repo IS NOT NULL GROUP BY ALL), g AS (SELECT list_id, count(*) AS repos, sum(n) AS tot, max(n) AS m, arg_max(repo, struct_pack(n := n, r := repo)) AS top FROM c GROUP BY 1) SELECT list_id, repos, round(100 * m / tot, 1) AS top_percent, top FROM g WHERE repos = 1 OR 100 * m >= tot * 90",
     "content_verdict": "WITH g AS (SELECT repo, count(*) AS files, 100 * count(*) FILTER (" + _EXT + " IN " + _CODE + ") / count(*) AS p " + _BLOBS + " GROUP BY repo) SELECT repo, files, round(p, 1) AS code_percent, CASE WHEN p < 2 THEN 'DATA' WHEN p < 10 THEN 'MIXED' ELSE 'CODE' END AS verdict FROM g",
     "top_extensions": "WITH g AS (SELECT repo, " + _EXT + " AS ext, count(*) AS n " + _BLOBS + " GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY repo ORDER BY n DESC, ext) AS place FROM g) SELECT repo, place, ext, n FROM r WHERE place <= 3",
     "order_statistics": "WITH o AS (SELECT type, storedlen, row_number() OVER (PARTITION BY type ORDER BY storedlen) AS k, count(*) OVER (PARTITION BY type) AS n FROM idx WHERE storedlen IS NOT NULL), q AS (SELECT * FROM (VALUES (0.25::DOUBLE), (0.75), (0.9), (0.99)) t(q)) SELECT type, q, storedlen AS value FROM o, q WHERE k = greatest(1, floor(q * n)) UNION ALL SELECT type, -1.0::DOUBLE, storedlen FROM o WHERE k = (n + 1) // 2",

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stratalog.functions.scalars import PROJECT_SQL, url_to_project
 from stratalog.plans import model as M
 from stratalog.plans.model import section, valid_sha, with_sql
+from stratalog.plans.prefix import running_sum
 from stratalog.sources.tables import table
 
 
@@ -47,8 +49,8 @@ def generation_append(idx: DataFrame, known: DataFrame) -> DataFrame:
     """
     ok = idx.where(valid_sha(F.col("sha")) & (F.col("storedlen") > 0)).join(known.select("sha"), "sha", "left_anti")
     first = ok.groupBy("sha").agg(F.min_by(F.struct("idx_id", "storedlen", "repo"), "idx_id").alias("x")).select("sha", "x.idx_id", "x.storedlen", "x.repo").withColumn("sec", section(F.col("sha")))
-    w = Window.partitionBy("sec").orderBy("idx_id")
-    return first.select("sec", (F.row_number().over(w) - 1).cast("long").alias("id"), F.coalesce(F.sum("storedlen").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"), "storedlen", "sha", "repo")
+    numbered = running_sum(first.withColumn("_1", F.lit(1)), ["sec"], ["idx_id"], ["storedlen", "_1"], ["_end", "_no"])
+    return numbered.select("sec", (F.col("_no") - 1).alias("id"), (F.col("_end") - F.col("storedlen")).alias("off"), "storedlen", "sha", "repo")
 
 
 def q_generation_append(s: SparkSession, d: str) -> DataFrame:
@@ -61,9 +63,14 @@ def gen_minus_base(s: SparkSession, d: str) -> DataFrame:
     return o.join(table(s, d, "store_idx"), "sha", "left_anti").select("type", "sha")
 
 
+def overlap(base: DataFrame, gen: DataFrame) -> DataFrame:
+    """sha in both layers: should be empty after a clean fold."""
+    return base.select("sha").intersect(gen.select("sha"))
+
+
 def base_gen_overlap(s: SparkSession, d: str) -> DataFrame:
-    """sha in both the store and the batch index: should be empty after a clean fold."""
-    return table(s, d, "idx").select("sha").intersect(table(s, d, "store_idx").select("sha"))
+    """The store against listed objects, of which it holds many: what a fold must leave out."""
+    return overlap(table(s, d, "store_idx"), table(s, d, "olist"))
 
 
 def watermarks(s: SparkSession, d: str) -> DataFrame:
@@ -72,19 +79,26 @@ def watermarks(s: SparkSession, d: str) -> DataFrame:
 
 
 def delta_list(s: SparkSession, d: str) -> DataFrame:
-    """type, sec, sha: records behind their section's watermark (by offset), united with the listed objects not in the store."""
-    wm = F.broadcast(table(s, d, "store_idx").groupBy("sec").agg(F.max("off").alias("wm")))  # at most 128 rows
-    tail = table(s, d, "idx").join(wm, "sec").where(F.col("off") > F.col("wm")).where(valid_sha(F.col("sha"))).select("type", "sec", "sha")
+    """type, sec, sha: index records behind their section's watermark, united with the listed objects not in the store.
+
+    The watermark is the last id that the store has in a section; ids above it are new, and all of a section that the
+    store doesn't have yet.
+    """
+    wm = F.broadcast(table(s, d, "store_idx").groupBy("sec").agg(F.max("id").alias("wm")))  # at most 128 rows
+    tail = table(s, d, "idx").join(wm, "sec", "left").where("wm IS NULL OR idx_id > wm").where(valid_sha(F.col("sha"))).select("type", "sec", "sha")
     listed = gen_minus_base(s, d).select("type", section(F.col("sha")).alias("sec"), "sha")
     return tail.unionByName(listed).distinct()
 
 
 def layered_read(s: SparkSession, d: str) -> DataFrame:
-    """sha, layer, len: for each object its record in the first layer that holds a sound one: the store, then months of the index."""
-    base = table(s, d, "store_idx").select("sha", F.lit(0).alias("layer"), F.col("len"))
-    gens = table(s, d, "idx").where(F.col("storedlen") > 0).select("sha", (F.month(F.col("dumped_at")) + 12 * (F.year(F.col("dumped_at")) - 2020)).alias("layer"), F.col("storedlen").alias("len"))
-    rows = base.unionByName(gens).where(valid_sha(F.col("sha")) & F.col("layer").isNotNull())
-    return rows.groupBy("sha").agg(F.min(F.struct("layer", "len")).alias("x")).select("sha", F.col("x.layer").cast("long").alias("layer"), "x.len")
+    """sha, layer, len: for each object its record in the first layer that holds a sound one: the store (0), then months
+    of the index, last the records without a date (layer null). Within a layer the first record counts."""
+    base = table(s, d, "store_idx").select("sha", F.lit(0).alias("layer"), F.col("id").alias("at"), F.col("len"))
+    month = F.month(F.col("dumped_at")) + 12 * (F.year(F.col("dumped_at")) - 2020)
+    gens = table(s, d, "idx").where(F.col("storedlen") > 0).select("sha", month.alias("layer"), F.col("idx_id").alias("at"), F.col("storedlen").alias("len"))
+    rows = base.unionByName(gens).where(valid_sha(F.col("sha")))
+    first = F.min_by(F.struct("layer", "len"), F.struct(F.col("layer").isNull(), F.col("layer"), F.col("at")))
+    return rows.groupBy("sha").agg(first.alias("x")).select("sha", F.col("x.layer").cast("long").alias("layer"), "x.len")
 
 
 def as_of_layer(s: SparkSession, d: str) -> DataFrame:
@@ -113,13 +127,14 @@ def haves(s: SparkSession, d: str) -> DataFrame:
 
 
 def tips_csv(s: SparkSession, d: str) -> DataFrame:
-    """list_id, tips: each listing's repository with its tips as comma-separated text in order, blank without any.
+    """list_id, tips: each listing's repository with its tips as comma-separated text by shard and id, blank without any.
 
-    Projects are matched by name in lower case without surrounding blanks.
+    Repositories and projects meet by their project name. The text of a project is one value, as the format wants it;
+    its tips are combined before the shuffle.
     """
-    t = table(s, d, "p2tips").where("p IS NOT NULL AND commit_sha IS NOT NULL").select(F.lower(F.trim("p")).alias("k"), "commit_sha").distinct()
-    agg = t.groupBy("k").agg(F.array_join(F.array_sort(F.collect_list("commit_sha")), ",").alias("tips"))
-    l = table(s, d, "p2cd").select("list_id", F.lower(F.trim("repo")).alias("k"))
+    t = table(s, d, "p2tips").where("p IS NOT NULL AND commit_sha IS NOT NULL").select(url_to_project(F.trim("p")).alias("k"), F.coalesce("shard", F.lit("")).alias("shard"), "commit_sha")
+    agg = t.groupBy("k").agg(F.array_join(F.transform(F.array_sort(F.collect_set(F.struct("shard", "commit_sha"))), lambda x: x["commit_sha"]), ",").alias("tips"))
+    l = table(s, d, "p2cd").select("list_id", url_to_project(F.trim("repo")).alias("k"))
     return l.join(agg, "k", "left").select("list_id", F.coalesce("tips", F.lit("")).alias("tips"))
 
 
@@ -146,11 +161,19 @@ def refs_scan(s: SparkSession, d: str) -> DataFrame:
     return x.select(F.concat(F.lit("refs/heads/c"), F.col("project").cast("string")).alias("name"), "x.target")
 
 
+def grafted(parents: DataFrame, grafts: DataFrame) -> DataFrame:
+    """oid, pos, parent: parents with the lists of `grafts` (oid, parents array) in place of those of the same commit.
+
+    A graft replaces the whole list: an empty one makes a root, and a root may get parents.
+    """
+    kept = parents.select("oid", "pos", "parent").join(grafts.select("oid"), "oid", "left_anti")
+    return kept.unionByName(grafts.select("oid", F.posexplode("parents").alias("pos", "parent")))
+
+
 def grafts(s: SparkSession, d: str) -> DataFrame:
-    """oid, parent: first parents with replacements: commits that 100 divides get the commit half their key."""
-    p = M.parents(s, d).where("pos = 0").select("oid", "parent")
-    g = M.commits(s, d).where("oid % 100 = 0").select("oid", F.expr("oid div 2").alias("graft"))
-    return p.join(g, "oid", "left").select("oid", F.coalesce("graft", "parent").alias("parent"))
+    """Commits that 100 divides get half and a third of their key as parents, those that 300 divides none."""
+    g = M.commits(s, d).where("oid % 100 = 0").select("oid", F.when(F.expr("oid % 300 = 0"), F.array().cast("array<bigint>")).otherwise(F.array(F.expr("oid div 2"), F.expr("oid div 3"))).alias("parents"))
+    return grafted(M.parents(s, d), g)
 
 
 def prefix_lookup(s: SparkSession, d: str) -> DataFrame:
@@ -207,19 +230,19 @@ SQL = {
     "offset_lookup": "SELECT bf_id, off, len, CASE WHEN off IS NULL THEN 'MISS' ELSE 'HIT' END AS state FROM backfill b LEFT JOIN store_idx s ON s.sha = b.oid",
     "generation_append": "WITH ok AS (SELECT sha, min(idx_id) AS idx_id, arg_min(storedlen, idx_id) AS storedlen, arg_min(struct_pack(r := repo), idx_id).r AS repo FROM idx WHERE " + _V.format("sha") + " AND storedlen > 0 AND sha NOT IN (SELECT sha FROM store_idx) GROUP BY sha), z AS (SELECT *, " + _SEC.format("sha") + " AS sec FROM ok) SELECT sec, row_number() OVER w - 1 AS id, coalesce(sum(storedlen) OVER (PARTITION BY sec ORDER BY idx_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off, storedlen, sha, repo FROM z WINDOW w AS (PARTITION BY sec ORDER BY idx_id)",
     "gen_minus_base": _GMB,
-    "base_gen_overlap": "SELECT sha FROM idx INTERSECT SELECT sha FROM store_idx",
+    "base_gen_overlap": "SELECT sha FROM olist INTERSECT SELECT sha FROM store_idx",
     "watermarks": "SELECT sec, max(id) AS id, arg_max(off, id) AS off, arg_max(len, id) AS len, arg_max(sha, id) AS sha FROM store_idx GROUP BY sec",
-    "delta_list": "SELECT type, i.sec, sha FROM idx i JOIN (SELECT sec, max(off) AS wm FROM store_idx GROUP BY sec) w ON w.sec = i.sec WHERE off > wm AND " + _V.format("sha") + " UNION SELECT type, " + _SEC.format("sha") + ", sha FROM (" + _GMB + ")",
-    "layered_read": "WITH u AS (SELECT sha, 0 AS layer, len FROM store_idx UNION ALL SELECT sha, month(dumped_at) + 12 * (year(dumped_at) - 2020), storedlen FROM idx WHERE storedlen > 0), r AS (SELECT *, row_number() OVER (PARTITION BY sha ORDER BY layer, len) AS k FROM u WHERE layer IS NOT NULL AND " + _V.format("sha") + ") SELECT sha, layer, len FROM r WHERE k = 1",
+    "delta_list": "SELECT type, i.sec, sha FROM idx i LEFT JOIN (SELECT sec, max(id) AS wm FROM store_idx GROUP BY sec) w ON w.sec = i.sec WHERE (wm IS NULL OR idx_id > wm) AND " + _V.format("sha") + " UNION SELECT type, " + _SEC.format("sha") + ", sha FROM (" + _GMB + ")",
+    "layered_read": "WITH u AS (SELECT sha, 0 AS layer, id AS nr, len FROM store_idx UNION ALL SELECT sha, month(dumped_at) + 12 * (year(dumped_at) - 2020), idx_id, storedlen FROM idx WHERE storedlen > 0), r AS (SELECT *, row_number() OVER (PARTITION BY sha ORDER BY layer NULLS LAST, nr) AS k FROM u WHERE " + _V.format("sha") + ") SELECT sha, layer, len FROM r WHERE k = 1",
     "as_of_layer": "WITH f AS (SELECT sha, min(date_trunc('month', dumped_at)) AS m FROM idx WHERE dumped_at IS NOT NULL AND " + _V.format("sha") + " GROUP BY sha), p AS (SELECT m, count(*) AS n FROM f GROUP BY m) SELECT strftime(m, '%Y-%m') AS layer, sum(n) OVER (ORDER BY m)::BIGINT AS objects FROM p",
     "parent_gate": "SELECT count(*) AS missing FROM (SELECT DISTINCT o_orderkey // 3 + 1 AS k FROM orders) WHERE k NOT IN (SELECT o_orderkey FROM orders)",
     "connectivity": "SELECT DISTINCT oid FROM backfill WHERE " + _V.format("oid") + " AND oid NOT IN (SELECT sha FROM store_idx) AND oid NOT IN (SELECT sha FROM idx WHERE sha IS NOT NULL) AND oid NOT IN (SELECT sha FROM olist WHERE sha IS NOT NULL)",
     "haves": "SELECT commit_sha AS sha FROM p2tips WHERE commit_sha IS NOT NULL UNION SELECT sha FROM olist WHERE type = 'commit' AND " + _V.format("sha"),
-    "tips_csv": "WITH t AS (SELECT k, string_agg(commit_sha, ',' ORDER BY commit_sha) AS tips FROM (SELECT DISTINCT lower(trim(p, ' ')) AS k, commit_sha FROM p2tips WHERE p IS NOT NULL AND commit_sha IS NOT NULL) GROUP BY k) SELECT list_id, coalesce(tips, '') AS tips FROM p2cd LEFT JOIN t ON k = lower(trim(repo, ' '))",
+    "tips_csv": "WITH t AS (SELECT k, string_agg(commit_sha, ',' ORDER BY shard, commit_sha) AS tips FROM (SELECT DISTINCT " + PROJECT_SQL.format("trim(p, ' ')") + " AS k, coalesce(shard, '') AS shard, commit_sha FROM p2tips WHERE p IS NOT NULL AND commit_sha IS NOT NULL) GROUP BY k) SELECT list_id, coalesce(tips, '') AS tips FROM p2cd LEFT JOIN t ON k = " + PROJECT_SQL.format("trim(repo, ' ')"),
     "bridge_join": with_sql("commits heads", "SELECT n_name AS nation, head AS tip FROM nation JOIN customer ON c_nationkey = n_nationkey JOIN heads ON project = c_custkey"),
     "union_priority": "WITH u AS (SELECT sha, 0 AS p, 'store_idx' AS backend FROM store_idx UNION ALL SELECT sha, 1, 'idx' FROM idx UNION ALL SELECT sha, 2, 'olist' FROM olist) SELECT sha, arg_min(backend, p) AS backend FROM u WHERE " + _V.format("sha") + " GROUP BY sha",
     "refs_scan": with_sql("commits", ", r AS (SELECT *, row_number() OVER (PARTITION BY project ORDER BY oid DESC) AS r FROM commits), u AS (SELECT project, 0 AS p, oid FROM r WHERE r = 1 AND project % 3 = 0 UNION ALL SELECT project, 1, oid FROM r WHERE r = 2) SELECT 'refs/heads/c' || project::VARCHAR AS name, arg_min(oid, p) AS target FROM u GROUP BY project"),
-    "grafts": with_sql("commits parents", "SELECT oid, CASE WHEN oid % 100 = 0 THEN oid // 2 ELSE parent END AS parent FROM parents WHERE pos = 0"),
+    "grafts": with_sql("commits parents", "SELECT oid, pos, parent FROM parents WHERE oid % 100 <> 0 UNION ALL SELECT oid, 0, oid // 2 FROM commits WHERE oid % 100 = 0 AND oid % 300 <> 0 UNION ALL SELECT oid, 1, oid // 3 FROM commits WHERE oid % 100 = 0 AND oid % 300 <> 0"),
     "prefix_lookup": "SELECT substr(sha, 1, 4) AS prefix, count(DISTINCT sha) AS n, CASE WHEN count(DISTINCT sha) > 1 THEN 'AMBIGUOUS' ELSE 'UNIQUE' END AS state FROM store_idx GROUP BY 1",
     "unique_prefix": "WITH h AS (SELECT DISTINCT sha FROM store_idx), k AS (SELECT n AS len, substr(sha, 1, n) AS p FROM h, range(1, 41) t(n) GROUP BY 1, 2 HAVING count(*) = 1) SELECT sha, min(len)::INT AS len FROM h JOIN k ON k.p = substr(sha, 1, len) GROUP BY sha",
     "dump_sections": "SELECT type, " + _SEC.format("sha") + " AS sec, count(*) AS objects, sum(coalesce(storedlen, 0))::BIGINT AS bytes FROM idx WHERE " + _V.format("sha") + " GROUP BY 1, 2",
