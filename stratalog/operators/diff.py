@@ -136,11 +136,58 @@ def name_status(s: SparkSession, d: str) -> DataFrame:
     return g.select("commit", F.array_join(F.transform("x", lambda t: t["l"]), "\n").alias("text"))
 
 
+def delta_lines(deltas: DataFrame, style: str) -> DataFrame:
+    """commit, name, line: deltas in one of the text formats `raw`, `name_only`, `name_status` or `patch_header`.
+
+    Ids are shown with seven digits, zeros where a side lacks the path.
+    """
+    oid = lambda c: F.coalesce(F.substring(F.sha1(F.col(c).cast("string").cast("binary")), 1, 7), F.lit("0" * 7))
+    mode = lambda c: F.coalesce(F.col(c), F.lit("000000"))
+    name, letter = F.col("name").cast("string"), F.substring("status", 1, 1)
+    if style == "name_only":
+        line = name
+    elif style == "name_status":
+        line = F.concat(letter, F.lit("\t"), name)
+    elif style == "raw":
+        line = F.concat(F.lit(":"), mode("old_mode"), F.lit(" "), mode("new_mode"), F.lit(" "), oid("old_oid"), F.lit("... "), oid("new_oid"), F.lit("... "), letter, F.lit("\t"), name)
+    elif style == "patch_header":
+        a, b = F.concat(F.lit("a/"), name), F.concat(F.lit("b/"), name)
+        kind = F.when(F.col("old_oid").isNull(), F.concat(F.lit("\nnew file mode "), "new_mode")).when(F.col("new_oid").isNull(), F.concat(F.lit("\ndeleted file mode "), "old_mode")).when(F.col("old_mode") != F.col("new_mode"), F.concat(F.lit("\nold mode "), "old_mode", F.lit("\nnew mode "), "new_mode")).otherwise("")
+        same = F.when((F.col("old_mode") == F.col("new_mode")), F.concat(F.lit(" "), "new_mode")).otherwise("")
+        index = F.when(F.col("old_oid").eqNullSafe(F.col("new_oid")), F.lit("")).otherwise(F.concat(F.lit("\nindex "), oid("old_oid"), F.lit(".."), oid("new_oid"), same, F.lit("\n--- "), F.when(F.col("old_oid").isNull(), "/dev/null").otherwise(a), F.lit("\n+++ "), F.when(F.col("new_oid").isNull(), "/dev/null").otherwise(b)))
+        line = F.concat(F.lit("diff --git "), a, F.lit(" "), b, kind, index)
+    else:
+        raise ValueError(style)
+    return deltas.select("commit", "name", line.alias("line"))
+
+
+def diff_raw(s: SparkSession, d: str) -> DataFrame:
+    return delta_lines(_deltas(s, d), "raw")
+
+
+def diff_name_only(s: SparkSession, d: str) -> DataFrame:
+    return delta_lines(_deltas(s, d), "name_only")
+
+
+def diff_patch_header(s: SparkSession, d: str) -> DataFrame:
+    return delta_lines(_deltas(s, d), "patch_header")
+
+
+def patch_id(patch: Column) -> Column:
+    """Hash of one file's patch without blanks, positions of hunks and index lines: equal changes have equal ids wherever
+    they were made."""
+    kept = F.filter(F.split(patch, "\n"), lambda x: ~x.rlike(r"^(?:@@ |index )"))
+    return F.sha1(F.regexp_replace(F.array_join(kept, ""), r"[ \t\n\r\f\x0B]+", "").cast("binary"))
+
+
 def patch_ids(s: SparkSession, d: str) -> DataFrame:
-    """commit, patch_id: hash of the deltas without blanks, so equal changes have equal ids wherever they were made."""
-    line = F.concat_ws(",", F.col("name").cast("string"), F.coalesce(F.col("old_oid").cast("string"), F.lit("-")), F.coalesce(F.col("new_oid").cast("string"), F.lit("-")))
-    g = _deltas(s, d).groupBy("commit").agg(F.array_sort(F.collect_list(F.struct("name", line.alias("l")))).alias("x"))
-    return g.select("commit", F.sha1(F.array_join(F.transform("x", lambda t: t["l"]), ";").cast("binary")).alias("patch_id"))
+    """doc_id, patch_id: the change that puts a line before each document, as a patch with three lines of context."""
+    t = table(s, d, "documents").where("text IS NOT NULL").select("doc_id", F.split("text", "\n").alias("l"))
+    n = F.least(F.size("l"), F.lit(3)).cast("string")
+    name = F.concat(F.lit("doc"), F.col("doc_id").cast("string"))
+    m = (F.least(F.size("l"), F.lit(3)) + 1).cast("string")
+    patch = F.concat(F.lit("diff --git a/"), name, F.lit(" b/"), name, F.lit("\nindex 1111111..2222222 100644\n--- a/"), name, F.lit("\n+++ b/"), name, F.lit("\n@@ -1,"), n, F.lit(" +1,"), m, F.lit(" @@\n+first line\n "), F.array_join(F.slice("l", 1, 3), "\n "))
+    return t.select("doc_id", patch_id(patch).alias("patch_id"))
 
 
 def three_states(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -211,6 +258,7 @@ def checkout_plan(s: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "diff_raw": diff_raw, "diff_name_only": diff_name_only, "diff_patch_header": diff_patch_header,
     "commit_diff": q_commit_diff, "diff_typechange_split": typechange_split, "tree_hash": tree_signatures, "differing_parent": q_differing_parent, "rename_exact": q_exact_renames, "diff_stats": diff_stats,
     "diff_name_status": name_status, "patch_id": patch_ids, "status_flags": status, "diff_merge": merged_diff, "diff_paired": paired, "checkout_plan": checkout_plan,
 }
@@ -218,7 +266,7 @@ QUERIES = {
 _KIND = "substr({0}, 1, 2)"
 _DELTAS = (
     ", fp AS (SELECT oid AS commit, parent FROM parents WHERE pos = 0), o AS (SELECT fp.commit, e.name, e.oid, e.mode FROM fp JOIN entries e ON e.tree = fp.parent), n AS (SELECT c.oid AS commit, e.name, e.oid, e.mode FROM commits c JOIN entries e ON e.tree = c.oid),"
-    " deltas AS (SELECT coalesce(o.commit, n.commit) AS commit, coalesce(o.name, n.name) AS name, o.oid AS old_oid, n.oid AS new_oid, CASE WHEN o.oid IS NULL THEN 'ADDED' WHEN n.oid IS NULL THEN 'DELETED' WHEN substr(o.mode, 1, 2) <> substr(n.mode, 1, 2) THEN 'TYPECHANGE' ELSE 'MODIFIED' END AS status"
+    " deltas AS (SELECT coalesce(o.commit, n.commit) AS commit, coalesce(o.name, n.name) AS name, o.oid AS old_oid, n.oid AS new_oid, o.mode AS old_mode, n.mode AS new_mode, CASE WHEN o.oid IS NULL THEN 'ADDED' WHEN n.oid IS NULL THEN 'DELETED' WHEN substr(o.mode, 1, 2) <> substr(n.mode, 1, 2) THEN 'TYPECHANGE' ELSE 'MODIFIED' END AS status"
     " FROM o FULL JOIN n ON o.commit = n.commit AND o.name = n.name WHERE o.oid IS NULL OR n.oid IS NULL OR o.oid <> n.oid OR o.mode <> n.mode) "
 )
 _M = "commits parents entries"
@@ -240,7 +288,10 @@ SQL = {
     "rename_exact": with_sql(_M, _DELTAS + ", g AS (SELECT commit, name, old_oid AS oid, row_number() OVER (PARTITION BY commit, old_oid ORDER BY name) AS k FROM deltas WHERE status = 'DELETED'), c AS (SELECT commit, name, new_oid AS oid, row_number() OVER (PARTITION BY commit, new_oid ORDER BY name) AS k FROM deltas WHERE status = 'ADDED') SELECT g.commit, g.name AS old_name, c.name AS new_name, g.oid FROM g JOIN c ON g.commit = c.commit AND g.oid = c.oid AND g.k = c.k"),
     "diff_stats": with_sql(_M, _DELTAS + "SELECT status, count(*) AS files, count(DISTINCT commit) AS commits FROM deltas GROUP BY status"),
     "diff_name_status": with_sql(_M, _DELTAS + "SELECT commit, string_agg(substr(status, 1, 1) || chr(9) || name::VARCHAR, chr(10) ORDER BY name) AS text FROM deltas GROUP BY commit"),
-    "patch_id": with_sql(_M, _DELTAS + "SELECT commit, sha1(string_agg(name::VARCHAR || ',' || coalesce(old_oid::VARCHAR, '-') || ',' || coalesce(new_oid::VARCHAR, '-'), ';' ORDER BY name)) AS patch_id FROM deltas GROUP BY commit"),
+    "patch_id": "WITH t AS (SELECT doc_id, string_split(text, chr(10))[1:3] AS l FROM documents WHERE text IS NOT NULL) SELECT doc_id, sha1(regexp_replace('diff--gita/doc' || doc_id::VARCHAR || 'b/doc' || doc_id::VARCHAR || '---a/doc' || doc_id::VARCHAR || '+++b/doc' || doc_id::VARCHAR || '+firstline' || array_to_string(l, ''), '[ \\t\\n\\r\\f\\x0B]+', '', 'g')) AS patch_id FROM t",
+    "diff_name_only": with_sql(_M, _DELTAS + "SELECT commit, name, name::VARCHAR AS line FROM deltas"),
+    "diff_raw": with_sql(_M, _DELTAS + "SELECT commit, name, ':' || coalesce(old_mode, '000000') || ' ' || coalesce(new_mode, '000000') || ' ' || coalesce(substr(sha1(old_oid::VARCHAR), 1, 7), '0000000') || '... ' || coalesce(substr(sha1(new_oid::VARCHAR), 1, 7), '0000000') || '... ' || substr(status, 1, 1) || chr(9) || name::VARCHAR AS line FROM deltas"),
+    "diff_patch_header": with_sql(_M, _DELTAS + "SELECT commit, name, 'diff --git a/' || name::VARCHAR || ' b/' || name::VARCHAR || CASE WHEN old_oid IS NULL THEN chr(10) || 'new file mode ' || new_mode WHEN new_oid IS NULL THEN chr(10) || 'deleted file mode ' || old_mode WHEN old_mode <> new_mode THEN chr(10) || 'old mode ' || old_mode || chr(10) || 'new mode ' || new_mode ELSE '' END || CASE WHEN old_oid IS NOT DISTINCT FROM new_oid THEN '' ELSE chr(10) || 'index ' || coalesce(substr(sha1(old_oid::VARCHAR), 1, 7), '0000000') || '..' || coalesce(substr(sha1(new_oid::VARCHAR), 1, 7), '0000000') || CASE WHEN old_mode = new_mode THEN ' ' || new_mode ELSE '' END || chr(10) || '--- ' || CASE WHEN old_oid IS NULL THEN '/dev/null' ELSE 'a/' || name::VARCHAR END || chr(10) || '+++ ' || CASE WHEN new_oid IS NULL THEN '/dev/null' ELSE 'b/' || name::VARCHAR END END AS line FROM deltas"),
     "status_flags": _S3 + "SELECT path, sum(f)::INT AS flags FROM (SELECT path, CASE " + _ST.format("a") + " WHEN 'ADDED' THEN 1 WHEN 'MODIFIED' THEN 2 ELSE 4 END AS f FROM a UNION ALL SELECT path, CASE " + _ST.format("b") + " WHEN 'ADDED' THEN 128 WHEN 'MODIFIED' THEN 256 ELSE 512 END FROM b) GROUP BY path",
     "diff_merge": _S3 + ", j AS (SELECT coalesce(a.path, b.path) AS path, CASE WHEN a.path IS NOT NULL THEN a.o ELSE b.o END AS o, CASE WHEN b.path IS NOT NULL THEN b.n ELSE a.n END AS n FROM a FULL JOIN b ON a.path = b.path) SELECT path, o AS old_oid, n AS new_oid, " + _ST.format("j") + " AS status FROM j WHERE o IS DISTINCT FROM n",
     "diff_paired": _S3 + "SELECT coalesce(a.path, b.path) AS path, CASE WHEN a.path IS NULL THEN NULL ELSE " + _ST.format("a") + " END AS staged, CASE WHEN b.path IS NULL THEN NULL ELSE " + _ST.format("b") + " END AS unstaged FROM a FULL JOIN b ON a.path = b.path",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalog.plans import model as M
-from stratalog.plans.lineage import written
+from stratalog.plans.lineage import discard, written
 from stratalog.plans.model import with_sql
 
 
@@ -57,17 +57,25 @@ def merge_bases(pairs: DataFrame, reach: DataFrame, edges: DataFrame) -> DataFra
     return common.join(worse, ["a", "b", "oid"], "left_anti").select("a", "b", F.col("oid").alias("base"))
 
 
-def generations(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """oid, generation: 1 for roots, else one more than the largest of the parents'."""
-    edges = written(edges, "edges")
-    level = written(nodes.select("oid").join(edges, "oid", "left_anti").select("oid"), "generation")
-    out = [level.withColumn("generation", F.lit(1))]
-    n = 1
-    while not level.isEmpty():
-        n += 1
-        level = written(edges.join(level.withColumnRenamed("oid", "parent"), "parent").select("oid").distinct(), "generation")
-        out.append(level.withColumn("generation", F.lit(n)))
-    return reduce(DataFrame.unionByName, out).groupBy("oid").agg(F.max("generation").alias("generation"))
+def generations(nodes: DataFrame, edges: DataFrame, doublings: int = 2) -> DataFrame:
+    """oid, generation: 1 for roots, else one more than the largest of the parents'.
+
+    Edges are first joined with themselves, each pair keeping its longest way, so that a round settles 2 ** doublings
+    levels; only nodes whose number has grown pass it on.
+    """
+    hops = written(edges.where("oid IS NOT NULL AND parent IS NOT NULL").select("oid", "parent", F.lit(1).alias("w")), "hops")
+    for _ in range(doublings):
+        far = hops.select("oid", F.col("parent").alias("mid"), "w").join(hops.select(F.col("oid").alias("mid"), "parent", F.col("w").alias("v")), "mid").select("oid", "parent", (F.col("w") + F.col("v")).alias("w"))
+        longer = written(hops.unionByName(far).groupBy("oid", "parent").agg(F.max("w").alias("w")), "hops")
+        discard(hops)
+        hops = longer
+    now = written(nodes.select("oid", F.lit(1).alias("generation"), F.lit(True).alias("moved")), "generation")
+    while not (front := now.where("moved").select(F.col("oid").alias("parent"), "generation")).isEmpty():
+        up = hops.join(front, "parent").groupBy("oid").agg(F.max(F.col("generation") + F.col("w")).alias("up"))
+        new = written(now.join(up, "oid", "left").select("oid", F.greatest("generation", F.coalesce("up", "generation")).alias("generation"), F.coalesce(F.col("up") > F.col("generation"), F.lit(False)).alias("moved")), "generation")
+        discard(now)
+        now = new
+    return now.select("oid", "generation")
 
 
 def tips(p2c: DataFrame, edges: DataFrame) -> DataFrame:
@@ -148,16 +156,22 @@ def merge_analysis(s: SparkSession, d: str) -> DataFrame:
     return pairs.join(up, ["a", "b"], "left").join(ff, ["a", "b"], "left").select("a", "b", F.when(F.col("up"), "UP_TO_DATE").when(F.col("ff"), "FASTFORWARD").otherwise("NORMAL").alias("kind"))
 
 
-def octopus_base(s: SparkSession, d: str) -> DataFrame:
-    """nation, base: best common ancestors of all heads of a nation's projects."""
-    from stratalog.sources.tables import table
+def octopus_bases(groups: DataFrame, reach: DataFrame, edges: DataFrame) -> DataFrame:
+    """grp, base: best common ancestors of all commits of a group (grp, root). reach: closure of all roots."""
+    n = groups.groupBy("grp").agg(F.count("*").alias("n"))
+    common = written(groups.join(reach, "root").groupBy("grp", "oid").agg(F.count("*").alias("c")).join(n, "grp").where("c = n").select("grp", "oid"), "common")
+    worse = common.join(edges, "oid").select("grp", F.col("parent").alias("oid")).distinct()
+    return common.join(worse, ["grp", "oid"], "left_anti").select("grp", F.col("oid").alias("base"))
 
-    reach = written(_reach_heads(s, d), "reach")
-    h = M.heads(s, d).join(table(s, d, "customer").select(F.col("c_custkey").alias("project"), F.col("c_nationkey").alias("nation")), "project").select("nation", F.col("head").alias("root")).distinct()
-    n = h.groupBy("nation").agg(F.count("*").alias("n"))
-    common = written(h.join(reach, "root").groupBy("nation", "oid").agg(F.count("*").alias("c")).join(n, "nation").where("c = n").select("nation", "oid"), "common")
-    worse = common.join(M.edges(s, d), "oid").select("nation", F.col("parent").alias("oid")).distinct()
-    return common.join(worse, ["nation", "oid"], "left_anti").select("nation", F.col("oid").alias("base"))
+
+def octopus_base(s: SparkSession, d: str) -> DataFrame:
+    """head, base: best common ancestors of each head, its first parent, and the newest head of its nation."""
+    p = M.parents(s, d).where("pos = 0").select(F.col("oid").alias("a"), "parent")
+    pairs = M.head_pairs(s, d).join(p, "a")
+    groups = written(pairs.select(F.col("a").alias("grp"), F.explode(F.array("a", "b", "parent")).alias("root")).distinct(), "groups")
+    e = M.edges(s, d)
+    reach = closure(e, groups.select("root", F.col("root").alias("oid")).distinct())
+    return octopus_bases(groups, reach, e).select(F.col("grp").alias("head"), "base")
 
 
 def q_generations(s: SparkSession, d: str) -> DataFrame:
@@ -264,7 +278,7 @@ SQL = {
     "ahead_behind": with_sql(_G + "pairs closure", ", m AS (SELECT a, b, x.oid, 1 AS s FROM pairs JOIN closure x ON x.root = a UNION ALL SELECT a, b, y.oid, 2 FROM pairs JOIN closure y ON y.root = b), t AS (SELECT a, b, oid, sum(s) AS s FROM m GROUP BY ALL) SELECT a, b, count(*) FILTER (s = 1) AS ahead, count(*) FILTER (s = 2) AS behind FROM t GROUP BY a, b"),
     "merge_base": with_sql(_G + "pairs closure", ", common AS (SELECT a, b, x.oid FROM pairs JOIN closure x ON x.root = a JOIN closure y ON y.root = b AND y.oid = x.oid) SELECT a, b, oid AS base FROM common c WHERE NOT EXISTS (SELECT 1 FROM common k JOIN edges e ON e.oid = k.oid WHERE k.a = c.a AND k.b = c.b AND e.parent = c.oid)"),
     "merge_analysis": with_sql(_G + "pairs closure", "SELECT a, b, CASE WHEN EXISTS (SELECT 1 FROM closure c WHERE c.root = a AND c.oid = b) THEN 'UP_TO_DATE' WHEN EXISTS (SELECT 1 FROM closure c WHERE c.root = b AND c.oid = a) THEN 'FASTFORWARD' ELSE 'NORMAL' END AS kind FROM pairs"),
-    "octopus_base": with_sql(_G + "closure", ", h AS (SELECT DISTINCT c_nationkey AS nation, head FROM heads JOIN customer ON c_custkey = project), n AS (SELECT nation, count(*) AS n FROM h GROUP BY 1), common AS (SELECT h.nation, c.oid FROM h JOIN closure c ON c.root = h.head JOIN n ON n.nation = h.nation GROUP BY h.nation, c.oid, n.n HAVING count(*) = n.n) SELECT nation, oid AS base FROM common c WHERE NOT EXISTS (SELECT 1 FROM common k JOIN edges e ON e.oid = k.oid WHERE k.nation = c.nation AND e.parent = c.oid)"),
+    "octopus_base": with_sql(_G + "pairs", ", q AS (SELECT a, b, parent FROM pairs JOIN parents ON oid = a AND pos = 0), h AS (SELECT a AS head, a AS root FROM q UNION SELECT a, b FROM q UNION SELECT a, parent FROM q), closure AS (SELECT root, root AS oid FROM (SELECT DISTINCT root FROM h) UNION SELECT c.root, e.parent FROM closure c JOIN edges e ON e.oid = c.oid), n AS (SELECT head, count(*) AS n FROM h GROUP BY 1), common AS (SELECT h.head, c.oid FROM h JOIN closure c ON c.root = h.root JOIN n ON n.head = h.head GROUP BY h.head, c.oid, n HAVING count(*) = n) SELECT head, oid AS base FROM common c WHERE NOT EXISTS (SELECT 1 FROM common k JOIN edges e ON e.oid = k.oid WHERE k.head = c.head AND e.parent = c.oid)"),
     "generation_numbers": with_sql("commits parents edges", ", g AS (SELECT oid, 1 AS generation FROM commits WHERE oid NOT IN (SELECT oid FROM edges) UNION SELECT e.oid, g.generation + 1 FROM g JOIN edges e ON e.parent = g.oid) SELECT oid, max(generation) AS generation FROM g GROUP BY oid"),
     "project_tips": with_sql("commits parents edges", "SELECT project, oid AS tip FROM commits c WHERE NOT EXISTS (SELECT 1 FROM edges e JOIN commits k ON k.oid = e.oid WHERE e.parent = c.oid AND k.project = c.project)"),
     "global_tips": with_sql("commits parents edges", "SELECT project, oid AS tip FROM commits WHERE oid NOT IN (SELECT parent FROM edges)"),
