@@ -195,7 +195,15 @@ def merge_lines(base: list[str], ours: list[str], theirs: list[str], favor: str
     from difflib import SequenceMatcher
 
     def kept(x: list[str]) -> dict[int, int]:
-        return {i + k: j + k for i, j, n in SequenceMatcher(None, base, x, autojunk=False).get_matching_blocks() for k in range(n)}
+        head = 0
+        while head < min(len(base), len(x)) and base[head] == x[head]:
+            head += 1
+        tail = 0
+        while tail < min(len(base), len(x)) - head and base[-1 - tail] == x[-1 - tail]:
+            tail += 1
+        mid = SequenceMatcher(None, base[head : len(base) - tail], x[head : len(x) - tail], autojunk=False).get_matching_blocks()
+        same = {i: i for i in range(head)} | {head + i + k: head + j + k for i, j, n in mid for k in range(n)}
+        return same | {len(base) - k: len(x) - k for k in range(1, tail + 1)}
 
     mo, mt = kept(ours), kept(theirs)
     out: list[str] = []
@@ -236,9 +244,9 @@ def merge_texts(df: DataFrame, favor: str = "none") -> DataFrame:
 
 
 def merge_text_query(s: SparkSession, d: str) -> DataFrame:
-    """Documents merged with two edits: ours upper-cases the first line, theirs adds a last line."""
+    """Documents merged with two edits: ours marks the first line, theirs adds a last line."""
     t = table(s, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("base"))
-    ours = F.concat(F.upper(F.substring_index("base", "\n", 1)), F.substring(F.col("base"), F.length(F.substring_index("base", "\n", 1)) + 1, F.length("base")))
+    ours = F.concat(F.lit("> "), F.col("base"))
     return merge_texts(t.select("id", "base", ours.alias("ours"), F.concat("base", F.lit("\n-- end")).alias("theirs")))
 
 
@@ -281,4 +289,5 @@ SQL = {
         r AS (SELECT *, """ + _RULES + " AS result FROM x) SELECT path, renamed, result, " + _ENTRY.format("", "oid") + ", " + _KIND + " FROM r",
     "merge_directory_file": _NAMED + ", k AS (SELECT path FROM base UNION SELECT path FROM ours UNION SELECT path FROM theirs), x AS (SELECT k.path, b.oid AS a, o.oid AS o, t.oid AS t, 1 AS am, 1 AS om, 1 AS tm FROM k LEFT JOIN base b USING (path) LEFT JOIN ours o USING (path) LEFT JOIN theirs t USING (path)), r AS (SELECT path, " + _RULES + " AS result FROM x), kept AS (SELECT path FROM r WHERE result <> 'REMOVED') SELECT f.path, count(*) AS below FROM kept f JOIN kept g ON starts_with(g.path, f.path || '/') AND f.path LIKE 'lib%' GROUP BY f.path",
     "n_way_walk": _SIDES + ", u AS (SELECT * FROM t WHERE path % 5 <> 0) SELECT ((x.a IS NOT NULL)::INT + 2 * (x.o IS NOT NULL)::INT + 4 * (x.t IS NOT NULL)::INT + 8 * (u.oid IS NOT NULL)::INT)::INT AS mask, count(*) AS paths FROM x LEFT JOIN u USING (path) GROUP BY 1",
+    "merge_text": "WITH t AS (SELECT doc_id AS id, text, string_split(text, chr(10)) AS l FROM documents), u AS (SELECT *, '> ' || l[1] AS top FROM t) SELECT id, CASE WHEN text IS NULL THEN '' WHEN len(l) > 1 THEN top || substr(text, length(l[1]) + 1) || chr(10) || '-- end' ELSE '<<<<<<< ours' || chr(10) || top || chr(10) || '=======' || chr(10) || text || chr(10) || '-- end' || chr(10) || '>>>>>>> theirs' END AS merged, CASE WHEN text IS NULL OR len(l) > 1 THEN 0 ELSE 1 END AS conflicts FROM u",
 }

@@ -98,7 +98,7 @@ def rule_regex(pattern: str) -> tuple[str, bool]:
 def ignored(path: Column, rules: list[str]) -> Column:
     """Is a file ignored? Rules are read in order, the last match decides, `!` takes back; a file below an ignored folder
     stays ignored whatever later rules say. Empty rules and comments count for nothing. Null paths give null."""
-    parsed = [(r.startswith("!"), *rule_regex(r.lstrip("!"))) for r in rules if r.strip() and not r.startswith("#")]
+    parsed = [(r.startswith("!"), *rule_regex(r.removeprefix("!"))) for r in rules if r.strip() and not r.startswith("#")]
 
     def verdict(p: Column, is_folder: bool) -> Column:
         out = F.lit(False)
@@ -121,6 +121,53 @@ def attribute(path: Column, rules: list[tuple[str, str | None]]) -> Column:
     return out
 
 
+#: What the built-in macro stands for.
+MACROS = {"binary": ["-diff", "-merge", "-text", "-crlf"]}
+
+
+def attribute_rules(lines: list[str], name: str, macros: dict[str, list[str]] | None = None) -> list[tuple[str, str | None]]:
+    """(pattern, value) for one attribute from attribute lines (`pattern a -b !c d=value`), in order, macros expanded.
+
+    `a` gives true, `-a` false, `!a` null (unspecified again), `a=v` the value. `[attr]m …` defines macro m, which counts
+    for the lines behind it; a macro that a line names sets its own attributes too.
+    """
+    known = {**MACROS, **(macros or {})}
+    out: list[tuple[str, str | None]] = []
+    for line in lines:
+        words = line.split()
+        if not words or words[0].startswith("#"):
+            continue
+        if words[0].startswith("[attr]"):
+            known[words[0][6:]] = words[1:]
+            continue
+        todo, seen = list(words[1:]), 0
+        while seen < len(todo):
+            more = [x for x in known.get(todo[seen], []) if x not in todo[: seen + 1]]
+            todo[seen + 1 : seen + 1] = more
+            seen += 1
+        for w in todo:
+            key, eq, value = w.lstrip("-!").partition("=")
+            if key == name:
+                out.append((words[0], value if eq else None if w.startswith("!") else "false" if w.startswith("-") else "true"))
+    return out
+
+
+def ignore_lines(text: str, folder: str = "") -> list[str]:
+    """The rules of an ignore file of `folder` as rules from the root: comments and empty lines dropped, trailing blanks
+    too unless escaped, an escaped `!` or `#` read as a plain first character, patterns held below the folder."""
+    out = []
+    for line in text.split("\n"):
+        line = re.sub(r"(?<!\\)[ \t]+$", "", line.rstrip("\r"))
+        if not line or line.startswith("#"):
+            continue
+        neg, p = line.startswith("!"), line.removeprefix("!")
+        if folder:
+            base = re.sub(r"([*?\[\\])", r"\\\1", folder.strip("/"))
+            p = f"/{base}/{p.lstrip('/')}" if "/" in p.rstrip("/") else f"/{base}/**/{p}"
+        out.append(("!" if neg else "") + p)
+    return out
+
+
 def mailmap(people: DataFrame, entries: DataFrame) -> DataFrame:
     """people (name, email, …) with real_name and real_email.
 
@@ -168,6 +215,18 @@ def q_attributes(s: SparkSession, d: str) -> DataFrame:
     return _paths(s, d).select("line_no", attribute(F.col("path"), [("*", "auto"), ("*.md", "text"), ("*.rs", "lf"), ("src/*.rs", "crlf")]).alias("eol"))
 
 
+def q_attribute_macros(s: SparkSession, d: str) -> DataFrame:
+    lines = ["[attr]code lang=c indent -binary", "* text", "*.png binary", "*.c code", "docs/* !text", "*.md text=auto"]
+    p = F.col("path")
+    return _paths(s, d).select("line_no", *[attribute(p, attribute_rules(lines, a)).alias(a) for a in ("text", "lang", "diff")])
+
+
+def q_ignore_folders(s: SparkSession, d: str) -> DataFrame:
+    """Ignore files of the root, of `src` and of `docs`, the deeper ones read later."""
+    rules = ignore_lines("*.json\n\\!odd\n") + ignore_lines("*.c\n!/main.c \n", "src") + ignore_lines("*\n!*.md\n", "docs")
+    return _paths(s, d).where(ignored(F.col("path"), rules)).select("line_no")
+
+
 def q_mailmap(s: SparkSession, d: str) -> DataFrame:
     """Authors under the most common name of their address; a second set of entries renames by name and address."""
     a = table(s, d, "authors").where("simpemail IS NOT NULL AND getfl IS NOT NULL").select("author_id", F.col("getfl").alias("name"), F.col("simpemail").alias("email"))
@@ -177,7 +236,7 @@ def q_mailmap(s: SparkSession, d: str) -> DataFrame:
     return mailmap(a, common.unionByName(root)).select("author_id", "real_name", "real_email")
 
 
-QUERIES = {"pathspec": q_pathspec, "pathspec_failures": pathspec_failures, "glob_match": q_glob, "ignore_rules": q_ignore, "attribute_lookup": q_attributes, "mailmap": q_mailmap}
+QUERIES = {"pathspec": q_pathspec, "pathspec_failures": pathspec_failures, "glob_match": q_glob, "ignore_rules": q_ignore, "attribute_lookup": q_attributes, "mailmap": q_mailmap, "attribute_macros": q_attribute_macros, "ignore_folders": q_ignore_folders}
 
 _P = "FROM olist WHERE path IS NOT NULL"
 SQL = {
@@ -187,4 +246,6 @@ SQL = {
     "ignore_rules": f"SELECT line_no {_P} AND (regexp_matches(path, '(^|/)docs/') OR regexp_full_match(path, 'cmd/[^/]*[.]c') OR (ends_with(path, '.json') AND NOT regexp_full_match(path, 'lib/[^/]*[.]json')) OR regexp_matches(path, '[.]json/'))",
     "attribute_lookup": f"SELECT line_no, CASE WHEN regexp_full_match(path, 'src/[^/]*[.]rs') THEN 'crlf' WHEN ends_with(path, '.rs') THEN 'lf' WHEN ends_with(path, '.md') THEN 'text' ELSE 'auto' END AS eol {_P}",
     "mailmap": "WITH a AS (SELECT author_id, getfl AS name, simpemail AS email FROM authors WHERE simpemail IS NOT NULL AND getfl IS NOT NULL), n AS (SELECT lower(email) AS e, name, count(*) AS n FROM a GROUP BY ALL), c AS (SELECT e, name FROM (SELECT *, row_number() OVER (PARTITION BY e ORDER BY n DESC, name) AS k FROM n) WHERE k = 1) SELECT author_id, CASE WHEN lower(a.name) = 'root' THEN 'Administrator' ELSE c.name END AS real_name, CASE WHEN lower(a.name) = 'root' THEN 'admin@hub.example' ELSE a.email END AS real_email FROM a JOIN c ON c.e = lower(a.email)",
+    "attribute_macros": f"SELECT line_no, CASE WHEN ends_with(path, '.md') THEN 'auto' WHEN regexp_full_match(path, 'docs/[^/]*') THEN NULL WHEN ends_with(path, '.png') THEN 'false' ELSE 'true' END AS text, CASE WHEN ends_with(path, '.c') THEN 'c' END AS lang, CASE WHEN ends_with(path, '.png') THEN 'false' END AS diff {_P}",
+    "ignore_folders": f"SELECT line_no {_P} AND CASE WHEN starts_with(path, 'docs/') THEN NOT ends_with(path, '.md') OR contains(substr(path, 6), '/') WHEN path = 'src/main.c' THEN false WHEN starts_with(path, 'src/') AND (ends_with(path, '.c') OR regexp_matches(path, '[.]c/')) THEN true WHEN path = '!odd' THEN true ELSE ends_with(path, '.json') OR regexp_matches(path, '[.]json/') END",
 }

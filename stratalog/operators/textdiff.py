@@ -167,11 +167,15 @@ def blame(history: DataFrame) -> DataFrame:
     return history.select("path", "version", "text").groupBy("path").applyInPandas(work, "path long, final_start long, lines long, version long")
 
 
-def is_binary(df: DataFrame, key: str, text: str) -> DataFrame:
-    """key, binary: does the text's first 8,000 bytes hold a NUL or over one control character in 128 printable ones?"""
-    c = F.substring(F.col(text), 1, 8000)
-    control = F.length(F.regexp_replace(c, r"[^\x00-\x06\x0e-\x1a\x1c-\x1f\x7f]", ""))
-    return df.where(F.col(text).isNotNull()).select(key, (c.contains("\u0000") | (F.floor((F.length(c) - control) / 128) < control)).alias("binary"))
+def binary_content(body: Column) -> Column:
+    """Do these bytes look binary? A mark of UTF-16 or UTF-32 at the front, a NUL among the first 8,000 bytes, or more
+    control characters there than printable ones by 128. Backspace, escape and form feed count as printable."""
+    head = F.decode(F.substring(body, 1, 8000), "iso-8859-1")
+    head = F.regexp_replace(head, r"\A\xEF\xBB\xBF", "")
+    control = F.length(head) - F.length(F.regexp_replace(head, r"[\x01-\x07\x0E-\x1A\x1C-\x1F\x7F]", ""))
+    printable = F.length(F.regexp_replace(head, r"[\x00-\x07\x09-\x0B\x0D-\x1A\x1C-\x1F\x7F]", ""))
+    marked = F.hex(F.substring(body, 1, 4)).rlike(r"\A(?:FEFF|FFFE|0000FEFF)")
+    return marked | head.contains("\u0000") | (F.floor(printable / 128) < control)
 
 
 # ------------------------------------------------------------------------------------------------------------- queries
@@ -181,7 +185,7 @@ def _edited(s: SparkSession, d: str) -> DataFrame:
     """doc_id, text and an edit of it: its second line is dropped and a line added at the end."""
     t = table(s, d, "documents").where("text IS NOT NULL").select(F.col("doc_id").alias("id"), "text")
     lines = F.split("text", "\n")
-    new = F.array_join(F.concat(F.slice(lines, 1, 1), F.when(F.size(lines) > 2, F.slice(lines, 3, 1_000_000)).otherwise(F.array().cast("array<string>")), F.array(F.lit("-- new"))), "\n")
+    new = F.array_join(F.concat(F.slice(lines, 1, 1), F.when(F.size(lines) > 2, F.slice(lines, 3, F.size(lines))).otherwise(F.array().cast("array<string>")), F.array(F.lit("-- new"))), "\n")
     return t.select("id", F.col("text").alias("old"), new.alias("new"))
 
 
@@ -207,8 +211,17 @@ def q_blame(s: SparkSession, d: str) -> DataFrame:
 
 
 def q_binary(s: SparkSession, d: str) -> DataFrame:
-    return is_binary(table(s, d, "documents"), "doc_id", "text")
+    """Documents as they are, with a NUL in front, behind two control characters, or as UTF-16."""
+    way = F.col("doc_id") % 4
+    t = table(s, d, "documents").where("text IS NOT NULL")
+    front = F.when(way == 1, F.lit("\u0000")).when(way == 2, F.lit("\u0007\u0001")).otherwise("")
+    body = F.when(way == 3, F.encode("text", "utf-16")).otherwise(F.encode(F.concat(front, "text"), "utf-8"))
+    return t.select("doc_id", binary_content(body).alias("binary"))
 
 
 QUERIES = {"hash_signature": q_hashsig, "rename_inexact": q_renames, "diff_hunks": q_hunks, "blame": q_blame, "binary_detection": q_binary}
-SQL: dict[str, str] = {}
+_LINES = "(SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)"
+SQL = {
+    "blame": f"SELECT doc_id AS path, 1::BIGINT AS final_start, greatest(len(l) - 1, 1) AS lines, 1::BIGINT AS version FROM {_LINES} UNION ALL SELECT doc_id, greatest(len(l) - 1, 1) + 1, 1, 2 FROM {_LINES}",
+    "binary_detection": r"WITH t AS (SELECT doc_id, doc_id % 4 AS way, octet_length(encode(regexp_replace(text, '[\x00-\x07\x09-\x0B\x0D-\x1A\x1C-\x1F\x7F]', '', 'g'))) AS printable, length(text) - length(regexp_replace(text, '[\x01-\x07\x0E-\x1A\x1C-\x1F\x7F]', '', 'g')) AS control FROM documents WHERE text IS NOT NULL) SELECT doc_id, CASE way WHEN 1 THEN true WHEN 3 THEN true WHEN 2 THEN least(printable, 7998) // 128 < control + 2 ELSE least(printable, 8000) // 128 < control END AS binary FROM t",
+}

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalog.plans.lineage import written
 from stratalog.plans.spread import spread
 from stratalog.sources.tables import table
 
@@ -91,9 +92,30 @@ def config_rows(files: DataFrame) -> DataFrame:
     return files.select(F.col("origin").cast("string"), F.col("level").cast("int"), "text").mapInPandas(work, "origin string, level int, name string, value string, pos int")
 
 
+def included(rows: DataFrame, files: DataFrame, most: int = 10) -> DataFrame:
+    """`rows` of config_rows with the entries of included files (origin, text) behind the entry that names them.
+
+    `include.path` names the origin of another file, to be read at the includer's level and place. More than `most` files
+    within each other are an error, as cycles are.
+    """
+    known = config_rows(files.select("origin", F.lit(0).alias("level"), "text")).select(F.col("origin").alias("_file"), F.col("name").alias("_name"), F.col("value").alias("_value"), F.col("pos").alias("_pos"))
+    done = rows.select("origin", "level", "name", "value", F.array(F.col("pos").cast("int")).alias("at"))
+    front = done
+    for _ in range(most + 1):
+        step = front.where("name = 'include.path'").join(known, F.col("value") == F.col("_file")).select("origin", "level", F.col("_name").alias("name"), F.col("_value").alias("value"), F.concat("at", F.array("_pos")).alias("at"))
+        front = written(step, "included")
+        if front.isEmpty():
+            break
+        done = done.unionByName(front)
+    else:
+        raise ValueError("settings files include each other too deeply")
+    return done
+
+
 def effective_config(rows: DataFrame) -> DataFrame:
-    """name, value: the value of the highest level, the last one within it."""
-    return rows.groupBy("name").agg(F.max_by("value", F.struct("level", "pos", "origin")).alias("value"))
+    """name, value: the value of the highest level, the last one within it. rows have `pos`, or `at` behind includes."""
+    place = "at" if "at" in rows.columns else "pos"
+    return rows.groupBy("name").agg(F.max_by("value", F.struct("level", place, "origin")).alias("value"))
 
 
 _HUNK = re.compile(r"@@ -(\d+)(?:,(\d+))? \+(\d+)(?:,(\d+))? @@(.*)\Z")
@@ -171,9 +193,47 @@ def q_patch(s: SparkSession, d: str) -> DataFrame:
     return patch_rows(patch_text(t.select("id", "old", new.alias("new")))).groupBy("origin").agg(F.count("*").alias("n"))
 
 
-QUERIES = {"list_text_source": q_olist_text, "reflog_text_source": q_reflog_text, "config_source": q_config, "patch_source": q_patch}
+def q_config_include(s: SparkSession, d: str) -> DataFrame:
+    """Settings of the nations; each includes the file of its region, and sets a value before and one behind that."""
+    n, r = table(s, d, "nation"), table(s, d, "region")
+    region = r.select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("origin"), F.concat(F.lit("[core]\n\teditor = region\n\tpager = "), F.lower("r_name"), F.lit("\n")).alias("text"))
+    own = n.select(F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("origin"), F.lit(1).alias("level"), F.concat(F.lit("[core]\n\teditor = "), F.lower("n_name"), F.lit("\n[include]\n\tpath = r"), F.col("n_regionkey").cast("string"), F.lit("\n[core]\n\tname = "), "n_name", F.lit("\n")).alias("text"))
+    rows = included(config_rows(own), region)
+    per = rows.groupBy("origin", "name").agg(F.max_by("value", F.struct("level", "at")).alias("value"))
+    return per.where("name <> 'include.path'").select("origin", "name", "value")
+
+
+def fetch_heads(c: Column) -> Column:
+    """struct<oid, merge, kind, name, remote> of a FETCH_HEAD line; null for other lines. kind: branch, tag or empty."""
+    rx = r"^([0-9a-f]{40})\t(not-for-merge)?\t(?:(branch|tag) '([^']*)' of )?(.*)$"
+    x = lambda i: F.regexp_extract(c, rx, i)
+    return F.when(c.rlike(rx), F.struct(x(1).alias("oid"), (x(2) == "").alias("merge"), x(3).alias("kind"), x(4).alias("name"), x(5).alias("remote")))
+
+
+def merge_heads(text: Column) -> Column:
+    """array<string>: the ids that a MERGE_HEAD file lists, a line each; other lines are left out."""
+    return F.filter(F.split(text, "\n"), lambda x: x.rlike(r"\A[0-9a-f]{40}\z"))
+
+
+def q_fetch_head(s: SparkSession, d: str) -> DataFrame:
+    t = table(s, d, "p2tips").where("commit_sha IS NOT NULL")
+    line = F.concat(F.lower("commit_sha"), F.when(F.col("tip_id") % 2 == 0, "\t\t").otherwise("\tnot-for-merge\t"), F.when(F.col("tip_id") % 3 == 0, "branch 'main' of ").when(F.col("tip_id") % 3 == 1, "tag 'v1' of ").otherwise(""), F.lit("https://hub.example/x"))
+    return t.select("tip_id", fetch_heads(line).alias("x"), F.array_join(merge_heads(F.concat(F.lower("commit_sha"), F.lit("\nno id\n"))), ",").alias("merging")).where("x IS NOT NULL").select("tip_id", "x.*", "merging")
+
+
+def q_mail(s: SparkSession, d: str) -> DataFrame:
+    """doc_id, mail: each commit message among the documents as a numbered mail of its project."""
+    t = table(s, d, "documents").where("text IS NOT NULL AND source = 'commit_msg'")
+    return t.select("doc_id", F.md5(mail_text(F.lit("A U Thor"), F.lit("a@hub.example"), F.coalesce("project", F.lit("none")), F.col("text"), F.col("doc_id"), F.lit(9999))).alias("mail"))
+
+
+QUERIES = {"list_text_source": q_olist_text, "reflog_text_source": q_reflog_text, "config_source": q_config, "patch_source": q_patch, "config_include": q_config_include, "fetch_head_source": q_fetch_head, "mail_sink": q_mail}
 SQL = {
     "list_text_source": "SELECT line_no, repo, type, sha, path FROM olist WHERE repo IS NOT NULL AND sha IS NOT NULL AND path IS NOT NULL AND NOT contains(repo || sha, ';')",
     "reflog_text_source": "SELECT tip_id, commit_sha AS new, 'tips@hub.example' AS mail, epoch(taken_at)::BIGINT AS epoch, -90 AS tz_min, 'update by push' AS message FROM p2tips WHERE commit_sha IS NOT NULL AND taken_at IS NOT NULL",
     "config_source": "WITH e AS (SELECT n_nationkey AS k, n_nationkey % 3 AS lv, 'core.name' AS name, n_name AS value, 0 AS pos FROM nation UNION ALL SELECT n_nationkey, n_nationkey % 3, 'core.bare', 'true', 1 FROM nation UNION ALL SELECT n_nationkey, n_nationkey % 3, 'remote.r' || n_regionkey::VARCHAR || '.url', 'https://hub.example/' || lower(n_name), 2 FROM nation), r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY lv DESC, pos DESC, k DESC) AS r FROM e) SELECT name, value FROM r WHERE r = 1",
+    "patch_source": "WITH n AS (SELECT least(3, len(string_split(text, chr(10)))) AS n FROM documents WHERE text IS NOT NULL) SELECT '+' AS origin, count(*) AS n FROM n UNION ALL SELECT ' ', sum(n)::BIGINT FROM n",
+    "config_include": "SELECT lpad(n_nationkey::VARCHAR, 3, '0') AS origin, x.name, x.value FROM nation JOIN region ON r_regionkey = n_regionkey, LATERAL (VALUES ('core.editor', 'region'), ('core.pager', lower(r_name)), ('core.name', n_name)) x(name, value)",
+    "fetch_head_source": "SELECT tip_id, lower(commit_sha) AS oid, tip_id % 2 = 0 AS merge, CASE tip_id % 3 WHEN 0 THEN 'branch' WHEN 1 THEN 'tag' ELSE '' END AS kind, CASE tip_id % 3 WHEN 0 THEN 'main' WHEN 1 THEN 'v1' ELSE '' END AS name, 'https://hub.example/x' AS remote, lower(commit_sha) AS merging FROM p2tips WHERE regexp_full_match(lower(commit_sha), '[0-9a-f]{40}')",
+    "mail_sink": "SELECT doc_id, md5('From: A U Thor <a@hub.example>' || chr(10) || 'Subject: [PATCH ' || doc_id::VARCHAR || '/9999] ' || coalesce(project, 'none') || chr(10) || chr(10) || text || chr(10) || '---' || chr(10)) AS mail FROM documents WHERE text IS NOT NULL AND source = 'commit_msg'",
 }

@@ -1,17 +1,20 @@
 """Operators on small hand-made inputs: golden cases, nulls, ties, empty tables, clashing names."""
 
+import random
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from stratalog.functions import people
+from stratalog.functions import codecs, commits, people, scalars
 from stratalog.functions.scalars import config_int, project_to_url, ref_valid, refspec_target, url_to_project
-from stratalog.operators import diff, graph, merge, rules, textdiff
+from stratalog.operators import diff, graph, merge, objects, rules, store, textdiff
 from stratalog.operators.aggregates import order_statistics
 from stratalog.operators.tree_agg import tree_aggregate
 from stratalog.plans.prefix import running_sum
 from stratalog.sources import texts
+from stratalog.streaming import ingest
 
 DAG = [("a4a7dce", "c47800c"), ("a4a7dce", "9fd738e"), ("9fd738e", "4a202b3"), ("4a202b3", "5b5b025"), ("c47800c", "5b5b025"), ("5b5b025", "8496071")]
 
@@ -57,7 +60,8 @@ def test_components(spark):
     [(None, None, 1, "THEIRS"), (None, 1, None, "OURS"), (None, 1, 2, "CONFLICT"), (1, 2, 2, "BOTH"), (1, None, None, "REMOVED"), (1, None, 2, "CONFLICT"), (1, None, 1, "REMOVED"), (1, 2, None, "CONFLICT"), (1, 1, None, "REMOVED"), (1, 2, 3, "CONFLICT"), (1, 2, 1, "OURS"), (1, 1, 2, "THEIRS")],
 )
 def test_merge_rules(spark, a, o, t, result):
-    x = spark.createDataFrame([("p", a, o, t)], "path string, a long, o long, t long")
+    entry = "struct<oid:long,mode:string>"
+    x = spark.createDataFrame([("p", *[None if v is None else (v, "100644") for v in (a, o, t)])], f"path string, a {entry}, o {entry}, t {entry}")
     assert merge.resolve(x, ["path"]).first().result == result
 
 
@@ -187,3 +191,247 @@ def test_patch_round_trip(spark):
     df = spark.createDataFrame([(1, "a\nb\nc", "a\nx\nc"), (2, None, "n"), (3, "s", "s")], "id long, old string, new string")
     rows = texts.patch_rows(texts.patch_text(df)).collect()
     assert {(r.id, r.origin, r.content) for r in rows if r.origin != " "} == {(1, "-", "b"), (1, "+", "x"), (2, "-", ""), (2, "+", "n")}
+
+
+# ------------------------------------------------------------------------------------------- cases from round 2
+
+
+def _one(spark, expr, value, kind="string"):
+    return spark.createDataFrame([(value,)], f"v {kind}").select(expr(F.col("v")).alias("x")).first()["x"]
+
+
+@pytest.mark.parametrize(
+    ("specs", "path", "want"),
+    [(["docs", "!docs/*.md"], "docs/a.md", True), (["!docs/*.md", "docs"], "docs/a.md", False), (["!x"], "y", False), ([], "y", True), (["a"], "a/b/c", True), (["*.c"], "a/b.c", True), (["*.c"], "b.h", False)],
+)
+def test_first_spec_decides(spark, specs, path, want):
+    assert _one(spark, lambda c: rules.pathspec(c, specs), path) is want
+
+
+def test_literal_specs(spark):
+    assert _one(spark, lambda c: rules.pathspec(c, ["*.c"], noglob=True), "a.c") is False
+    assert _one(spark, lambda c: rules.pathspec(c, ["*.C"], icase=True, noglob=True), "*.c") is True
+
+
+@pytest.mark.parametrize(("url", "name"), [("https://my_host/repo", "my_host_repo"), ("https://Hub.Example/A/B.git/", "a_b"), ("git@lab.example:g/s/r", "lab.example_g_s/r"), ("gx:o/r", "git.x.example_o_r"), ("gx://o/r", "o_r"), ("", ""), (None, None)])
+def test_project_names(spark, url, name):
+    assert _one(spark, lambda c: scalars.url_to_project(c, {"gx": "git.x.example"}), url) == name
+
+
+def test_host_rewrites(spark):
+    assert _one(spark, lambda c: scalars.project_to_url(c, {"a.example": "git.a.example"}), "a.example_o_r") == "https://git.a.example/o/r"
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [("", ""), ("\n\n  \n", ""), ("a", "a\n"), ("  a  \n\n\n# c\n\nb\t\n\n", "  a\n\nb\n"), ("# only", ""), ("a\r\n\r\n\r\nb", "a\n\nb\n")],
+)
+def test_prettify(spark, text, want):
+    assert _one(spark, scalars.prettify, text) == want
+    assert _one(spark, lambda c: scalars.prettify(c, comments=False), "# c\n") == "# c\n"
+
+
+def test_grafts_replace_the_list(spark):
+    p = spark.createDataFrame([(1, 0, 0), (2, 0, 1), (2, 1, 0)], "oid long, pos int, parent long")
+    g = spark.createDataFrame([(2, [7]), (5, [1, 2]), (1, [])], "oid long, parents array<long>")
+    assert {tuple(r) for r in store.grafted(p, g).collect()} == {(2, 0, 7), (5, 0, 1), (5, 1, 2)}
+
+
+def test_modes_in_merges(spark):
+    def side(rows):
+        return spark.createDataFrame(rows, "path string, oid long, mode string")
+
+    a = side([("m", 1, "100644"), ("t", 1, "100644"), ("d", 1, "100644"), ("s", 1, "100644")])
+    o = side([("m", 1, "100755"), ("t", 1, "120000"), ("d", 1, "100755"), ("s", 1, "100644")])
+    t = side([("m", 1, "100644"), ("t", 2, "100644"), ("s", 1, "100644")])
+    three = merge.three_way(a, o, t, ["path"])
+    assert {r.path: (r.result, r.mode, r.conflict) for r in merge.resolve(three, ["path"]).collect()} == {
+        "m": ("OURS", "100755", None), "t": ("CONFLICT", None, "BOTH_MODIFIED"), "d": ("CONFLICT", None, "MODIFIED_DELETED"), "s": ("BOTH", "100644", None)
+    }
+    got = {r.path: r.s for r in three.select("path", merge.side_status(F.col("a"), F.col("o")).alias("s")).collect()}
+    assert got == {"m": "MODIFIED", "t": "TYPECHANGE", "d": "MODIFIED", "s": "UNMODIFIED"}
+
+
+def test_merge_follows_moves(spark):
+    def side(rows):
+        return spark.createDataFrame(rows, "path string, oid long")
+
+    a = side([("x", 1), ("y", 2), ("z", 3), ("w", 3)])
+    o = side([("moved/x", 1), ("y", 2), ("q", 3)])
+    t = side([("x", 9), ("other", 2), ("z", 3), ("w", 3)])
+    got = {r.path: (r.renamed, r.result, r.oid) for r in merge.resolve(merge.follow_renames(a, o, t), ["path", "renamed"]).collect()}
+    assert got["moved/x"] == ("o", "THEIRS", 9) and got["other"] == ("t", "BOTH", 2) and "x" not in got
+    assert got["q"] == (None, "OURS", 3) and got["z"][1] == got["w"][1] == "REMOVED"  # two lost paths of one content: no move
+
+
+def test_folder_against_file(spark):
+    r = spark.createDataFrame([("a", "OURS"), ("a/b/c", "THEIRS"), ("ab/c", "BOTH"), ("d", "REMOVED"), ("d/e", "OURS")], "path string, result string")
+    assert [tuple(x) for x in merge.directory_file(r).collect()] == [("a", 1)]
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("1112911993", (1112911993, 0)), ("@1112911993 +0200", (1112911993, 120)), ("Thu, 7 Apr 2005 22:13:13 +0200", (1112904793, 120)), ("7 April 2005 22:13 -0130", (1112917380, -90)), ("2005-04-07T22:13:13Z", (1112911993, 0)),
+        ("2005-04-07", (1112832000, 0)), ("2005-13-07", None), ("now", (1000000, 0)), ("yesterday", (913600, 0)), ("2 hours ago", (992800, 0)), ("3.weeks.ago", (-814400, 0)), ("soon", None), ("", None), (None, None), ("31 Feb 2005 10:00 +0000", None),
+    ],
+)
+def test_dates(spark, text, want):
+    got = _one(spark, lambda c: commits.parse_date(c, F.lit(1_000_000)), text)
+    assert (tuple(got) if got else None) == want
+
+
+def test_commit_parts(spark):
+    text = "tree t\nparent p\nauthor A <a@b> 12 +0100\ngpgsig one\n two\n\nSubject\nline\n\nBody 1\n\nBody 2\n"
+    assert _one(spark, lambda c: commits.header_field(c, "gpgsig"), text) == "one\ntwo" and _one(spark, lambda c: commits.header_field(c, "encoding"), text) is None
+    assert _one(spark, lambda c: commits.commit_body(commits.commit_message(c)), text) == "Body 1\n\nBody 2"
+    assert tuple(_one(spark, commits.signature_time, "A <a@b> 12 -0530")) == (12, -330) and _one(spark, commits.signature_time, "A <a@b>") is None
+    assert _one(spark, lambda c: commits.commit_body(commits.commit_message(c)), "tree t") == ""
+
+
+@pytest.mark.parametrize(("path", "want"), [("a/./b/../c", "a/c"), ("/../x//y/", "/x/y"), ("../..", ""), ("", "")])
+def test_paths(spark, path, want):
+    assert _one(spark, commits.path_prettify, path) == want
+
+
+def test_negative_refspecs(spark):
+    specs = ["refs/*:refs/all/*", "^refs/heads/secret*"]
+    assert _one(spark, lambda c: commits.refspec_targets(c, specs), "refs/heads/a") == ["refs/all/heads/a"]
+    assert _one(spark, lambda c: commits.refspec_targets(c, specs), "refs/heads/secret1") == []
+
+
+def test_url_parts(spark):
+    assert tuple(_one(spark, commits.url_parts, "https://u@Hub.example:8443/a/b?c")) == ("https", "u", "hub.example", "8443", "/a/b?c")
+    assert tuple(_one(spark, commits.url_parts, "git@hub.example:a/b")) == ("ssh", "git", "hub.example", "22", "a/b")
+    assert _one(spark, commits.url_parts, "just words") is None
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.binary(max_size=200), st.lists(st.tuples(st.integers(0, 200), st.binary(max_size=40)), max_size=4), st.integers(0, 1 << 40))
+def test_codecs_round_trip(base, edits, n):
+    target = base
+    for at, new in edits:
+        target = target[:at] + new + target[at + 7 :]
+    for block in (1, 4, 16):
+        assert codecs.delta_apply(base, codecs.delta_make(base, target, block)) == target
+    assert codecs.delta_apply(base + b"x", codecs.delta_make(base, target)) is None
+    assert codecs.varint_decode(codecs.varint_encode(n)) == (n, len(codecs.varint_encode(n))) and codecs.size_decode(codecs.size_encode(n), 0)[0] == n
+    assert codecs.base85_parse(codecs.base85_lines(target)) == target
+
+
+def test_loose_objects(spark):
+    df = spark.createDataFrame([(1, bytearray(b"blob 3\0abc")), (2, bytearray(b"blob 4\0abc")), (3, bytearray(b"junk")), (4, None)], "id long, raw binary")
+    got = {r.id: r.x for r in codecs.inflated(codecs.deflated(df, "raw"), "raw").select("id", codecs.loose_read(F.col("raw")).alias("x")).collect()}
+    assert got[1].valid and bytes(got[1].body) == b"abc" and got[1].oid == "f2ba8f84ab5c1bce84a7b441cb1959cfc7093b7f"
+    assert not got[2].valid and not got[3].valid and got[4] is None
+    assert {r.raw for r in codecs.inflated(df, "raw").collect()} == {None}
+
+
+def test_peel(spark):
+    tags = spark.createDataFrame([(1, "commit", 50), *[(i, "tag", i - 1) for i in range(2, 40)], (90, "tag", 91)], "tag long, kind string, target long")
+    got = {r.tag: (r.kind, r.oid, r.hops) for r in objects.peel(tags).collect()}
+    assert got[39] == ("commit", 50, 39) and got[1] == ("commit", 50, 1) and got[90] == ("tag", 91, 1)
+
+
+def test_range_join(spark):
+    rng = random.Random(4)
+    pts = [(i, rng.choice("ab"), rng.choice([None, rng.randint(-50, 3000)])) for i in range(300)]
+    rgs = [(i, rng.choice("ab"), lo, lo + rng.choice([0, 1, 2, 7, 64, 1000, 4096])) for i, lo in enumerate(rng.randint(-20, 2500) for _ in range(80))]
+    got = objects.range_join(spark.createDataFrame(pts, "p long, g string, at long"), spark.createDataFrame(rgs, "r long, g string, lo long, hi long"), "g", "at", "lo", "hi")
+    want = sorted((p, r) for p, g, at in pts for r, h, lo, hi in rgs if g == h and at is not None and lo <= at < hi)
+    assert sorted((x.p, x.r) for x in got.collect()) == want and len(want) > 100
+    none = spark.createDataFrame([], "r long, g string, lo long, hi long")
+    assert objects.range_join(spark.createDataFrame(pts, "p long, g string, at long"), none, "g", "at", "lo", "hi").count() == 0
+
+
+def test_prefixes(spark):
+    oids = spark.createDataFrame([("abcd1" + "0" * 35,), ("abcd2" + "0" * 35,), ("ffff0" + "0" * 35,)], "sha string")
+    p = spark.createDataFrame([("abcd",), ("ABCD1",), ("fff",), ("ffff",), ("eeee",), (None,)], "prefix string")
+    got = {r.prefix: (r.state, r.oid and r.oid[:5]) for r in objects.resolve_prefixes(p, oids).collect()}
+    assert got == {"abcd": ("AMBIGUOUS", None), "abcd1": ("FOUND", "abcd1"), "fff": ("AMBIGUOUS", None), "ffff": ("FOUND", "ffff0"), "eeee": ("MISSING", None)}
+
+
+def test_generations_of_diamonds(spark):
+    edges = [(i, i - 1) for i in range(1, 30)] + [(i, i - 7) for i in range(7, 30, 3)] + [(100, 29), (100, 3)]
+    want = {}
+    for n in [*range(30), 100, 200]:
+        want[n] = 1 + max([want[p] for c, p in edges if c == n], default=0)
+    for k in (0, 2):
+        got = graph.generations(spark.createDataFrame([(n,) for n in want], "oid long"), spark.createDataFrame(edges, "oid long, parent long"), k)
+        assert {r.oid: r.generation for r in got.collect()} == want
+
+
+def test_octopus_base(spark):
+    edges = spark.createDataFrame([(2, 1), (3, 2), (4, 2), (5, 2), (5, 3)], "oid long, parent long")
+    groups = spark.createDataFrame([("g", 3), ("g", 4), ("g", 5), ("h", 3), ("h", 5)], "grp string, root long")
+    reach = graph.closure(edges, spark.createDataFrame([(i, i) for i in (3, 4, 5)], "root long, oid long"))
+    assert {tuple(r) for r in graph.octopus_bases(groups, reach, edges).collect()} == {("g", 2), ("h", 3)}
+
+
+def test_patch_ids(spark):
+    a = "diff --git a/x b/x\nindex 1..2 100644\n--- a/x\n+++ b/x\n@@ -1,2 +1,3 @@\n a\n+b c\n d"
+    b = a.replace("@@ -1,2 +1,3 @@", "@@ -11,2 +21,3 @@").replace("index 1..2", "index 5..6").replace("b c", "b  c")
+    assert _one(spark, diff.patch_id, a) == _one(spark, diff.patch_id, b) != _one(spark, diff.patch_id, a.replace("+b c", "+b d"))
+
+
+@pytest.mark.parametrize(("body", "want"), [(b"", False), (b"text\n", False), (b"a\0b", True), (b"\xff\xfea", True), (b"\x07", True), (b"\x08\x1b\x0c", False), (b"x" * 256 + b"\x01", False), (b"x" * 127 + b"\x01", True), (b"x" * 8000 + b"\0", False), (b"\xc3\xa9" * 4000 + b"\0", False)])
+def test_binary_content(spark, body, want):
+    assert _one(spark, textdiff.binary_content, bytearray(body), "binary") is want
+
+
+def test_attribute_macros():
+    lines = ["[attr]mine lang=c binary", "*.x mine", "a.x !text", "*.y -text", "# no"]
+    assert rules.attribute_rules(lines, "text") == [("*.x", "false"), ("a.x", None), ("*.y", "false")]
+    assert rules.attribute_rules(lines, "lang") == [("*.x", "c")]
+
+
+def test_ignore_files(spark):
+    got = rules.ignore_lines("a \nb\\ \n#c\n\\#d\n!e\n\n", "sub")
+    assert got == ["/sub/**/a", "/sub/**/b\\ ", "/sub/**/\\#d", "!/sub/**/e"]
+    assert _one(spark, lambda c: rules.ignored(c, ["\\!odd"]), "!odd") is True
+
+
+def test_included_settings(spark):
+    files = spark.createDataFrame([("b", "[core]\n\tx = 2\n[include]\n\tpath = c\n"), ("c", "[core]\n\ty = 3\n"), ("loop", "[include]\n\tpath = loop\n")], "origin string, text string")
+    own = spark.createDataFrame([("a", 1, "[core]\n\tx = 1\n[include]\n\tpath = b\n[core]\n\ty = 9\n")], "origin string, level int, text string")
+    got = texts.effective_config(texts.included(texts.config_rows(own), files))
+    assert {r.name: r.value for r in got.where("name LIKE 'core%'").collect()} == {"core.x": "2", "core.y": "9"}
+    bad = spark.createDataFrame([("a", 1, "[include]\n\tpath = loop\n")], "origin string, level int, text string")
+    with pytest.raises(ValueError):
+        texts.included(texts.config_rows(bad), files)
+
+
+def test_generation_goes_on(spark, tmp_path):
+    import os
+
+    rows = lambda ids: spark.createDataFrame([(f"{i:040x}", i, "blob", 5) for i in ids], "sha string, idx_id long, type string, storedlen long")
+    root = str(tmp_path / "gen")
+    g = ingest.Generation(spark, rows(range(5)).select("sha"), root, 8)
+    g.append(rows(range(20)), 0)
+    again = ingest.Generation(spark, rows(range(5)).select("sha"), root)  # after a restart
+    again.append(rows([6, 30]), 1)
+    again.append(rows([6, 30]), 1)
+    assert again.read().count() == 16 and again.rotate().count() == 16
+    again.append(rows([7, 31]), 2)
+    assert [r.idx_id for r in again.read().collect()] == [31]
+    assert len([f for f in os.listdir(f"{root}/cycle=0/batch=1") if f.startswith("bucket=")]) == 1
+
+
+def test_tips_in_any_order(spark):
+    state = ingest.TipState(spark)
+    batch = lambda *r: spark.createDataFrame(r, "project long, oid long, parents array<long>")
+    state.append(batch((1, 3, [2])), 0)
+    state.append(batch((1, 1, []), (1, 2, [1])), 1)
+    assert [r.oid for r in state.read().collect()] == [3]
+    state.append(batch((1, 4, [3]), (2, 9, [])), 2)
+    assert sorted(r.oid for r in state.read().collect()) == [4, 9]
+
+
+def test_keyed_join(spark):
+    from stratalog.plans.skew import keyed_join
+
+    rows = spark.createDataFrame([("hot", i) for i in range(500)] + [(f"k{i % 7}", 1000 + i) for i in range(50)] + [(None, 1), ("none", 2)], "key string, id long")
+    t = spark.createDataFrame([("hot", 1, 500), *[(f"k{i}", 10 + i, 7) for i in range(7)]], "key string, v long, n long")
+    got = {r.id: r.v for r in keyed_join(rows, t, "key", "n", 0.1).collect()}
+    assert len(got) == 550 and got[3] == 1 and got[1006] == 16
+    assert keyed_join(rows, t, "key", "n", 0.1, "left").count() == 552
