@@ -215,6 +215,26 @@ def byte_table(enc: str) -> dict[str, str]:
     return t
 
 
+_CP1252 = byte_table("cp1252")
+
+
+class _Bytes(dict):
+    """Translation of characters to bytes (as Latin-1 characters); what an encoding lacks becomes U+FFFD."""
+
+    def __missing__(self, code: int) -> int:
+        return 0xFFFD
+
+
+@lru_cache(maxsize=None)
+def _translation(enc: str) -> _Bytes:
+    return _Bytes({i: i for i in range(0x80)} | {ord(ch): ord(b) for ch, b in byte_table(enc).items()})
+
+
+def as_bytes(text: str, enc: str) -> str:
+    """The bytes of `text` in a single-byte encoding, as Latin-1 characters."""
+    return text.translate(_translation(enc))
+
+
 def _letters_misread(run: str, a: int, b: int, ch: str, scores: PairScores) -> bool:
     """Are the letters run[a:b] the bytes of `ch`? Letters may well be what was meant, so the context must speak for it."""
     near = run[max(0, a - 2) : a], run[b : b + 2]
@@ -223,10 +243,15 @@ def _letters_misread(run: str, a: int, b: int, ch: str, scores: PairScores) -> b
     return gain > 2.0 or (odd_case and gain > -4.0 and script(fold(run[a])) == script(fold(ch)))
 
 
+_NEAR_ASCII = re.compile(r"[^\x00-\x7f]{2}")
+
+
 def wide_readings(run: str, enc: str) -> list[tuple[int, int, str]]:
     """(start, end, text) of the longest stretches of characters whose bytes in a multi-byte encoding are UTF-8 of `text`."""
     out, starts, raw = [], {}, []
     at = 0
+    if not _NEAR_ASCII.search(run):
+        return out
     for i, ch in enumerate(run + " "):  # a character that is ASCII or that the encoding lacks ends a stretch
         code = b"" if ch.isascii() else ch.encode(enc, "ignore")
         if code:
@@ -236,8 +261,8 @@ def wide_readings(run: str, enc: str) -> list[tuple[int, int, str]]:
             continue
         starts[at] = i
         joined = "".join(raw)
-        ends = [m.end() for m in _UTF8.finditer(joined)]
-        begins = [m.start() for m in _UTF8.finditer(joined)]
+        found = [m.span() for m in _UTF8.finditer(joined)] if len(raw) > 1 else []
+        begins, ends = [x for x, _ in found], [y for _, y in found]
         first = None
         for k, (x, y) in enumerate(zip(begins, ends)):  # sequences that follow each other, from and to a character's border
             if k and x != ends[k - 1]:
@@ -258,17 +283,15 @@ def undo_utf8(run: str, scores: PairScores) -> str | None:
     """The run with well-formed UTF-8 that was read in another encoding put right, or null where there is none."""
     best = None
     for enc in MISREAD_AS:  # the whole run, without anything left over
-        t = byte_table(enc)
-        raw = "".join(ch if ch.isascii() else t.get(ch, "�") for ch in run)
+        raw = as_bytes(run, enc)
         try:
             new = raw.encode("latin_1").decode("utf-8")
         except (UnicodeEncodeError, UnicodeDecodeError):
             continue
-        if new != run and all(ch.isascii() or scores.known(ch) or ch in byte_table("cp1252") for ch in new) and not run.isalpha():
+        if new != run and all(ch.isascii() or scores.known(ch) or ch in _CP1252 for ch in new) and not run.isalpha():
             return new
     for enc in MISREAD_AS:
-        t = byte_table(enc)
-        raw = "".join(ch if ch.isascii() else t.get(ch, "�") for ch in run)
+        raw = as_bytes(run, enc)
         done, last, out = 0, 0, []
         for m in _UTF8.finditer(raw):
             try:
@@ -276,7 +299,7 @@ def undo_utf8(run: str, scores: PairScores) -> str | None:
             except UnicodeDecodeError:
                 continue
             # A control character or sign in the result may be a step of repeated damage: what cp1252 reads a byte as.
-            if not scores.known(ch) and not ("\x80" <= ch <= "\xff" or ch in byte_table("cp1252")):
+            if not scores.known(ch) and not ("\x80" <= ch <= "\xff" or ch in _CP1252):
                 continue
             was = run[m.start() : m.end()]
             if was.isalpha() and not _letters_misread(run, m.start(), m.end(), ch, scores):
@@ -308,19 +331,20 @@ def undo_mixup(text: str, a: int, b: int, scores: PairScores, margin: float) ->
             continue
         near = slice(max(0, lo - 1), hi + 1)
         information = scores.total(text[near], lo < 1, hi + 1 > len(text))
-        word = None
+        word, raws, letters = None, {}, sum(map(str.isalpha, run))
         for read, wrote in MIXED_UP:
-            t = byte_table(read)
-            raw = "".join(ch if ch.isascii() else t.get(ch, "�") for ch in run)
+            if read not in raws:
+                raws[read] = as_bytes(run, read)
+            raw = raws[read]
             if "�" in raw:
                 continue
             try:
                 new = raw.encode("latin_1").decode(wrote)
             except UnicodeDecodeError:
                 continue
-            if sum(map(str.isalpha, new)) < sum(map(str.isalpha, run)):
+            if new == run or sum(map(str.isalpha, new)) < letters:
                 continue  # letters are not what a mix-up of encodings makes of signs
-            if new == run or not all(scores.known(ch) for ch in new if not ch.isascii()):
+            if not all(scores.known(ch) for ch in new if not ch.isascii()):
                 continue
             gain = scores.total(text[near.start : lo] + new + text[hi : near.stop], lo < 1, hi + 1 > len(text)) - information
             if word is None:  # the words that the piece lies in, and what their case costs; it can cost no less than 0

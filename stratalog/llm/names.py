@@ -90,15 +90,20 @@ def is_personal(local: str, domain: str) -> bool:
     return not (local in NO_LOCAL and (domain.count(".") < 2 or local in ("none", "noreply", "root")) or domain in ("none", "localhost") or "localhost" in domain or local in ROLES)
 
 
+@lru_cache(maxsize=100_000)
 def words_of(name: str) -> list[str]:
     """The words of a name part, split at blanks, separators and inner capitals; case is kept."""
     name = re.sub(r"(?<=[a-zа-яß-ÿ])(?=[A-ZА-ЯÀ-Þ][a-zа-яß-ÿ])", " ", name)
     return [w for w in re.split(r"[\s._,;:/+\"'`’‘“”()\[\]{}<>&|]+", name) if w]
 
 
+_ORG_FIRM = sorted(ORG_WORDS - ORG_LOOSE)
+
+
+@lru_cache(maxsize=200_000)
 def org_word(w: str) -> str:
     """The organisation word that `w` abbreviates, or w."""
-    return next((x for x in sorted(ORG_WORDS - ORG_LOOSE) if len(w) > 3 and x.startswith(w)), w)
+    return next((x for x in _ORG_FIRM if x.startswith(w)), w) if len(w) > 3 else w
 
 
 def org_key(words: list[str]) -> str:
@@ -151,7 +156,7 @@ def parse(whole: str | None, name: str | None, mail: str | None, given: frozense
         kind, g, s = person(text, given)
     local, domain = adr or ("", "")
     sld = next((p for p in reversed(domain.split(".")[:-1]) if p not in ("dev", "edu", "co", "com")), "")
-    org_mail = local in ROLES and any(sld.endswith(w) for w in ORG_WORDS - ORG_LOOSE) and "-" not in sld
+    org_mail = local in ROLES and sld.endswith(tuple(_ORG_FIRM)) and "-" not in sld
     # What stands behind a person's name - an employer in brackets, behind a comma or an @ - is no part of the name.
     core = re.split(r"\s@\s", re.sub(r"\([^)]*\)|\[[^\]]*\]", " ", text))[0]
     if len(words_of(core.partition(",")[0])) > 1:
@@ -161,7 +166,7 @@ def parse(whole: str | None, name: str | None, mail: str | None, given: frozense
     joined = org_key(words)
     if kind == "o" or org_mail and (not kind or near(joined, sld) or not s or sld[:4] == joined[:4]):
         return "o", "", sld if org_mail else joined, "", "", ""
-    if words and any(joined.endswith(w) for w in ORG_WORDS - ORG_LOOSE) and (any(w in ORG_WORDS for w in words)):
+    if words and joined.endswith(tuple(_ORG_FIRM)) and (any(w in ORG_WORDS for w in words)):
         return "o", "", joined, "", "", ""
     mg, ms, mine = "", "", ""
     if adr and is_personal(local, domain):
