@@ -39,11 +39,17 @@ def closure(edges: DataFrame, seeds: DataFrame, hidden: DataFrame | None = None,
 
 
 def ahead_behind(pairs: DataFrame, reach: DataFrame) -> DataFrame:
-    """a, b, ahead, behind: sizes of the one-sided differences of two commits' histories. reach: closure of all a and b."""
-    wide = pairs.join(reach.select(F.col("root").alias("a"), "oid"), "a").select("a", "b", "oid", F.lit(1).alias("s"))
-    other = pairs.join(reach.select(F.col("root").alias("b"), "oid"), "b").select("a", "b", "oid", F.lit(2).alias("s"))
-    side = wide.unionByName(other).groupBy("a", "b", "oid").agg(F.sum("s").alias("s"))
-    return side.groupBy("a", "b").agg(F.sum((F.col("s") == 1).cast("long")).alias("ahead"), F.sum((F.col("s") == 2).cast("long")).alias("behind"))
+    """a, b, ahead, behind: sizes of the one-sided differences of two commits' histories. reach: closure of all a and b.
+
+    Only what the two have in common is joined; the differences follow from that and from the sizes of the histories, so
+    a long history that many pairs share is never multiplied by them.
+    """
+    size = reach.groupBy("root").agg(F.count("*").alias("n"))
+    mine = pairs.join(reach.select(F.col("root").alias("a"), "oid"), "a")
+    both = mine.join(reach.join(pairs.select(F.col("b").alias("root")).distinct(), "root", "left_semi").select(F.col("root").alias("b"), "oid"), ["b", "oid"]).groupBy("a", "b").agg(F.count("*").alias("c"))
+    sized = pairs.join(size.select(F.col("root").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("root").alias("b"), F.col("n").alias("nb")), "b").join(both, ["a", "b"], "left")
+    common = F.coalesce("c", F.lit(0))
+    return sized.select("a", "b", (F.col("na") - common).alias("ahead"), (F.col("nb") - common).alias("behind"))
 
 
 def merge_bases(pairs: DataFrame, reach: DataFrame, edges: DataFrame) -> DataFrame:
