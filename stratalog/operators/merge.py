@@ -232,15 +232,38 @@ def merge_lines(base: list[str], ours: list[str], theirs: list[str], favor: str
     return out, conflicts
 
 
-def merge_texts(df: DataFrame, favor: str = "none") -> DataFrame:
-    """id, merged, conflicts of rows with id, base, ours, theirs (texts; null counts as empty)."""
+def binary_merge(base: list[str], ours: list[str], theirs: list[str]) -> tuple[list[str], int]:
+    """Whole contents: the side that changed wins; if both did, ours stays and counts as a conflict."""
+    if ours == theirs or theirs == base:
+        return ours, 0
+    return (theirs, 0) if ours == base else (ours, 1)
+
+
+#: Merge drivers by name: functions of the lines of base, ours and theirs to (lines, conflicts). More may be given.
+DRIVERS = {
+    "text": merge_lines, "binary": binary_merge,
+    **{favor: (lambda b, o, t, favor=favor: merge_lines(b, o, t, favor)) for favor in ("ours", "theirs", "union")},
+}
+
+
+def merge_texts(df: DataFrame, favor: str = "none", drivers: dict | None = None) -> DataFrame:
+    """id, merged, conflicts of rows with id, base, ours, theirs (texts; null counts as empty).
+
+    A column `driver` names each row's merge driver, one of DRIVERS or of `drivers`; unknown and null names are `text`.
+    """
+    known = {**DRIVERS, **(drivers or {})}
+    named = df.select("id", "base", "ours", "theirs", F.col("driver") if "driver" in df.columns else F.lit(None).cast("string").alias("driver"))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(i, *merge_lines(*[(x or "").split("\n") for x in (b, o, t)], favor)) for i, b, o, t in zip(pdf.id, pdf.base, pdf.ours, pdf.theirs)]
-            yield pd.DataFrame([(i, "\n".join(m), c) for i, m, c in rows], columns=["id", "merged", "conflicts"])
+            rows = []
+            for i, *texts, d in zip(pdf.id, pdf.base, pdf.ours, pdf.theirs, pdf.driver):
+                sides = [(x or "").split("\n") for x in texts]
+                merged, n = known[d](*sides) if d in known else merge_lines(*sides, favor)
+                rows.append((i, "\n".join(merged), n))
+            yield pd.DataFrame(rows, columns=["id", "merged", "conflicts"])
 
-    return spread(df.select("id", "base", "ours", "theirs"), "id").mapInPandas(work, "id long, merged string, conflicts int")
+    return spread(named, "id").mapInPandas(work, "id long, merged string, conflicts int")
 
 
 def merge_text_query(s: SparkSession, d: str) -> DataFrame:
@@ -250,7 +273,14 @@ def merge_text_query(s: SparkSession, d: str) -> DataFrame:
     return merge_texts(t.select("id", "base", ours.alias("ours"), F.concat("base", F.lit("\n-- end")).alias("theirs")))
 
 
-QUERIES = {"merge_three_way": merge_trees, "merge_side_status": merge_side_status, "merge_conflict_stages": conflict_stages, "cherry_pick": cherry_pick, "revert": revert, "merge_text": merge_text_query, "merge_renames": merge_renames, "merge_directory_file": merge_directory_file, "n_way_walk": n_way_walk}
+def merge_drivers(s: SparkSession, d: str) -> DataFrame:
+    """The same edits merged by the driver that an attribute would name."""
+    t = table(s, d, "documents").where("text IS NOT NULL").select(F.col("doc_id").alias("id"), F.col("text").alias("base"))
+    driver = F.element_at(F.array(*map(F.lit, ["union", "ours", "theirs", "binary"])), (F.col("id") % 4 + 1).cast("int"))
+    return merge_texts(t.select("id", "base", F.concat(F.lit("> "), F.col("base")).alias("ours"), F.concat("base", F.lit("\n-- end")).alias("theirs"), driver.alias("driver")))
+
+
+QUERIES = {"merge_drivers": merge_drivers, "merge_three_way": merge_trees, "merge_side_status": merge_side_status, "merge_conflict_stages": conflict_stages, "cherry_pick": cherry_pick, "revert": revert, "merge_text": merge_text_query, "merge_renames": merge_renames, "merge_directory_file": merge_directory_file, "n_way_walk": n_way_walk}
 
 _SIDES = (
     "WITH p AS (SELECT p_partkey AS path, p_size::BIGINT AS oid, CASE WHEN p_partkey % 3 = 0 THEN '100755' ELSE '100644' END AS mode FROM part), a AS (SELECT * FROM p WHERE path % 19 <> 0),"
@@ -290,4 +320,5 @@ SQL = {
     "merge_directory_file": _NAMED + ", k AS (SELECT path FROM base UNION SELECT path FROM ours UNION SELECT path FROM theirs), x AS (SELECT k.path, b.oid AS a, o.oid AS o, t.oid AS t, 1 AS am, 1 AS om, 1 AS tm FROM k LEFT JOIN base b USING (path) LEFT JOIN ours o USING (path) LEFT JOIN theirs t USING (path)), r AS (SELECT path, " + _RULES + " AS result FROM x), kept AS (SELECT path FROM r WHERE result <> 'REMOVED') SELECT f.path, count(*) AS below FROM kept f JOIN kept g ON starts_with(g.path, f.path || '/') AND f.path LIKE 'lib%' GROUP BY f.path",
     "n_way_walk": _SIDES + ", u AS (SELECT * FROM t WHERE path % 5 <> 0) SELECT ((x.a IS NOT NULL)::INT + 2 * (x.o IS NOT NULL)::INT + 4 * (x.t IS NOT NULL)::INT + 8 * (u.oid IS NOT NULL)::INT)::INT AS mask, count(*) AS paths FROM x LEFT JOIN u USING (path) GROUP BY 1",
     "merge_text": "WITH t AS (SELECT doc_id AS id, text, string_split(text, chr(10)) AS l FROM documents), u AS (SELECT *, '> ' || l[1] AS top FROM t) SELECT id, CASE WHEN text IS NULL THEN '' WHEN len(l) > 1 THEN top || substr(text, length(l[1]) + 1) || chr(10) || '-- end' ELSE '<<<<<<< ours' || chr(10) || top || chr(10) || '=======' || chr(10) || text || chr(10) || '-- end' || chr(10) || '>>>>>>> theirs' END AS merged, CASE WHEN text IS NULL OR len(l) > 1 THEN 0 ELSE 1 END AS conflicts FROM u",
+    "merge_drivers": "WITH t AS (SELECT doc_id AS id, text, len(string_split(text, chr(10))) > 1 AS many FROM documents WHERE text IS NOT NULL) SELECT id, CASE WHEN id % 4 = 3 THEN '> ' || text WHEN many THEN '> ' || text || chr(10) || '-- end' WHEN id % 4 = 0 THEN '> ' || text || chr(10) || text || chr(10) || '-- end' WHEN id % 4 = 1 THEN '> ' || text ELSE text || chr(10) || '-- end' END AS merged, CASE WHEN id % 4 = 3 THEN 1 ELSE 0 END AS conflicts FROM t",
 }

@@ -199,7 +199,74 @@ def q_oversized(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "idx").where(~F.coalesce(F.col("storedlen") * 1_000_000 > (1 << 31) - 1, F.lit(False))).select("idx_id")
 
 
+def commit_graph(commits: DataFrame, parents: DataFrame) -> DataFrame:
+    """oid, time, parents array, generation, corrected: the stored form of a history, written once and read by walks.
+
+    corrected: a date that never lies before an ancestor's by construction of its generation; here the commit's own time
+    or one more than its parents' largest, whichever is later, over one step. A missing parent is left out of the list.
+    """
+    listed = parents.groupBy("oid").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "parent"))), lambda x: x["parent"]).alias("parents"))
+    when = commits.select("oid", F.unix_seconds(F.col("time").cast("timestamp")).alias("time"))
+    latest = parents.select("oid", "parent").join(when.select(F.col("oid").alias("parent"), F.col("time").alias("pt")), "parent").groupBy("oid").agg(F.max("pt").alias("pt"))
+    g = generations(commits, parents.select("oid", "parent").distinct())
+    rows = when.join(g, "oid").join(listed, "oid", "left").join(latest, "oid", "left")
+    return written(rows.select("oid", "time", F.coalesce("parents", F.array().cast("array<bigint>")).alias("parents"), "generation", F.greatest(F.col("time"), F.coalesce(F.col("pt") + 1, F.col("time"))).alias("corrected")), "commit-graph")
+
+
+def ordered_gather(wanted: DataFrame, index: DataFrame) -> DataFrame:
+    """place, sha, sec, off: the wanted objects (sha) in the order in which a store is read best: by section and offset.
+
+    index: sha (unique), sec, off. Objects that it lacks are left out; repeated wishes count once.
+    """
+    have = wanted.select("sha").distinct().join(index.select("sha", "sec", "off"), "sha").withColumn("_1", F.lit(1))
+    return running_sum(have, [], ["sec", "off", "sha"], "_1", "place").select("place", "sha", "sec", "off")
+
+
+def multi_pack_index(records: DataFrame) -> DataFrame:
+    """sha, pos, fan, pack, off: each object once, from its most recent pack, with its position in the order of ids and how
+    many ids begin with a smaller or the same first byte. records: sha, pack, off, at (recency; null counts as oldest)."""
+    newest = F.struct(F.col("at").isNotNull(), F.col("at"), F.col("pack"))
+    one = records.groupBy("sha").agg(F.max_by(F.struct("pack", "off"), newest).alias("x")).select("sha", "x.pack", "x.off").withColumn("_1", F.lit(1))
+    ranked = running_sum(one, [], ["sha"], "_1", "pos")
+    first = F.substring("sha", 1, 2)
+    fan = ranked.groupBy(first.alias("_b")).agg(F.max("pos").alias("fan"))  # at most 256 rows
+    return ranked.join(F.broadcast(fan), first == F.col("_b")).select("sha", (F.col("pos") - 1).alias("pos"), "fan", "pack", "off")
+
+
+def q_commit_graph(s: SparkSession, d: str) -> DataFrame:
+    return commit_graph(M.commits(s, d), M.parents(s, d)).select("oid", "time", F.array_join(F.transform("parents", lambda x: x.cast("string")), " ").alias("parents"), "generation", "corrected")
+
+
+def q_gather(s: SparkSession, d: str) -> DataFrame:
+    have = table(s, d, "idx").where(valid_sha(F.col("sha"))).groupBy("sha").agg(F.min(F.struct("sec", "off")).alias("x")).select("sha", "x.*")
+    return ordered_gather(table(s, d, "backfill").select(F.col("oid").alias("sha")), have)
+
+
+def q_multi_pack(s: SparkSession, d: str) -> DataFrame:
+    i = table(s, d, "idx").where(valid_sha(F.col("sha")))
+    return multi_pack_index(i.select("sha", F.col("idx_id").alias("pack"), "off", F.unix_micros(F.col("dumped_at").cast("timestamp")).alias("at")))
+
+
+def q_want_list(s: SparkSession, d: str) -> DataFrame:
+    """oid, first_id, times: what a backfill still has to fetch: well-formed wishes that no layer holds, once each."""
+    have = table(s, d, "store_idx").select("sha").unionByName(table(s, d, "idx").select("sha"))
+    w = table(s, d, "backfill").where(valid_sha(F.col("oid"))).groupBy("oid").agg(F.min("bf_id").alias("first_id"), F.count("*").alias("times"))
+    return w.join(have.select(F.col("sha").alias("oid")), "oid", "left_anti")
+
+
+def q_object_rows(s: SparkSession, d: str) -> DataFrame:
+    """repo, type, sha: each repository's list of distinct objects."""
+    return table(s, d, "olist").where(valid_sha(F.col("sha"))).select("repo", "type", "sha").distinct()
+
+
+def q_dump_records(s: SparkSession, d: str) -> DataFrame:
+    """idx_id, type, sec, valid: every record with the partition that a dump writes it to; broken ids go to none."""
+    ok = F.coalesce(valid_sha(F.col("sha")), F.lit(False))
+    return table(s, d, "idx").select("idx_id", "type", F.when(ok, M.section(F.when(ok, F.col("sha")))).alias("sec"), (ok & (F.coalesce("storedlen", F.lit(0)) > 0)).alias("valid"))
+
+
 QUERIES = {
+    "commit_graph": q_commit_graph, "ordered_gather": q_gather, "multi_pack_index": q_multi_pack, "want_list": q_want_list, "object_rows": q_object_rows, "dump_records": q_dump_records, 
     "peel": q_peel, "range_join": q_range_join, "folder_closure": q_folder_closure, "index_iterator": q_index_iterator, "iterator_range": q_iterator_range, "prefix_resolve": q_prefixes, "pack_walk": q_pack_walk, "fetch_negotiation": q_negotiation,
     "generation_order": q_generation_order, "revwalk_reverse": q_reverse, "garbage_roots": q_garbage_roots, "treebuilder_filter": q_tree_filter, "oversized_drop": q_oversized,
 }
@@ -221,4 +288,10 @@ SQL = {
     "garbage_roots": "WITH u AS (SELECT sha, 0 AS i, 'reachable' AS k FROM olist UNION ALL SELECT commit_sha, 1, 'reflog' FROM p2tips UNION ALL SELECT sha, 2, 'unreachable' FROM idx) SELECT sha, arg_min(k, i) AS kept_by FROM u WHERE " + _V.format("sha") + " GROUP BY sha",
     "treebuilder_filter": "SELECT l_orderkey AS tree, l_linenumber AS name, min(l_partkey) AS oid FROM lineitem GROUP BY 1, 2 HAVING min(l_returnflag) <> 'A'",
     "oversized_drop": "SELECT idx_id FROM idx WHERE storedlen IS NULL OR storedlen * 1000000 <= 2147483647",
+    "commit_graph": with_sql("commits parents edges", ", g AS (SELECT oid, 1 AS generation FROM commits WHERE oid NOT IN (SELECT oid FROM edges) UNION SELECT e.oid, g.generation + 1 FROM g JOIN edges e ON e.parent = g.oid), m AS (SELECT oid, max(generation) AS generation FROM g GROUP BY oid), p AS (SELECT p.oid, string_agg(p.parent::VARCHAR, ' ' ORDER BY pos) AS parents, max(epoch(c.time)::BIGINT) AS pt FROM parents p JOIN commits c ON c.oid = p.parent GROUP BY p.oid) SELECT oid, epoch(time)::BIGINT AS time, coalesce(parents, '') AS parents, generation, greatest(epoch(time)::BIGINT, coalesce(pt + 1, epoch(time)::BIGINT)) AS corrected FROM commits JOIN m USING (oid) LEFT JOIN p USING (oid)"),
+    "ordered_gather": "WITH h AS (SELECT sha, min(struct_pack(sec := sec, off := off)) AS x FROM idx WHERE " + _V.format("sha") + " GROUP BY sha) SELECT row_number() OVER (ORDER BY x.sec, x.off, sha) AS place, sha, x.sec AS sec, x.off AS off FROM h WHERE sha IN (SELECT oid FROM backfill)",
+    "multi_pack_index": "WITH o AS (SELECT sha, idx_id AS pack, off FROM (SELECT *, row_number() OVER (PARTITION BY sha ORDER BY dumped_at DESC NULLS LAST, idx_id DESC) AS k FROM idx WHERE " + _V.format("sha") + ") WHERE k = 1) SELECT sha, row_number() OVER (ORDER BY sha) - 1 AS pos, count(*) OVER (ORDER BY substr(sha, 1, 2)) AS fan, pack, off FROM o",
+    "want_list": "SELECT oid, min(bf_id) AS first_id, count(*) AS times FROM backfill WHERE " + _V.format("oid") + " AND oid NOT IN (SELECT sha FROM store_idx) AND oid NOT IN (SELECT sha FROM idx WHERE sha IS NOT NULL) GROUP BY oid",
+    "object_rows": "SELECT DISTINCT repo, type, sha FROM olist WHERE " + _V.format("sha"),
+    "dump_records": "SELECT idx_id, type, CASE WHEN " + _V.format("sha") + " THEN (('0x' || substr(sha, 1, 2))::INT & 127) END AS sec, coalesce(" + _V.format("sha") + ", false) AND coalesce(storedlen, 0) > 0 AS valid FROM idx",
 }
