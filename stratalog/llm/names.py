@@ -576,8 +576,8 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     Rows with equal sets of keys are one node at first: they share all their links, so the rounds work on classes. Labels
     of a key are combined before the shuffle, and reach the classes of hot keys by a bounded broadcast.
     """
-    sets = edges.groupBy("author_id").agg(F.xxhash64(F.array_sort(F.collect_set("k"))).alias("h1"), F.hash(F.array_sort(F.collect_set("k"))).alias("h2"), F.sort_array(F.collect_set("k")).alias("ks"))
-    classes = written(sets.groupBy("h1", "h2", "ks").agg(F.min("author_id").alias("node")), "name-classes")
+    sets = written(edges.groupBy("author_id").agg(F.sort_array(F.collect_set("k")).alias("ks")), "name-sets")
+    classes = written(sets.groupBy("ks").agg(F.min("author_id").alias("node"), F.count("*").alias("rows")), "name-classes")
     links = written(classes.select("node", F.explode("ks").alias("k")), "name-links")
     label = written(classes.select("node", F.col("node").alias("entity")), "labels")
     while True:
@@ -590,9 +590,8 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         label = new
         if new.where("moved").isEmpty():
             break
-    of = classes.join(label.select("node", "entity"), "node").select("h1", "h2", "ks", "entity")
-    size = sets.groupBy("h1", "h2", "ks").agg(F.count("*").alias("rows")).join(of, ["h1", "h2", "ks"]).select(F.concat_ws("\0", "h1", "h2", F.concat_ws("\0", "ks")).alias("set"), "entity", "rows")
-    mine = keyed_join(sets.select("author_id", F.concat_ws("\0", "h1", "h2", F.concat_ws("\0", "ks")).alias("set")), size, "set", "rows")
+    of = classes.join(label.select("node", "entity"), "node").select("ks", "entity", "rows")
+    mine = keyed_join(sets, of, "ks", "rows")
     return nodes.join(mine.select("author_id", "entity"), "author_id", "left").select("author_id", F.coalesce("entity", "author_id").alias("entity"))
 
 
