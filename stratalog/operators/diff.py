@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalog.operators.rules import ignored
 from stratalog.plans import model as M
 from stratalog.plans.model import with_sql
 from stratalog.sources.tables import table
@@ -221,6 +222,47 @@ def status(s: SparkSession, d: str) -> DataFrame:
     return a.unionByName(b).groupBy("path").agg(F.expr("bit_or(f)").alias("flags")).where("flags <> 0")
 
 
+#: Further bits of a status.
+RENAMED, WORK_RENAMED, IGNORED, CONFLICTED = 8, 2048, 16384, 32768
+
+
+def _with_moves(deltas: DataFrame, bits: dict[str, int], moved: int) -> DataFrame:
+    """path, f: a diff's bits; a path added with the content of exactly one deleted path, which no other added path has,
+    was moved: it gets `moved`, and the deleted path no bit."""
+    came = deltas.where("status = 'ADDED'").groupBy(F.col("new_oid").alias("oid")).agg(F.min("path").alias("path"), F.count("*").alias("k")).where("k = 1")
+    gone = deltas.where("status = 'DELETED'").groupBy(F.col("old_oid").alias("oid")).agg(F.min("path").alias("old"), F.count("*").alias("k")).where("k = 1")
+    pairs = came.select("oid", "path").join(gone.select("oid", "old"), "oid")
+    rest = deltas.where("status <> 'UNMODIFIED'").join(pairs.select("path"), "path", "left_anti").join(pairs.select(F.col("old").alias("path")), "path", "left_anti")
+    return rest.select("path", _bits(F.col("status"), bits).alias("f")).unionByName(pairs.select("path", F.lit(moved).alias("f")))
+
+
+def full_status(head: DataFrame, index: DataFrame, work: DataFrame, conflicts: DataFrame, ignore: list[str]) -> DataFrame:
+    """path, flags of three states (path text, oid, mode): staged and unstaged changes with moves, untracked files that
+    `ignore` (rules) leaves out as IGNORED, and paths of `conflicts` (path) as CONFLICTED, whatever else they are."""
+    unstaged = diff(index, work, ["path"])
+    left_out = ignored(F.col("path"), ignore) & (F.col("status") == "ADDED")
+    rows = _with_moves(diff(head, index, ["path"]), STAGED, RENAMED).unionByName(_with_moves(unstaged.where(~left_out), UNSTAGED, WORK_RENAMED)).unionByName(unstaged.where(left_out).select("path", F.lit(IGNORED).alias("f")))
+    flags = rows.groupBy("path").agg(F.expr("bit_or(f)").alias("flags")).where("flags <> 0")
+    bad = conflicts.select("path").distinct()
+    return flags.join(bad, "path", "left_anti").unionByName(bad.select("path", F.lit(CONFLICTED).alias("flags")))
+
+
+def status_full(s: SparkSession, d: str) -> DataFrame:
+    """Parts as files: the index moves keys that 11 divides and edits those that 7 divides; the working tree drops keys
+    that 13 divides, edits those that 5 divides, moves those that 29 divides, and has built and new files; keys that 23
+    divides are in conflict."""
+    p = table(s, d, "part").select(F.col("p_partkey").alias("k"))
+    k = F.col("k")
+    name = lambda folder, end="": F.concat(F.lit(folder + "/f"), k.cast("string"), F.lit(end))
+    at = F.when(k % 11 == 0, name("moved")).otherwise(name("src"))
+    oid = F.when(k % 7 == 0, k * 10 + 1).otherwise(k * 10)
+    plain = lambda path, o: p.select("k", path.alias("path"), o.cast("long").alias("oid"), F.lit("100644").alias("mode"))
+    index = plain(at, oid)
+    work = plain(F.when((k % 29 == 0) & (k % 5 != 0), name("wt")).otherwise(at), F.when(k % 5 == 0, oid + 5).otherwise(oid)).where(k % 13 != 0)
+    work = work.unionByName(plain(name("build", ".o"), k * 10 + 7).where(k % 17 == 0)).unionByName(plain(name("new"), k * 10 + 8).where(k % 19 == 0))
+    return full_status(plain(name("src"), k * 10).drop("k"), index.drop("k"), work.drop("k"), index.where(k % 23 == 0), ["*.o"])
+
+
 def merged_diff(s: SparkSession, d: str) -> DataFrame:
     """path, old_oid, new_oid, status: head-to-index and index-to-work combined into one diff from the head."""
     head, index, work = three_states(s, d)
@@ -258,6 +300,7 @@ def checkout_plan(s: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "status_full": status_full,
     "diff_raw": diff_raw, "diff_name_only": diff_name_only, "diff_patch_header": diff_patch_header,
     "commit_diff": q_commit_diff, "diff_typechange_split": typechange_split, "tree_hash": tree_signatures, "differing_parent": q_differing_parent, "rename_exact": q_exact_renames, "diff_stats": diff_stats,
     "diff_name_status": name_status, "patch_id": patch_ids, "status_flags": status, "diff_merge": merged_diff, "diff_paired": paired, "checkout_plan": checkout_plan,
@@ -296,4 +339,10 @@ SQL = {
     "diff_merge": _S3 + ", j AS (SELECT coalesce(a.path, b.path) AS path, CASE WHEN a.path IS NOT NULL THEN a.o ELSE b.o END AS o, CASE WHEN b.path IS NOT NULL THEN b.n ELSE a.n END AS n FROM a FULL JOIN b ON a.path = b.path) SELECT path, o AS old_oid, n AS new_oid, " + _ST.format("j") + " AS status FROM j WHERE o IS DISTINCT FROM n",
     "diff_paired": _S3 + "SELECT coalesce(a.path, b.path) AS path, CASE WHEN a.path IS NULL THEN NULL ELSE " + _ST.format("a") + " END AS staged, CASE WHEN b.path IS NULL THEN NULL ELSE " + _ST.format("b") + " END AS unstaged FROM a FULL JOIN b ON a.path = b.path",
     "checkout_plan": _S3 + ", x AS (SELECT p.path, h.oid AS b, i.oid AS t, w.oid AS w FROM (SELECT path FROM h UNION SELECT path FROM i UNION SELECT path FROM w) p LEFT JOIN h USING (path) LEFT JOIN i USING (path) LEFT JOIN w USING (path)) SELECT path, CASE WHEN b IS NOT DISTINCT FROM t THEN CASE WHEN w IS NOT DISTINCT FROM b THEN 'NONE' WHEN b IS NULL THEN 'UNTRACKED' ELSE 'KEEP' END WHEN w IS NOT DISTINCT FROM t THEN 'NONE' WHEN w IS NOT DISTINCT FROM b THEN CASE WHEN t IS NULL THEN 'REMOVE' WHEN b IS NULL THEN 'CREATE' ELSE 'UPDATE' END ELSE 'CONFLICT' END AS action FROM x",
+    "status_full": """WITH p AS (SELECT p_partkey AS k, 'src/f' || p_partkey::VARCHAR AS src, CASE WHEN p_partkey % 11 = 0 THEN 'moved/f' ELSE 'src/f' END || p_partkey::VARCHAR AS ip FROM part),
+        r AS (SELECT ip AS path, 8 AS f FROM p WHERE k % 11 = 0 AND k % 7 <> 0 UNION ALL SELECT ip, 1 FROM p WHERE k % 11 = 0 AND k % 7 = 0 UNION ALL SELECT src, 4 FROM p WHERE k % 11 = 0 AND k % 7 = 0 UNION ALL SELECT ip, 2 FROM p WHERE k % 11 <> 0 AND k % 7 = 0
+            UNION ALL SELECT ip, 512 FROM p WHERE k % 13 = 0 UNION ALL SELECT ip, 256 FROM p WHERE k % 13 <> 0 AND k % 5 = 0 UNION ALL SELECT 'wt/f' || k::VARCHAR, 2048 FROM p WHERE k % 13 <> 0 AND k % 5 <> 0 AND k % 29 = 0
+            UNION ALL SELECT 'build/f' || k::VARCHAR || '.o', 16384 FROM p WHERE k % 17 = 0 UNION ALL SELECT 'new/f' || k::VARCHAR, 128 FROM p WHERE k % 19 = 0),
+        c AS (SELECT ip AS path FROM p WHERE k % 23 = 0)
+        SELECT path, bit_or(f) AS flags FROM r WHERE path NOT IN (SELECT path FROM c) GROUP BY path UNION ALL SELECT path, 32768 FROM c""",
 }

@@ -435,3 +435,13 @@ def test_keyed_join(spark):
     got = {r.id: r.v for r in keyed_join(rows, t, "key", "n", 0.1).collect()}
     assert len(got) == 550 and got[3] == 1 and got[1006] == 16
     assert keyed_join(rows, t, "key", "n", 0.1, "left").count() == 552
+
+
+def test_full_status(spark):
+    state = lambda *r: spark.createDataFrame([(p, o, "100644") for p, o in r], "path string, oid long, mode string")
+    head = state(("a", 1), ("b", 2), ("c", 3), ("d", 4), ("e", 4))
+    index = state(("moved/a", 1), ("b", 20), ("c", 3), ("x", 4))
+    work = state(("moved/a", 1), ("b", 21), ("c2", 3), ("x", 4), ("t.o", 9), ("n", 8))
+    got = {r.path: r.flags for r in diff.full_status(head, index, work, spark.createDataFrame([("b",)], "path string"), ["*.o"]).collect()}
+    # d and e have the content of x: which of them was moved can't be told
+    assert got == {"moved/a": 8, "b": 32768, "c2": 2048, "x": 1, "d": 4, "e": 4, "t.o": 16384, "n": 128}
