@@ -97,6 +97,17 @@ class SeenIndex:
         self.kept = kept
         self.range_bits, self.span = kept["range_bits"], kept["range_bits"] - kept["block_bits"]
         self.tables: dict[str, str] = {}
+        try:  # buckets are known to a catalog only; without a usable one, joins shuffle the segments
+            spark.sql("SHOW TABLES").limit(0).collect()
+            self.bucketed = True
+        except Exception:  # noqa: BLE001
+            self.bucketed = False
+
+    def close(self) -> None:
+        """Takes the segments' tables out of the session's catalog; their files stay. No answer may be read after that."""
+        for known in self.tables.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {known}")
+        self.tables.clear()
 
     def bound(self, n_keys: int) -> float:
         """The rate of wrong answers that theory gives for a set of n_keys keys."""
@@ -104,15 +115,20 @@ class SeenIndex:
 
     def _segment(self, name: str) -> DataFrame:
         """A stored segment as a table bucketed by block."""
+        fields = _SEGMENT if "merged" in name else f"{_SEGMENT}, {_ANSWERS}"
+        if not self.bucketed or name.startswith("plain"):
+            return self.spark.read.schema(fields).parquet(f"{self.root}/{name}")
         if name not in self.tables:
             known = f"seen_{uuid.uuid4().hex}"
-            fields = _SEGMENT if name.startswith("merged") else f"{_SEGMENT}, {_ANSWERS}"
             self.spark.sql(f"CREATE TABLE {known} ({fields}) USING parquet CLUSTERED BY (block) SORTED BY (block) INTO {self.kept['buckets']} BUCKETS LOCATION '{self.root}/{name}'")
             self.tables[name] = known
         return self.spark.table(self.tables[name])
 
     def _store(self, df: DataFrame, name: str) -> None:
         """Writes `df`, hash-partitioned by block already, as a segment: one file per bucket."""
+        if not self.bucketed:
+            df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+            return
         known = f"seen_{uuid.uuid4().hex}"
         df.write.format("parquet").bucketBy(self.kept["buckets"], "block").sortBy("block").option("path", f"{self.root}/{name}").mode("overwrite").saveAsTable(known)
         self.tables[name] = known
@@ -158,7 +174,7 @@ class SeenIndex:
                     out.append((row.block, len(own), k, data, row.key, ids, before | again, seen))
                 yield pd.DataFrame(out, columns=["block", "n", "k", "gaps", "keys", "ids", "maybe", "seen"])
 
-        name = f"batch-{self.version + 1}"
+        name = f"{'' if self.bucketed else 'plain-'}batch-{self.version + 1}"
         self._store(asked.mapInPandas(answer, f"{_SEGMENT}, {_ANSWERS}").repartition(buckets, "block"), name)
         answers = self._segment(name).select(F.explode(F.arrays_zip("ids", "maybe", "seen")).alias("x")).select(F.col("x.ids").alias("id"), F.col("x.maybe").alias("maybe"), F.col("x.seen").alias("seen"))
         self._commit([*self.kept["segments"], {"name": name, "tier": 0}])
@@ -186,7 +202,7 @@ class SeenIndex:
                         out.append((block, len(values), k, data, keys))
                     yield pd.DataFrame(out, columns=["block", "n", "k", "gaps", "keys"])
 
-            name = f"merged-{self.version + 1}"
+            name = f"{'' if self.bucketed else 'plain-'}merged-{self.version + 1}"
             self._store(grouped.mapInPandas(merge, _SEGMENT).repartition(self.kept["buckets"], "block"), name)
             self._commit([s for s in self.kept["segments"] if s not in mine] + [{"name": name, "tier": tier + 1}])
             tier += 1

@@ -115,6 +115,18 @@ def test_seen_against_brute_force(spark, tmp_path):
     assert seen.answers(df.limit(0))[0] == []
 
 
+def test_without_a_catalog(spark, tmp_path):
+    index = seen.SeenIndex(spark, str(tmp_path / "i"), expected_keys=100, fan=2)
+    index.bucketed = False
+    rows = spark.range(60).select(F.encode(F.sha1((F.col("id") % 25).cast("string")), "utf-8").alias("key"), "id")
+    new = [index.add(rows.where(F.col("id").between(a, a + 19))).where("NOT seen").count() for a in (0, 20, 40)]
+    assert new == [20, 5, 0] and not index.tables
+    index.bucketed = True
+    assert index.add(rows).where("NOT seen").count() == 0 and index.tables
+    index.close()
+    assert not index.tables
+
+
 def test_history_is_not_shuffled(spark, tmp_path):
     index = seen.SeenIndex(spark, str(tmp_path / "i"), expected_keys=1000)
     rows = spark.range(1000).select(F.encode(F.sha1(F.col("id").cast("string")), "utf-8").alias("key"), "id")
