@@ -85,17 +85,31 @@ def q_order_statistics(s: SparkSession, d: str) -> DataFrame:
 
 
 def tree_shape(s: SparkSession, d: str) -> DataFrame:
-    """repo, n_entries, max_depth, n_dirs, capped: shape of each repository's listed paths; capped above 400 levels or 20,000 entries."""
-    f = table(s, d, "olist").where("path IS NOT NULL AND repo IS NOT NULL").select("repo", "path").distinct()
+    """repo, n_entries, max_depth, n_dirs, n_bytes, capped: shape of each repository's listed paths; capped above 400 levels
+    or 20,000 entries. n_bytes sums the stored lengths of the distinct objects listed, 0 for those without a record."""
+    o = table(s, d, "olist").where("path IS NOT NULL AND repo IS NOT NULL")
+    f = o.select("repo", "path").distinct()
     depth = F.size(F.split("path", "/"))
     folder = F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", ""))
     g = f.groupBy("repo").agg(F.count("*").alias("n_entries"), F.max(depth).alias("max_depth"), F.countDistinct(folder).alias("n_dirs"))
-    return g.select("*", ((F.col("max_depth") > 400) | (F.col("n_entries") > 20000)).alias("capped"))
+    size = table(s, d, "idx").where(valid_sha(F.col("sha"))).groupBy("sha").agg(F.max("storedlen").alias("len"))
+    held = o.select("repo", "sha").distinct().join(size, "sha").groupBy("repo").agg(F.sum("len").alias("n_bytes"))
+    return g.join(held, "repo", "left").select("repo", "n_entries", "max_depth", "n_dirs", F.coalesce("n_bytes", F.lit(0)).alias("n_bytes"), ((F.col("max_depth") > 400) | (F.col("n_entries") > 20000)).alias("capped"))
+
+
+def mode_class(mode: F.Column) -> F.Column:
+    """Class of an entry by its octal mode: tree, file, exec, link, gitlink; other modes of plain files are noncanonical."""
+    return (
+        F.when(mode.isin("40000", "040000"), "tree").when(mode == "100644", "file").when(mode == "100755", "exec").when(mode == "120000", "link").when(mode == "160000", "gitlink")
+        .when(mode.startswith("100"), "noncanonical").otherwise("other")
+    )
 
 
 def mode_histogram(s: SparkSession, d: str) -> DataFrame:
-    e = M.tree_entries(s, d)
-    return e.groupBy(F.when(F.col("mode") == "040000", "tree").when(F.col("mode") == "100644", "file").when(F.col("mode") == "100755", "exec").otherwise("other").alias("mode_class")).agg(F.count("*").alias("n"))
+    """mode_class, n over tree entries; entries whose object's number 9 divides get the rarer modes."""
+    rare = F.element_at(F.array(*map(F.lit, ["120000", "160000", "100664", "100600", "000000"])), (F.pmod(F.col("oid"), F.lit(5)) + 1).cast("int"))
+    e = M.tree_entries(s, d).select(F.when(F.col("oid") % 9 == 0, rare).otherwise(F.col("mode")).alias("mode"))
+    return e.groupBy(mode_class(F.col("mode")).alias("mode_class")).agg(F.count("*").alias("n"))
 
 
 def blob_names(s: SparkSession, d: str) -> DataFrame:
@@ -182,8 +196,8 @@ SQL = {
     "content_verdict": "WITH g AS (SELECT repo, count(*) AS files, 100 * count(*) FILTER (" + _EXT + " IN " + _CODE + ") / count(*) AS p " + _BLOBS + " GROUP BY repo) SELECT repo, files, round(p, 1) AS code_percent, CASE WHEN p < 2 THEN 'DATA' WHEN p < 10 THEN 'MIXED' ELSE 'CODE' END AS verdict FROM g",
     "top_extensions": "WITH g AS (SELECT repo, " + _EXT + " AS ext, count(*) AS n " + _BLOBS + " GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY repo ORDER BY n DESC, ext) AS place FROM g) SELECT repo, place, ext, n FROM r WHERE place <= 3",
     "order_statistics": "WITH o AS (SELECT type, storedlen, row_number() OVER (PARTITION BY type ORDER BY storedlen) AS k, count(*) OVER (PARTITION BY type) AS n FROM idx WHERE storedlen IS NOT NULL), q AS (SELECT * FROM (VALUES (0.25::DOUBLE), (0.75), (0.9), (0.99)) t(q)) SELECT type, q, storedlen AS value FROM o, q WHERE k = greatest(1, floor(q * n)) UNION ALL SELECT type, -1.0::DOUBLE, storedlen FROM o WHERE k = (n + 1) // 2",
-    "tree_shape": "WITH f AS (SELECT DISTINCT repo, path FROM olist WHERE path IS NOT NULL AND repo IS NOT NULL) SELECT repo, count(*) AS n_entries, max(len(string_split(path, '/')))::INT AS max_depth, count(DISTINCT CASE WHEN contains(path, '/') THEN regexp_replace(path, '/[^/]*$', '') END) AS n_dirs, max(len(string_split(path, '/'))) > 400 OR count(*) > 20000 AS capped FROM f GROUP BY repo",
-    "mode_histogram": with_sql("entries", "SELECT CASE mode WHEN '040000' THEN 'tree' WHEN '100644' THEN 'file' WHEN '100755' THEN 'exec' ELSE 'other' END AS mode_class, count(*) AS n FROM entries GROUP BY 1"),
+    "tree_shape": "WITH f AS (SELECT DISTINCT repo, path FROM olist WHERE path IS NOT NULL AND repo IS NOT NULL), z AS (SELECT sha, max(storedlen) AS len FROM idx WHERE regexp_full_match(sha, '[0-9a-f]{40}') GROUP BY sha), b AS (SELECT repo, sum(len)::BIGINT AS n_bytes FROM (SELECT DISTINCT repo, sha FROM olist WHERE path IS NOT NULL AND repo IS NOT NULL) JOIN z USING (sha) GROUP BY repo), g AS (SELECT repo, count(*) AS n_entries, max(len(string_split(path, '/')))::INT AS max_depth, count(DISTINCT CASE WHEN contains(path, '/') THEN regexp_replace(path, '/[^/]*$', '') END) AS n_dirs FROM f GROUP BY repo) SELECT repo, n_entries, max_depth, n_dirs, coalesce(n_bytes, 0) AS n_bytes, max_depth > 400 OR n_entries > 20000 AS capped FROM g LEFT JOIN b USING (repo)",
+    "mode_histogram": with_sql("entries", "SELECT CASE WHEN oid % 9 = 0 THEN CASE oid % 5 WHEN 0 THEN 'link' WHEN 1 THEN 'gitlink' WHEN 4 THEN 'other' ELSE 'noncanonical' END WHEN mode = '040000' THEN 'tree' WHEN mode = '100644' THEN 'file' ELSE 'exec' END AS mode_class, count(*) AS n FROM entries GROUP BY 1"),
     "blob_names": "SELECT DISTINCT sha, translate(" + _NAME + ", ';' || chr(13) || chr(10), ':__') AS name FROM olist WHERE type = 'blob' AND path IS NOT NULL AND " + _V,
     "repo_blob_paths": "SELECT repo, count(*) AS rows, count(DISTINCT (coalesce(sha, '-'), path)) AS pairs " + _BLOBS + " GROUP BY repo",
     "child_folders": "WITH p AS (SELECT DISTINCT string_split(path, '/') AS p FROM olist WHERE path IS NOT NULL) SELECT DISTINCT array_to_string(p[1:i], '/') AS parent, array_to_string(p[1:i + 1], '/') AS child FROM p, range(1, 60) t(i) WHERE i <= len(p) - 2",

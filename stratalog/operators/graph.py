@@ -153,13 +153,24 @@ def q_merge_base(s: SparkSession, d: str) -> DataFrame:
     return merge_bases(M.head_pairs(s, d), written(_reach_heads(s, d), "reach"), M.edges(s, d))
 
 
-def merge_analysis(s: SparkSession, d: str) -> DataFrame:
-    """a (ours), b (theirs), kind: UP_TO_DATE if theirs is in our history, FASTFORWARD if ours is in theirs, else NORMAL."""
-    reach = written(_reach_heads(s, d), "reach")
-    pairs = M.head_pairs(s, d)
-    up = pairs.join(reach.select(F.col("root").alias("a"), F.col("oid").alias("b")), ["a", "b"], "left_semi").withColumn("up", F.lit(True))
+def analysis(pairs: DataFrame, reach: DataFrame) -> DataFrame:
+    """a (ours), b (theirs), kind: UNBORN without ours, UP_TO_DATE if theirs is in our history, FASTFORWARD if ours is in
+    theirs, else NORMAL. reach: closure of all a and b."""
+    up = pairs.join(reach.select(F.col("root").alias("a"), F.col("oid").alias("b")), ["a", "b"], "left_semi").select("a", "b", F.lit(True).alias("up"))
     ff = pairs.join(reach.select(F.col("root").alias("b"), F.col("oid").alias("a")), ["b", "a"], "left_semi").select("a", "b", F.lit(True).alias("ff"))
-    return pairs.join(up, ["a", "b"], "left").join(ff, ["a", "b"], "left").select("a", "b", F.when(F.col("up"), "UP_TO_DATE").when(F.col("ff"), "FASTFORWARD").otherwise("NORMAL").alias("kind"))
+    kind = F.when(F.col("a").isNull(), "UNBORN").when(F.col("up"), "UP_TO_DATE").when(F.col("ff"), "FASTFORWARD").otherwise("NORMAL")
+    return pairs.join(up, ["a", "b"], "left").join(ff, ["a", "b"], "left").select("a", "b", kind.alias("kind"))
+
+
+def merge_analysis(s: SparkSession, d: str) -> DataFrame:
+    """project, a, b, kind: each customer's head against the newest head of its nation; customers without orders have none."""
+    from stratalog.sources.tables import table
+
+    c = table(s, d, "customer").select(F.col("c_custkey").alias("project"), F.col("c_nationkey").alias("nation"))
+    h = c.join(M.heads(s, d), "project", "left")
+    sides = h.join(h.groupBy("nation").agg(F.max("head").alias("b")), "nation").select("project", F.col("head").alias("a"), "b").where("b IS NOT NULL")
+    kinds = analysis(sides.select("a", "b").distinct(), written(_reach_heads(s, d), "reach")).select(F.col("a").alias("_a"), F.col("b").alias("_b"), "kind")
+    return sides.join(kinds, F.col("a").eqNullSafe(F.col("_a")) & (F.col("b") == F.col("_b"))).select("project", "a", "b", "kind")
 
 
 def octopus_bases(groups: DataFrame, reach: DataFrame, edges: DataFrame) -> DataFrame:
@@ -283,7 +294,7 @@ SQL = {
     "revwalk_hide_callback": with_sql(_G, ", ok AS (SELECT oid FROM commits WHERE subject <> '5-LOW'), walk AS (SELECT head, head AS oid FROM heads WHERE head IN (SELECT oid FROM ok) UNION SELECT w.head, e.parent FROM walk w JOIN edges e ON e.oid = w.oid JOIN ok ON ok.oid = e.parent) SELECT head, oid FROM walk"),
     "ahead_behind": with_sql(_G + "pairs closure", ", m AS (SELECT a, b, x.oid, 1 AS s FROM pairs JOIN closure x ON x.root = a UNION ALL SELECT a, b, y.oid, 2 FROM pairs JOIN closure y ON y.root = b), t AS (SELECT a, b, oid, sum(s) AS s FROM m GROUP BY ALL) SELECT a, b, count(*) FILTER (s = 1) AS ahead, count(*) FILTER (s = 2) AS behind FROM t GROUP BY a, b"),
     "merge_base": with_sql(_G + "pairs closure", ", common AS (SELECT a, b, x.oid FROM pairs JOIN closure x ON x.root = a JOIN closure y ON y.root = b AND y.oid = x.oid) SELECT a, b, oid AS base FROM common c WHERE NOT EXISTS (SELECT 1 FROM common k JOIN edges e ON e.oid = k.oid WHERE k.a = c.a AND k.b = c.b AND e.parent = c.oid)"),
-    "merge_analysis": with_sql(_G + "pairs closure", "SELECT a, b, CASE WHEN EXISTS (SELECT 1 FROM closure c WHERE c.root = a AND c.oid = b) THEN 'UP_TO_DATE' WHEN EXISTS (SELECT 1 FROM closure c WHERE c.root = b AND c.oid = a) THEN 'FASTFORWARD' ELSE 'NORMAL' END AS kind FROM pairs"),
+    "merge_analysis": with_sql(_G + "closure", ", h AS (SELECT c_custkey AS project, c_nationkey AS nation, head FROM customer LEFT JOIN heads ON project = c_custkey), t AS (SELECT project, head AS a, max(head) OVER (PARTITION BY nation) AS b FROM h) SELECT project, a, b, CASE WHEN a IS NULL THEN 'UNBORN' WHEN EXISTS (SELECT 1 FROM closure c WHERE c.root = a AND c.oid = b) THEN 'UP_TO_DATE' WHEN EXISTS (SELECT 1 FROM closure c WHERE c.root = b AND c.oid = a) THEN 'FASTFORWARD' ELSE 'NORMAL' END AS kind FROM t WHERE b IS NOT NULL"),
     "octopus_base": with_sql(_G + "pairs", ", q AS (SELECT a, b, parent FROM pairs JOIN parents ON oid = a AND pos = 0), h AS (SELECT a AS head, a AS root FROM q UNION SELECT a, b FROM q UNION SELECT a, parent FROM q), closure AS (SELECT root, root AS oid FROM (SELECT DISTINCT root FROM h) UNION SELECT c.root, e.parent FROM closure c JOIN edges e ON e.oid = c.oid), n AS (SELECT head, count(*) AS n FROM h GROUP BY 1), common AS (SELECT h.head, c.oid FROM h JOIN closure c ON c.root = h.root JOIN n ON n.head = h.head GROUP BY h.head, c.oid, n HAVING count(*) = n) SELECT head, oid AS base FROM common c WHERE NOT EXISTS (SELECT 1 FROM common k JOIN edges e ON e.oid = k.oid WHERE k.head = c.head AND e.parent = c.oid)"),
     "generation_numbers": with_sql("commits parents edges", ", g AS (SELECT oid, 1 AS generation FROM commits WHERE oid NOT IN (SELECT oid FROM edges) UNION SELECT e.oid, g.generation + 1 FROM g JOIN edges e ON e.parent = g.oid) SELECT oid, max(generation) AS generation FROM g GROUP BY oid"),
     "project_tips": with_sql("commits parents edges", "SELECT project, oid AS tip FROM commits c WHERE NOT EXISTS (SELECT 1 FROM edges e JOIN commits k ON k.oid = e.oid WHERE e.parent = c.oid AND k.project = c.project)"),

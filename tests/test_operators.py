@@ -445,3 +445,11 @@ def test_full_status(spark):
     got = {r.path: r.flags for r in diff.full_status(head, index, work, spark.createDataFrame([("b",)], "path string"), ["*.o"]).collect()}
     # d and e have the content of x: which of them was moved can't be told
     assert got == {"moved/a": 8, "b": 32768, "c2": 2048, "x": 1, "d": 4, "e": 4, "t.o": 16384, "n": 128}
+
+
+def test_merge_analysis(spark):
+    edges = spark.createDataFrame([(2, 1), (3, 2), (4, 2)], "oid long, parent long")
+    reach = graph.closure(edges, spark.createDataFrame([(i, i) for i in (1, 2, 3, 4)], "root long, oid long"))
+    pairs = spark.createDataFrame([(None, 3), (3, 2), (2, 4), (3, 4), (3, 3)], "a long, b long")
+    got = {(r.a, r.b): r.kind for r in graph.analysis(pairs, reach).collect()}
+    assert got == {(None, 3): "UNBORN", (3, 2): "UP_TO_DATE", (2, 4): "FASTFORWARD", (3, 4): "NORMAL", (3, 3): "UP_TO_DATE"}
