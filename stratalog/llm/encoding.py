@@ -108,6 +108,8 @@ class PairScores:
             self.cright[b] += c
         self.mean = sum(c * self.of(x, y) for (x, y), c in pairs.items()) / self.n  # the corpus's mutual information
         self.cache: dict[tuple[str, str], float] = {}
+        self.read: dict[str, list[str]] = {}  # of other_readings
+        self.gain: dict[tuple[str, bool, bool], list[tuple[float, str]]] = {}  # of gains
 
     def of(self, x: str, y: str) -> float:
         """Information of the pair; a pair of foreign classes or with an unknown symbol is far below 0."""
@@ -282,16 +284,17 @@ def wide_readings(run: str, enc: str) -> list[tuple[int, int, str]]:
 def undo_utf8(run: str, scores: PairScores) -> str | None:
     """The run with well-formed UTF-8 that was read in another encoding put right, or null where there is none."""
     best = None
-    for enc in MISREAD_AS:  # the whole run, without anything left over
-        raw = as_bytes(run, enc)
+    if not _NEAR_ASCII.search(run):
+        return None  # a sequence has two bytes at least, none of them ASCII
+    raws = {enc: raw for enc in MISREAD_AS if _UTF8.search(raw := as_bytes(run, enc))}
+    for raw in raws.values():  # the whole run, without anything left over
         try:
             new = raw.encode("latin_1").decode("utf-8")
         except (UnicodeEncodeError, UnicodeDecodeError):
             continue
         if new != run and all(ch.isascii() or scores.known(ch) or ch in _CP1252 for ch in new) and not run.isalpha():
             return new
-    for enc in MISREAD_AS:
-        raw = as_bytes(run, enc)
+    for raw in raws.values():
         done, last, out = 0, 0, []
         for m in _UTF8.finditer(raw):
             try:
@@ -315,12 +318,52 @@ def undo_utf8(run: str, scores: PairScores) -> str | None:
     return best[1] if best else None
 
 
+def other_readings(run: str, scores: PairScores) -> list[str]:
+    """What the run may have been before a mix-up of encodings, in the order of MIXED_UP. Most runs are a letter or two, so they are kept."""
+    if (known := scores.read.get(run)) is not None:
+        return known
+    raws, letters, out = {}, sum(map(str.isalpha, run)), {}
+    for read, wrote in MIXED_UP:
+        if read not in raws:
+            raws[read] = as_bytes(run, read)
+        raw = raws[read]
+        if "\ufffd" in raw:
+            continue
+        try:
+            new = raw.encode("latin_1").decode(wrote)
+        except UnicodeDecodeError:
+            continue
+        if new == run or sum(map(str.isalpha, new)) < letters:
+            continue  # letters are not what a mix-up of encodings makes of signs
+        if all(scores.known(ch) for ch in new if not ch.isascii()):
+            out[new] = None
+    if len(scores.read) > 100_000:
+        scores.read.clear()
+    scores.read[run] = list(out)
+    return scores.read[run]
+
+
+def gains(text: str, lo: int, hi: int, scores: PairScores) -> list[tuple[float, str]]:
+    """(information gained, reading) of the other readings of text[lo:hi]; kept, as they hang on the neighbours only."""
+    near, begins, ends = slice(max(0, lo - 1), hi + 1), lo < 1, hi + 1 > len(text)
+    key = (text[near], begins, ends)
+    if (known := scores.gain.get(key)) is not None:
+        return known
+    news = other_readings(text[lo:hi], scores)
+    information = scores.total(text[near], begins, ends) if news else 0.0
+    if len(scores.gain) > 100_000:
+        scores.gain.clear()
+    scores.gain[key] = [(scores.total(text[near.start : lo] + new + text[hi : near.stop], begins, ends) - information, new) for new in news]
+    return scores.gain[key]
+
+
 def undo_mixup(text: str, a: int, b: int, scores: PairScores, margin: float) -> str | None:
     """The text with text[a:b] read in the encoding that raises the information most, if by at least `margin`.
 
     The run is tried whole and in each of its stretches beyond ASCII, as only part of it may be damaged.
     """
     best, found = margin, None
+    lower = not any(map(str.isupper, text))
     beyond = [i for i, ch in enumerate(text) if not ch.isascii()]
     pieces = {(a, b), (beyond[0], beyond[-1] + 1)} | {(m.start() + a, m.end() + a) for m in re.finditer(r"[^\x00-\x7f]+", text[a:b])} | {(i, i + 1) for i in range(a, b) if not text[i].isascii()}
     for lo, hi in sorted(pieces, key=lambda x: (x[0] - x[1], x)):
@@ -329,24 +372,10 @@ def undo_mixup(text: str, a: int, b: int, scores: PairScores, margin: float) ->
         run = text[lo:hi]
         if all(ch.isascii() or ch in PLAUSIBLE for ch in run):
             continue
-        near = slice(max(0, lo - 1), hi + 1)
-        information = scores.total(text[near], lo < 1, hi + 1 > len(text))
-        word, raws, letters = None, {}, sum(map(str.isalpha, run))
-        for read, wrote in MIXED_UP:
-            if read not in raws:
-                raws[read] = as_bytes(run, read)
-            raw = raws[read]
-            if "�" in raw:
-                continue
-            try:
-                new = raw.encode("latin_1").decode(wrote)
-            except UnicodeDecodeError:
-                continue
-            if new == run or sum(map(str.isalpha, new)) < letters:
-                continue  # letters are not what a mix-up of encodings makes of signs
-            if not all(scores.known(ch) for ch in new if not ch.isascii()):
-                continue
-            gain = scores.total(text[near.start : lo] + new + text[hi : near.stop], lo < 1, hi + 1 > len(text)) - information
+        word = None
+        for gain, new in gains(text, lo, hi, scores):
+            if lower and gain <= best:
+                continue  # the case of a text without upper-case letters costs nothing
             if word is None:  # the words that the piece lies in, and what their case costs; it can cost no less than 0
                 left, right = lo, hi
                 while left > 0 and _LETTER.match(text[left - 1]):

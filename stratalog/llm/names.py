@@ -16,7 +16,10 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,6 +58,8 @@ SHORT = {
 }
 #: How one script's letters stand for another's, digraphs first.
 TO_CYRILLIC = {"zh": "ж", "sh": "ш", "ch": "ч", "th": "т", "ph": "ф", "a": "а", "b": "б", "c": "к", "d": "д", "e": "е", "f": "ф", "g": "г", "h": "х", "i": "и", "j": "и", "k": "к", "l": "л", "m": "м", "n": "н", "o": "о", "p": "п", "q": "к", "r": "р", "s": "с", "t": "т", "u": "у", "v": "в", "w": "в", "x": "к", "y": "с", "z": "и"}
+_DIGRAPHS = [x for x in TO_CYRILLIC if len(x) > 1]
+_LETTERS = str.maketrans({x: y for x, y in TO_CYRILLIC.items() if len(x) == 1})
 _UNMARKED = str.maketrans({"ø": "o", "ł": "l", "ß": "ss", "æ": "ae", "ı": "i", "đ": "d", "œ": "oe", "þ": "th", "ð": "d"})
 
 _ADDRESS = re.compile(r"[^\s<>\"{}|]+@[^\s<>\"{}/|]+")
@@ -63,16 +68,34 @@ _CYR = re.compile("[Ѐ-ӿ]")
 # ----------------------------------------------------------------------------------------------------------- parsing
 
 
-@lru_cache(maxsize=200_000)
+class _Kept(dict):
+    """Translation that drops marks and format characters; filled as characters are met."""
+
+    def __missing__(self, code: int) -> int | None:
+        ch = chr(code)
+        self[code] = None if unicodedata.combining(ch) or unicodedata.category(ch) == "Cf" else code
+        return self[code]
+
+
+_KEPT = _Kept()
+
+
 def plain(text: str) -> str:
     """Lower case without marks and format characters."""
-    text = unicodedata.normalize("NFKD", text.lower().translate(_UNMARKED))
-    return "".join(ch for ch in text if not unicodedata.combining(ch) and unicodedata.category(ch) != "Cf")
+    return text.lower() if text.isascii() else _plain(text)
+
+
+@lru_cache(maxsize=200_000)
+def _plain(text: str) -> str:
+    return unicodedata.normalize("NFKD", text.lower().translate(_UNMARKED)).translate(_KEPT)
 
 
 def skeleton(text: str) -> str:
     """A Latin or Cyrillic word in the Cyrillic letters that stand for it."""
-    return re.sub("zh|sh|ch|th|ph|[a-z]", lambda m: TO_CYRILLIC[m[0]], text)
+    if "h" in text:
+        for two in _DIGRAPHS:  # they all end in h, so no two of them overlap
+            text = text.replace(two, TO_CYRILLIC[two])
+    return text.translate(_LETTERS)
 
 
 def address(raw: str | None) -> tuple[str, str] | None:
@@ -403,51 +426,80 @@ def attributed(forms: DataFrame, costs: dict[str, float] = PRIOR_COSTS) -> DataF
     falling frequency, until no later one can have a larger posterior: not each is compared with each.
     """
 
-    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for v, n in zip(pdf.v, pdf.n):
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[str] = []
+            ends = [0]
+            for v in batch.column("v").to_pylist():
                 kind, g, s = v.split("|")
                 firsts = {g[:1]} | {x[0] for x in SHORT.get(g, "").split()}
                 near_ = deletions(s) if len(s) > 4 else set()
-                out += [(f"{kind}{f}|{k}", v, n) for k in {s} | near_ for f in firsts]
+                out += [f"{kind}{f}|{k}" for k in {s} | near_ for f in firsts]
                 if kind == "p" and s and len(g) > 3:
-                    out += [(f"t{d}|{s}", v, n) for d in {g[1:], g[:1] + g[2:], g}]  # another first letter, or the first two swapped
+                    out += [f"t{d}|{s}" for d in {g[1:], g[:1] + g[2:], g}]  # another first letter, or the first two swapped
                 if kind == "p" and s and g:
-                    out.append((f"c{skeleton(g)}|{skeleton(s)}", v, n))
-            yield pd.DataFrame(out, columns=["k", "v", "n"])
+                    out.append(f"c{skeleton(g)}|{skeleton(s)}")
+                ends.append(len(out))
+            of = pa.array(np.repeat(np.arange(len(ends) - 1), np.diff(ends)))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), batch.column("v").take(of), batch.column("n").take(of)], ["k", "v", "n"])
 
-    keyed = spread(forms, "v").mapInPandas(keys, "k string, v string, n long")
     # Distinct spellings of one key, not rows: a name that a third of the rows have is one entry.
-    best = keyed.groupBy("k").agg(F.collect_set(F.struct("n", "v")).alias("all")).where(F.size("all") > 1)
+    keyed = spread(spread(forms.select("v", "n"), "v").mapInArrow(keys, "k string, v string, n long"), "k").sortWithinPartitions("k")
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[str, str, float]] = []
+        table = lambda: pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind) for i, kind in enumerate((pa.string(), pa.string(), pa.float64()))], ["v", "c", "score"])
+        for key, rows in of_several(batches):
+            out += chosen_in(key[0], rows, costs)
+            if len(out) > 10_000:
+                yield table()
+                out = []
+        yield table()
+
+    chosen = keyed.mapInArrow(choose, "v string, c string, score double")
+    return chosen.groupBy("v").agg(F.max_by("c", F.struct("score", "c")).alias("c"))
 
-    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for k, rows in zip(pdf.k, pdf["all"]):
-                out += [(v, c, score) for v, c, score in chosen_in(k[0], [(r["n"], r["v"]) for r in rows], costs)]
-            yield pd.DataFrame(out, columns=["v", "c", "score"])
 
-    chosen = best.mapInPandas(choose, "v string, c string, score double")
-    return chosen.groupBy("v").agg(F.max_by("c", F.struct("score", "c")).alias("c"))
+def of_several(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[tuple[int, str]]]]:
+    """(key, forms (n, v)) of the keys that have several rows, from batches (k, v, n) sorted by k."""
+    key, held = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = batch.column("k")
+        starts = np.flatnonzero(np.append(True, pc.not_equal(k.slice(1), k.slice(0, len(k) - 1)).to_numpy(zero_copy_only=False)))
+        sizes = np.diff(np.append(starts, len(k)))
+        several = sizes > 1
+        several[[0, -1]] = True  # the keys at a batch's ends may go on in the next one
+        part = batch.filter(pa.array(np.repeat(several, sizes)))
+        for x, v, n in zip(*(part.column(c).to_pylist() for c in ("k", "v", "n"))):
+            if x != key:
+                if len(held) > 1:
+                    yield key, held
+                key, held = x, []
+            held.append((n, v))
+    if len(held) > 1:
+        yield key, held
+
+
+#: So many candidates are compared without an index of their given names.
+FEW = 8
 
 
 def chosen_in(key: str, forms: list[tuple[int, str]], costs: dict[str, float]) -> Iterator[tuple[str, str, float]]:
     """(variant, canonical, score) among forms (n, v) that share a key, whose first letter tells its kind."""
     ranked = sorted(((n, len(v), v) for n, v in forms), reverse=True)
-    heads: list[tuple[int, str, str, str]] = []
+    parts = [(n, v, *v.split("|")) for n, _, v in ranked]
+    heads = [(n, v, g, s) for n, v, kind, g, s in parts if kind == "o" or len(g) > 1]
     by: dict[str, list[int]] = {}
-    for n, _, v in ranked:
-        kind, g, s = v.split("|")
-        if kind == "o" or len(g) > 1:
-            if kind == "p" and key != "c":
-                for x in {f"={g[:i]}" for i in range(len(g) + 1)} | {f"-{d}" for d in deletions(g)}:
-                    by.setdefault(x, []).append(len(heads))
-            heads.append((n, v, g, s))
+    if key not in "oc" and len(heads) > FEW:
+        for i, (_, _, g, _) in enumerate(heads):
+            for x in {f"={g[:i]}" for i in range(len(g) + 1)} | {f"-{d}" for d in deletions(g)}:
+                by.setdefault(x, []).append(i)
 
     def likely(kind: str, g: str) -> Iterable[int]:
         """The candidates whose given name `g` may stand for, by falling frequency."""
-        if kind != "p" or key == "c":
+        if kind != "p" or key == "c" or len(heads) <= FEW:
             return range(len(heads))
         if len(g) < 2:
             return by.get(f"={g}", [])
@@ -455,8 +507,9 @@ def chosen_in(key: str, forms: list[tuple[int, str]], costs: dict[str, float]) -
         looks = {f"={x}" for x in {g, *SHORT.get(g, "").split()} | less} | {f"-{x}" for x in {g} | less}
         return sorted({i for x in looks for i in by.get(x, ())})
 
-    for n, _, v in ranked:
-        kind, g, s = v.split("|")
+    for n, v, kind, g, s in parts:
+        if key == "c" and not _CYR.search(s):
+            continue  # this key only leads from Cyrillic to other letters
         top, others = None, []
         for i in likely(kind, g):
             hn, hv, hg, hs = heads[i]
@@ -498,9 +551,9 @@ def entities(authors: DataFrame) -> DataFrame:
     rows = written(parsed(authors, given_names(authors)), "names-parsed")
     form = lambda kind, g, s: F.concat_ws("|", kind, g, s)
     has = (F.col("s") != "") & (F.col("kind") != "")
-    own = rows.where(has).select("author_id", form(F.col("kind"), F.col("g"), F.col("s")).alias("v"))
-    sent = rows.where(F.col("ms") != "").select("author_id", form(F.lit("p"), F.col("mg"), F.col("ms")).alias("v"))
-    uses = written(own.unionByName(sent).distinct(), "name-forms")
+    own = F.when(has, form(F.col("kind"), F.col("g"), F.col("s")))
+    sent = F.when(F.col("ms") != "", form(F.lit("p"), F.col("mg"), F.col("ms")))
+    uses = rows.select("author_id", F.explode(F.array_distinct(F.array_compact(F.array(own, sent)))).alias("v"))
     forms = uses.groupBy("v").agg(F.count("*").alias("n"))
     costs = learned_costs(rows.where(has & (F.col("adr") != "")).groupBy("adr", form(F.col("kind"), F.col("g"), F.col("s")).alias("v")).agg(F.count("*").alias("n")))
     canon = written(attributed(forms, costs), "name-canon")
@@ -521,11 +574,11 @@ def entities(authors: DataFrame) -> DataFrame:
     by_form = full.select("author_id", F.concat(F.lit("f "), "v").alias("k"))
     adr = rows.where("adr <> ''").select("author_id", "adr", F.when(has, form(F.col("kind"), F.col("g"), F.col("s"))).alias("v"))
     typed = written(adr.join(canon, "v", "left").select("author_id", "adr", F.coalesce("c", "v").alias("v")), "name-addresses")
-    by_adr = owned(typed, at.groupBy("v").agg(F.countDistinct("author_id").alias("all"))).select("author_id", F.concat(F.lit("m "), "adr").alias("k"))
+    by_adr = owned(typed, at)
     # A made-up user name goes with its owner from one host to another.
-    nick = by_adr.select("author_id", F.regexp_extract("k", r"^m ([a-z]{4,}[_-](?!dev@|io@|bot@)[0-9a-z]{1,3})@", 1).alias("n")).where("n <> ''").select("author_id", F.concat(F.lit("n "), "n").alias("k"))
-    edges = written(by_form.unionByName(by_adr).unionByName(nick).distinct(), "name-edges")
-    return components(rows.select("author_id"), edges)
+    nick = F.regexp_extract("adr", r"^([a-z]{4,}[_-](?!dev@|io@|bot@)[0-9a-z]{1,3})@", 1)
+    by_adr = by_adr.select("author_id", F.explode(F.filter(F.array(F.concat(F.lit("m "), "adr"), F.concat(F.lit("n "), nick)), lambda k: k != "n ")).alias("k"))
+    return components(rows.select("author_id"), by_form.unionByName(by_adr))
 
 
 def owned(typed: DataFrame, known: DataFrame, fair: float = 0.2, tops: int = 64) -> DataFrame:
@@ -534,7 +587,7 @@ def owned(typed: DataFrame, known: DataFrame, fair: float = 0.2, tops: int = 64)
     v: the row's canonical form, or null. Only full names tell who has an address; those that may be spellings of one
     of its frequent names count for that one. An address is shared, and links nobody, if two people or more hold at
     least `fair` of its full names each, in two rows or more, or if of three or more nobody holds half. Elsewhere a row
-    is left out only if its full name is another's that has most of its rows (`known`: v, all) away from the address.
+    is left out only if its full name is another's that has most of its rows (`known`: author_id, v) away from the address.
     The `tops` most frequent names of an address are gathered as its people; every name is compared with them.
     """
     counts = written(typed.where(F.col("v").rlike(r"^p\|[^|]{2,}\|")).groupBy("adr", "v").agg(F.count("*").alias("n")), "address-names")
@@ -566,20 +619,24 @@ def owned(typed: DataFrame, known: DataFrame, fair: float = 0.2, tops: int = 64)
     holders = per.join(total, "adr").where((F.col("n") >= 2) & (F.col("n") >= F.col("total") * fair)).groupBy("adr").agg(F.count("*").alias("holders"))
     judged = total.join(holders, "adr", "left").withColumn("shared", (F.coalesce("holders", F.lit(0)) > 1) | (F.col("people") > 2) & (F.col("most") * 2 < F.col("total")))
     judged = written(judged.select("adr", "owner", "shared"), "address-owners")
-    others = assigned.join(judged.where("NOT shared"), "adr").where("who <> owner").join(known, "v").where(F.col("all") > 2 * F.col("n")).select("adr", "v")
+    strays = written(assigned.join(judged.where("NOT shared"), "adr").where("who <> owner").select("adr", "v", "n"), "address-strays")
+    everywhere = known.join(strays.select("v").distinct(), "v", "left_semi").groupBy("v").agg(F.countDistinct("author_id").alias("all"))
+    others = strays.join(everywhere, "v").where(F.col("all") > 2 * F.col("n")).select("adr", "v")
     return typed.join(judged.where("shared"), "adr", "left_anti").join(others, ["adr", "v"], "left_anti")
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """author_id, entity: the smallest author_id of the component that `edges` (author_id, k) puts a node in.
 
-    Rows with equal sets of keys are one node at first: they share all their links, so the rounds work on classes. Labels
-    of a key are combined before the shuffle, and reach the classes of hot keys by a bounded broadcast.
+    Rows with equal sets of keys are one node at first: they share all their links, so the rounds work on classes, and
+    only on keys that several classes have. Labels of a key are combined before the shuffle, and reach the classes of hot
+    keys by a bounded broadcast.
     """
     sets = written(edges.groupBy("author_id").agg(F.sort_array(F.collect_set("k")).alias("ks")), "name-sets")
     classes = written(sets.groupBy("ks").agg(F.min("author_id").alias("node"), F.count("*").alias("rows")), "name-classes")
-    links = written(classes.select("node", F.explode("ks").alias("k")), "name-links")
-    label = written(classes.select("node", F.col("node").alias("entity")), "labels")
+    links = classes.select("node", F.explode("ks").alias("k"))
+    links = written(links.join(links.groupBy("k").agg(F.count("*").alias("n")).where("n > 1"), "k", "left_semi"), "name-links")
+    label = written(links.select("node", F.col("node").alias("entity")).distinct(), "labels")
     while True:
         low = written(links.join(label, "node").groupBy("k").agg(F.min("entity").alias("low"), F.count("*").alias("links")), "key-labels")
         step = keyed_join(links, low, "k", "links").groupBy("node").agg(F.min("low").alias("low"))
@@ -590,7 +647,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         label = new
         if new.where("moved").isEmpty():
             break
-    of = classes.join(label.select("node", "entity"), "node").select("ks", "entity", "rows")
+    of = classes.join(label.select("node", "entity"), "node", "left").select("ks", F.coalesce("entity", "node").alias("entity"), "rows")
     mine = keyed_join(sets, of, "ks", "rows")
     return nodes.join(mine.select("author_id", "entity"), "author_id", "left").select("author_id", F.coalesce("entity", "author_id").alias("entity"))
 

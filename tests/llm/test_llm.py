@@ -331,6 +331,32 @@ def test_names(spark):
     assert names.all_pairs(names.entities(df.limit(0))).count() == 0
 
 
+def test_mixups_of_a_letter_are_read_once(monkeypatch):
+    calls, scores = Counter(), encoding.PairScores(Counter(x for n in NAMES for x in itertools.pairwise(encoding.symbols(n))))
+    plainly = encoding.as_bytes
+    monkeypatch.setattr(encoding, "as_bytes", lambda text, enc: calls.update([text]) or plainly(text, enc))
+    for i in range(50):
+        encoding.repair(f"h\xe3pr\xfakok{i}@x{i}.example", scores)
+    assert 0 < max(calls.values()) <= len(encoding.MIXED_UP)
+
+
+def test_rounds_see_shared_keys_only(spark, monkeypatch):
+    kept = {}
+    plainly = names.written
+    monkeypatch.setattr(names, "written", lambda df, name, *by: kept.setdefault(name, plainly(df, name, *by)) if name == "name-links" else plainly(df, name, *by))
+    edges = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b"), (2, "c"), (3, "d"), (4, "e"), (5, "e"), (6, "a")], "author_id long, k string")
+    got = names.components(spark.range(1, 8).withColumnRenamed("id", "author_id"), edges)
+    assert {r.author_id: r.entity for r in got.collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 1, 7: 7}
+    assert sorted((r.node, r.k) for r in kept["name-links"].collect()) == [(1, "a"), (1, "b"), (2, "b"), (6, "a")]
+
+
+def test_forms_of_a_key_over_batches():
+    rows = [("a", "p|x|a", 1), ("b", "p|x|b", 1), ("b", "p|y|b", 2), ("b", "p|z|b", 3), ("c", "p|x|c", 1), ("d", "p|x|d", 1), ("d", "p|y|d", 4)]
+    for size in range(1, 8):
+        batches = [names.pa.RecordBatch.from_pylist([dict(zip("kvn", r)) for r in rows[i : i + size]]) for i in range(0, 7, size)]
+        assert dict(names.of_several(iter(batches))) == {"b": [(1, "p|x|b"), (2, "p|y|b"), (3, "p|z|b")], "d": [(1, "p|x|d"), (4, "p|y|d")]}
+
+
 def test_strays_do_not_share_an_address(spark):
     typed = [("Benjamin Kraswucen", "krasw@corp.example")] * 20 + [(n, "krasw@corp.example") for n in ["krasw77", "kw-5", "Tebbe Zoloft", "Zutterov Kipling", "бенжамин красвукен", "root", None, "krasw77"]]
     own = len(typed)
