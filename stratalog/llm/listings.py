@@ -8,9 +8,9 @@ greedily down each ring's links to the query's own components, looks at the node
 node that is similar enough goes on along its short links, so there is no limit to the number of counterparts. The beam
 is tuned against exhaustive search when a shard is built.
 
-The index is stored and grows by intakes: a new intake gets shards of its own; shards of one tier are merged on schedule;
-a directory of entry points tells which shards hold any node with a query's component, so that a query visits only
-those. Pairs are verified on the exact sets of keys.
+The index is stored and grows batch by batch: a new batch gets shards of its own; shards of one tier are merged on
+schedule; a directory of entry points tells which shards hold any node with a query's component, so that a query visits
+only those. Pairs are verified on the exact sets of keys.
 """
 
 from __future__ import annotations
@@ -223,15 +223,20 @@ class ShardIndex:
         """a, b: pairs of nodes that the graphs find near, b of this intake and a of an earlier batch.
 
         intake: node long (unique), batch int, sig array<int>; batches do not come again. The intake becomes shards of
-        its own, and its nodes are searched in them and in the shards of history that the directory names. Queries of a
-        shard are searched in blocks; no task gets more than a shard and a block.
+        its own, and its nodes are searched in the shards of history that the directory names, and in its own if it has
+        several batches. Queries of a shard are searched in blocks; no task gets more than a shard and a block.
         """
         none = self.spark.createDataFrame([], "a long, b long")
-        n = intake.count()
+        n, first, last = intake.agg(F.count("*"), F.min("batch"), F.max("batch")).first()
         if not n:
             return none
+        before = self.kept["segments"]
         self._build(intake, n, 0, [])
-        directory = self.spark.read.schema("shard long, ring int, component int").parquet(*[f"{self.root}/{s['name']}/entries" for s in self.kept["segments"]])
+        searched = before if first == last else self.kept["segments"]
+        if not searched:
+            self._compact()
+            return none
+        directory = self.spark.read.schema("shard long, ring int, component int").parquet(*[f"{self.root}/{s['name']}/entries" for s in searched])
         asked = self._entries(intake, "node")
         route = written(asked.join(directory, ["ring", "component"]).select("node", "shard").distinct(), "route")
         # A row per shard; written, so that its size is known before shards are moved to meet it.
@@ -306,23 +311,23 @@ def verified(pairs: DataFrame, keys: DataFrame, sizes: DataFrame, similarity: fl
     return equal.unionByName(common.where(F.col("c") >= F.lit(similarity) * (F.col("na") + F.col("nb") - F.col("c"))).select("a", "b"))
 
 
-def counterparts(lists: DataFrame, olist: DataFrame, similarity: float = 0.6, index: ShardIndex | None = None, parts: int = 3) -> DataFrame:
+def counterparts(lists: DataFrame, olist: DataFrame, similarity: float = 0.6, index: ShardIndex | None = None, parts: int | None = None) -> DataFrame:
     """list_a, list_b (list_a < list_b): listings of different batches with sets of keys at least `similarity` alike.
 
-    lists: list_id, batch; they are taken in as `parts` intakes of consecutive batches. Listings with equal sets are one
-    node per batch while searching and are told apart again at the end. Listings without a key, without a batch, or not
-    in `lists` have no counterpart.
+    lists: list_id, batch; each batch is an intake with shards of its own, in the batches' order, unless `parts` asks for
+    so many intakes of consecutive batches. Listings with equal sets are one node per batch while searching and are told
+    apart again at the end. Listings without a key, without a batch, or not in `lists` have no counterpart.
     """
     keys = written(listing_keys(olist), "listing-keys")
     sig = signatures(keys).join(lists.select("list_id", "batch").where("batch IS NOT NULL").distinct(), "list_id")
     # The class of equal sets: its smallest list. A node is a class within a batch, named by its smallest list there.
     members = written(sig, "signatures")
     classes = members.groupBy("f1", "f2", "n", "batch").agg(F.min("list_id").alias("node"), F.first("sig").alias("sig"))
-    nodes = written(classes.select("node", F.col("batch").cast("int").alias("batch"), "n", "sig", "f1", "f2"), "listing-nodes")
+    nodes = written(classes.select("node", F.col("batch").cast("int").alias("batch"), "n", "sig", "f1", "f2"), "listing-nodes", "batch")  # an intake reads its batches only
     sizes = {r["batch"]: r["n"] for r in nodes.groupBy("batch").agg(F.count("*").alias("n")).collect()}  # a row a batch
     index = index or ShardIndex(lists.sparkSession, similarity=similarity)
     found = lists.sparkSession.createDataFrame([], "a long, b long")
-    for run in intakes(sizes, parts):
+    for run in [[b] for b in sorted(sizes)] if parts is None else intakes(sizes, parts):
         found = found.unionByName(index.add(nodes.where(F.col("batch").between(run[0], run[-1])).select("node", "batch", "sig")))
     exact = verified(found.distinct(), keys, nodes.select(F.col("node").alias("list_id"), "n", "f1", "f2"), similarity)
     of = members.join(nodes.select("f1", "f2", "n", "batch", "node"), ["f1", "f2", "n", "batch"]).select("list_id", "node")

@@ -172,6 +172,23 @@ def test_listings_against_brute_force(spark, similarity, shape):
     assert got == want and len(want) > 50
 
 
+def test_a_batch_gets_shards_of_its_own(spark, monkeypatch):
+    lists, rows = _listings()
+    l, o = spark.createDataFrame(lists, "list_id long, batch int, sig string"), spark.createDataFrame(rows, "list_id long, sha string, n string")
+    built = []
+    plainly = listings.ShardIndex._build
+
+    def build(self, nodes, n, tier, replaced):
+        built.append((tier, sorted(r.batch for r in nodes.select("batch").distinct().collect())))
+        return plainly(self, nodes, n, tier, replaced)
+
+    monkeypatch.setattr(listings.ShardIndex, "_build", build)
+    got = {(r.list_a, r.list_b) for r in listings.counterparts(l, o).collect()}
+    assert [b for tier, b in built if tier == 0] == [[i] for i in range(6)]
+    assert [b for tier, b in built if tier == 1] == [[0, 1, 2, 3]]  # merged on schedule
+    assert got == {(r.list_a, r.list_b) for r in listings.counterparts(l, o, parts=1).collect()} and len(got) > 50
+
+
 def test_stored_shards(spark, tmp_path):
     import os
 
