@@ -19,22 +19,24 @@ def peel(tags: DataFrame) -> DataFrame:
     """tag, kind, oid, hops: what a tag finally names. tags: tag, kind, target; kind `tag` names another tag.
 
     Every round doubles the length of the chains that are followed. A tag that names an unknown tag keeps that name;
-    hops counts the tags passed.
+    hops counts the tags passed. A tag whose chain runs into a circle keeps the name it gives itself, one hop away: no
+    other chain is longer than there are tags, so what still moves by then has no end. Equal rows count once.
     """
-    now = written(tags.select("tag", "kind", F.col("target").alias("oid"), F.lit(1).alias("hops")), "peeled")
+    first = F.col("target")
+    now = written(tags.select("tag", "kind", first.alias("oid"), F.lit(1).alias("hops"), first.alias("first")).distinct(), "peeled")
+    most, reach = now.count(), 1
     while True:
         far = now.select(F.col("tag").alias("_t"), F.col("kind").alias("_k"), F.col("oid").alias("_o"), F.col("hops").alias("_h"))
         hit = (F.col("kind") == "tag") & F.col("_t").isNotNull()
-        new = written(
-            now.join(far, (F.col("kind") == "tag") & (F.col("oid") == F.col("_t")), "left").select(
-                "tag", F.when(hit, F.col("_k")).otherwise(F.col("kind")).alias("kind"), F.when(hit, F.col("_o")).otherwise(F.col("oid")).alias("oid"), F.when(hit, F.col("hops") + F.col("_h")).otherwise(F.col("hops")).alias("hops"), hit.alias("moved")
-            ),
-            "peeled",
-        )
+        circles = F.lit(reach >= most)
+        kind, oid = F.when(hit & ~circles, F.col("_k")).otherwise(F.col("kind")), F.when(hit & circles, F.col("first")).when(hit, F.col("_o")).otherwise(F.col("oid"))
+        hops = F.when(hit & circles, F.lit(1)).when(hit, F.col("hops") + F.col("_h")).otherwise(F.col("hops"))
+        new = written(now.join(far, (F.col("kind") == "tag") & (F.col("oid") == F.col("_t")), "left").select("tag", kind.alias("kind"), oid.alias("oid"), hops.alias("hops"), "first", hit.alias("moved")), "peeled")
         discard(now)
         now = new
-        if new.where("moved").isEmpty():
+        if reach >= most or new.where("moved").isEmpty():
             return new.select("tag", "kind", "oid", "hops")
+        reach *= 2
 
 
 def range_join(points: DataFrame, ranges: DataFrame, group: str, at: str, lo: str, hi: str) -> DataFrame:
@@ -116,10 +118,10 @@ def pack_objects(commits: DataFrame, known: DataFrame, entries: DataFrame) -> Da
 
 
 def q_peel(s: SparkSession, d: str) -> DataFrame:
-    """Tags on urgent commits; where half the key is an urgent commit too, the tag names its tag."""
-    urgent = M.commits(s, d).where("subject = '1-URGENT'").select("oid")
+    """Tags on urgent commits; where half the key is another urgent commit, the tag names its tag (0 is its own half)."""
+    urgent = M.commits(s, d).where("subject = '1-URGENT'").select("oid").distinct()
     other = urgent.select(F.col("oid").alias("half"))
-    t = urgent.join(other, F.expr("oid div 2") == F.col("half"), "left")
+    t = urgent.join(other, (F.expr("oid div 2") == F.col("half")) & (F.col("oid") != F.col("half")), "left")
     return peel(t.select((-F.col("oid")).alias("tag"), F.when(F.col("half").isNotNull(), "tag").otherwise("commit").alias("kind"), F.coalesce(-F.col("half"), F.col("oid")).alias("target")))
 
 

@@ -333,6 +333,19 @@ def test_peel(spark):
     assert got[39] == ("commit", 50, 39) and got[1] == ("commit", 50, 1) and got[90] == ("tag", 91, 1)
 
 
+def test_peel_circles(spark):
+    tags = spark.createDataFrame([(0, "tag", 0), (1, "tag", 0), (2, "tag", 3), (3, "tag", 2), (4, "commit", 9), *[(i, "tag", i - 1) for i in range(5, 8)], (7, "tag", 6)], "tag long, kind string, target long")
+    got = sorted((r.tag, r.kind, r.oid, r.hops) for r in objects.peel(tags).collect())
+    assert got == [(0, "tag", 0, 1), (1, "tag", 0, 1), (2, "tag", 3, 1), (3, "tag", 2, 1), (4, "commit", 9, 1), (5, "commit", 9, 2), (6, "commit", 9, 3), (7, "commit", 9, 4)]
+
+
+def test_peel_from_key_zero(spark, tmp_path):
+    orders = [(k, 1, "1-URGENT") for k in (0, 1, 2, 2, 6)] + [(3, 1, "5-LOW")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderpriority string").withColumn("o_orderdate", F.lit("2020-01-01").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/orders.parquet")
+    got = sorted((r.tag, r.kind, r.oid, r.hops) for r in objects.QUERIES["peel"](spark, str(tmp_path)).collect())
+    assert got == [(-6, "commit", 6, 1), (-2, "commit", 0, 3), (-1, "commit", 0, 2), (0, "commit", 0, 1)]
+
+
 def test_range_join(spark):
     rng = random.Random(4)
     pts = [(i, rng.choice("ab"), rng.choice([None, rng.randint(-50, 3000)])) for i in range(300)]
